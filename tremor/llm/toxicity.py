@@ -102,23 +102,22 @@ def _features(counts: np.ndarray, doc: np.ndarray, term: np.ndarray, weight: np.
 
 @dataclass
 class LabelModel:
-    """Rates at which each voter fires on toxic and on clean texts, the share of toxic texts, and log-odds weights."""
+    """Share of toxic texts, rates at which each voter fires on toxic and on clean texts, and log-odds weights; the last voter fires where no other does."""
 
     prior: float
     rate: np.ndarray
     weight: np.ndarray
-    absent: np.ndarray
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        z = np.log(self.prior / (1 - self.prior)) + votes @ self.weight + (1 - votes) @ self.absent
+        z = np.log(self.prior / (1 - self.prior)) + votes @ self.weight
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def label_model(votes: np.ndarray, prior: float, start: np.ndarray, rounds: int = 12) -> LabelModel:
-    """``votes``: rows by voters, 1 where a voter fires; ``start``: first guess of the posterior. ``prior`` is held, which tells the two classes apart."""
+def label_model(votes: np.ndarray, prior: float, rounds: int = 12) -> LabelModel:
+    """``votes``: rows by voters, 1 where a voter fires; 0 is abstention and no evidence. ``prior`` is held, which tells the two classes apart."""
+    votes = np.hstack([votes, votes.sum(axis=1, keepdims=True) == 0])
     n, k = votes.shape
-    q = start.astype(float)
-    share = np.ones(k)
+    q = np.where(votes[:, -1] > 0, 0.02, 0.8)
     model = None
     for _ in range(rounds):
         a = (q @ votes + 0.2) / (q.sum() + 1)
@@ -127,8 +126,8 @@ def label_model(votes: np.ndarray, prior: float, start: np.ndarray, rounds: int
         spread = np.sqrt((rest**2).mean(axis=0)) + 1e-6
         near = np.abs(rest.T @ rest / n / np.outer(spread, spread))
         np.fill_diagonal(near, 0)
-        share = 1 / (1 + np.where(near > 0.1, near, 0).sum(axis=1))  # of voters that err together each counts in part
-        model = LabelModel(prior, np.stack([a, b]), share * np.log(a / b), share * np.log((1 - a) / (1 - b)))
+        share = 1 / np.sqrt(1 + np.where(near > 0.1, near, 0).sum(axis=1))  # of voters that err together each counts in part
+        model = LabelModel(prior, np.stack([a, b]), share * np.log(a / b))
         q = model.posterior(votes)
     return model
 
@@ -220,16 +219,16 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
     pure = np.flatnonzero((total - clean >= least) & (clean <= 0.02 * total))
     use = np.array(sorted({*chosen, *seeds.tolist(), *pure.tolist()}))
     votes, terms = votes[:, use], terms[use]
-    model = label_model(votes, min(max(y.mean(), 0.01), 0.99), (votes.sum(axis=1) > 0) * 0.8 + 0.05)
-    weight = np.maximum(model.weight, 0)
+    model = label_model(votes, min(max(y.mean(), 0.01), 0.99))
+    weight = np.maximum(model.weight[:-1], 0)
     renumber = np.full(hits.sorted.shape, -1)
     renumber[use] = np.arange(len(use))
     doc = np.repeat(np.arange(len(got)), [len(r.hits) for r in got])
     term = renumber[np.array([h for r in got for h in r.hits], np.int64)]
     x = _features(counts, doc[term >= 0], term[term >= 0], weight)
     x = np.hstack([x, np.ones((len(x), 1))])
-    beta = _logistic(x, model.posterior(votes), ridge=1.0)
-    scale = _logistic(np.stack([x @ beta, np.ones(len(x))], axis=1), y.astype(float), ridge=0.1)
+    beta = _logistic(x, model.posterior(np.hstack([votes, votes.sum(axis=1, keepdims=True) == 0])), ridge=1.0)
+    scale = _logistic(np.stack([x @ beta, np.ones(len(x))], axis=1), y.astype(float), ridge=1.0)
     return Model(terms, weight, beta, (float(scale[0]), float(scale[1])))
 
 

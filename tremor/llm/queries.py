@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.llm import decontaminate, quality, rules, toxicity
+from tremor.llm import decontaminate, ngram_join, quality, rules, toxicity
 from tremor.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_components(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -30,7 +34,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_classifier, op4_toxicity, op8_decontamination, op9_quality_rules)
+    f.__name__: f for f in (op2_quality_classifier, op4_toxicity, op6_ngram_jaccard_join, op8_decontamination, op9_quality_rules)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -50,4 +54,19 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(h.n_hit, 0)
 from docs d left join hit h using (doc_id) left join who o using (doc_id)
 """
 
-SQL: dict[str, str] = {"op8_decontamination": OP8_SQL}
+OP6_SQL = rf"""
+with recursive docs as (select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents),
+places as (select doc_id, w, least(4, len(w)) as m, unnest(range(1, len(w) - least(4, len(w)) + 2)) as i from docs where len(w) > 0),
+grams as (select distinct doc_id, array_to_string(w[i : i + m - 1], ' ') as g from places),
+sizes as (select doc_id, count(*) as n from grams group by doc_id),
+links as (
+  select a.doc_id as a, b.doc_id as b from grams a join grams b on a.g = b.g and a.doc_id <> b.doc_id join sizes x on x.doc_id = a.doc_id join sizes y on y.doc_id = b.doc_id
+  where 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n) group by a.doc_id, b.doc_id, x.n, y.n having 100 * count(*) >= 85 * (x.n + y.n - count(*))
+),
+reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on l.a = r.b),
+least_ids as (select a, min(b) as b from reach group by a)
+select d.doc_id, cast(coalesce(s.n, 0) as bigint) as n_shingles, least(d.doc_id, coalesce(l.b, d.doc_id)) as component_id
+from docs d left join sizes s using (doc_id) left join least_ids l on l.a = d.doc_id
+"""
+
+SQL: dict[str, str] = {"op6_ngram_jaccard_join": OP6_SQL, "op8_decontamination": OP8_SQL}

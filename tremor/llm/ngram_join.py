@@ -18,6 +18,7 @@ probability below N^2 / 2^65.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from tremor.llm.graph import components
 from tremor.llm.textvec import SPACED, Words, mix
 
 #: Cells of the sketch that orders n-grams, in slices of SLICE; bits of the filter of candidate documents; sets in a block of a component.
-CELLS, SLICE, BITS, BLOCK = 1 << 19, 1 << 15, 1 << 23, 2048
+CELLS, SLICE, BITS, BLOCK = 1 << 22, 1 << 18, 1 << 23, 2048
 #: Tokens in a node of the trie, and sets up to which pairs are compared without one.
 NODE, FEW = 32, 6
 
@@ -66,18 +67,18 @@ def frequency_sketch(docs: DataFrame, size: int) -> np.ndarray:
     """For each cell the number of documents with an n-gram in it. Partitions count, slices of their counts are summed by slice: the sketch has one size for any corpus."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(CELLS, np.int64)
+        cells = np.zeros(CELLS, np.int32)
         for b in pieces(batches, "text"):
-            cells += np.bincount(_cell(shingle_sets(b.column(0), size)[0]), minlength=CELLS)
-        if cells.any():
-            parts = [cells[i : i + SLICE].astype(np.int32).tobytes() for i in range(0, CELLS, SLICE)]
+            cells += np.bincount(_cell(shingle_sets(b.column(0), size)[0]), minlength=CELLS).astype(np.int32)
+        if cells.any():  # a task's counts over 255 are frequent enough to stand at the end of the order
+            parts = [np.minimum(cells[i : i + SLICE], 255).astype(np.uint8).tobytes() for i in range(0, CELLS, SLICE)]
             yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], names=["slice", "cells"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for b in batches:
             for k, v in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                total[k] = total.get(k, 0) + np.frombuffer(v.as_buffer(), np.int32).astype(np.int64)
+                total[k] = total.get(k, 0) + np.frombuffer(v.as_buffer(), np.uint8).astype(np.int64)
         for k, v in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.minimum(v, 2**31 - 1).astype(np.int32).tobytes()])], names=["slice", "cells"])
 
@@ -273,9 +274,13 @@ def join_components(docs: DataFrame, size: int = 4, percent: int = 85, block: in
     docs = only_columns(docs, "doc_id", "text")
     keys = cut(_prefixes(docs, size, percent, frequency_sketch(docs, size)))
     some = keys.where("n > 0 and doc_id is not null")
-    posts = some.select(F.explode("prefix").alias("gram"), "sig")
+    posts = some.select(F.explode("prefix").alias("gram"), "sig", "n")
     shared = posts.groupBy("gram").agg(F.min("sig").alias("a"), F.max("sig").alias("z")).where("a < z").select("gram", "a")
-    ties = posts.join(shared, "gram").where("sig <> a").select("a", F.col("sig").alias("b"))
+    # Of n-grams that different sets share, only sets of like size are tied: sizes that link stand in one step of a geometric scale or in two next to each other.
+    scale = F.floor(F.log("n") / math.log(100 / percent)).cast("int")
+    alike = cut(posts.join(shared.select("gram"), "gram").select("gram", "sig", F.explode(F.array(scale, scale - 1)).alias("step")))
+    least = alike.groupBy("gram", "step").agg(F.min("sig").alias("a"))
+    ties = alike.join(least, ["gram", "step"]).where("sig <> a").select("a", F.col("sig").alias("b"))
     roots = components(ties)
     nodes = some.groupBy("sig").agg(F.min("doc_id").alias("rep")).join(roots.toDF("sig", "root"), "sig")
     blocks = nodes.join(roots.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "root")

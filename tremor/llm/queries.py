@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.llm import decontaminate, ngram_join, quality, rules, toxicity
+from tremor.llm import bpe, decontaminate, ngram_join, quality, rules, toxicity
 from tremor.llm.common import table
 
 
@@ -33,8 +33,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+#: The vocabulary that the queries encode with; its file stays where the tokenizer package has it.
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_classifier, op4_toxicity, op6_ngram_jaccard_join, op8_decontamination, op9_quality_rules)
+    f.__name__: f for f in (op2_quality_classifier, op4_toxicity, op6_ngram_jaccard_join, op8_decontamination, op9_quality_rules, op10_byte_bpe)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.llm import bpe, decontaminate, ngram_join, quality, rules, toxicity
+from tremor.llm import bpe, chat, decontaminate, ngram_join, quality, rules, toxicity, url_filter
 from tremor.llm.common import table
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -19,6 +23,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.parse(table(spark, sf_dir, "conversations"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(table(spark, sf_dir, "documents"))
 
@@ -44,7 +52,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_classifier, op4_toxicity, op6_ngram_jaccard_join, op8_decontamination, op9_quality_rules, op10_byte_bpe)
+    f.__name__: f for f in (op1_url_filter, op2_quality_classifier, op4_toxicity, op5_chat_format, op6_ngram_jaccard_join, op8_decontamination, op9_quality_rules, op10_byte_bpe)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

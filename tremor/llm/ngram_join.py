@@ -4,8 +4,9 @@ Every text is the set of its word n-grams (64-bit hashes). Sets link when their
 is the component of each document.
 
 1. A fixed-size sketch of how many documents hold each n-gram gives all sets one global order, rare n-grams first.
-2. Two sets that link share an n-gram among their first |x| - ceil(t |x|) + 1 in that order. N-grams shared so by different sets tie them to
-   the smallest; the components of those ties hold every link. Equal sets are one node from here on.
+2. Two sets that link share an n-gram among their first |x| - ceil(t |x|) + 1 in that order. Sets that share one so are tied, unless their sizes or their
+   counts of n-grams in a few buckets show that their overlap cannot reach the threshold, or ties seen before join them already. The components of the
+   ties hold every link. Equal sets are one node from here on.
 3. Sets of such components are sent once to the task of their component (a large one is dealt out in pairs of blocks). There they
    are stored in a trie of token blocks, shared n-grams first, so near copies share their paths. A set is looked up level by level for all paths at
    once; a path carries the overlap so far, which its whole subtree shares, and is cut when the n-grams left below it or in the
@@ -18,7 +19,6 @@ probability below N^2 / 2^65.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +34,8 @@ from tremor.llm.textvec import SPACED, Words, mix
 CELLS, SLICE, BITS, BLOCK = 1 << 22, 1 << 18, 1 << 23, 2048
 #: Tokens in a node of the trie, and sets up to which pairs are compared without one.
 NODE, FEW = 32, 6
+#: Buckets that n-grams of a set are counted in; the sums of smaller counts bound an overlap from above.
+BUCKETS = 128
 
 
 def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -105,9 +107,59 @@ def _prefixes(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> D
             first = np.arange(len(grams)) - bounds[doc] < take[doc]
             ends = np.concatenate([[0], np.cumsum(take)]).astype(np.int32)
             prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(grams[order][first]))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sig), pa.array(n.astype(np.int64)), prefix], names=["doc_id", "sig", "n", "prefix"])
+            place = (mix(grams.view(np.uint64)) >> np.uint64(57)).astype(np.int64)
+            count = np.minimum(np.bincount(doc * BUCKETS + place, minlength=BUCKETS * len(n)), 255).astype(np.uint8).reshape(len(n), BUCKETS)
+            counts = pa.array([c.tobytes() for c in count], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sig), pa.array(n.astype(np.int64)), prefix, counts], names=["doc_id", "sig", "n", "prefix", "counts"])
 
-    return docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, sig long, n long, prefix array<long>")
+    return docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, sig long, n long, prefix array<long>, counts binary")
+
+
+def _ties(posts: DataFrame, percent: int) -> DataFrame:
+    """(a, b): ties between sets that share an n-gram; ``posts``: gram, n, sig, counts, sorted by gram and n within partitions.
+
+    Of one n-gram only sets whose sizes can link with the next one are held.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (y := up.get(x, x)) != x:
+                up[x] = up.get(y, y)
+                x = y
+            return x
+
+        gram, sizes, sigs, rows = None, [], [], []
+        for b in batches:
+            out: list[tuple[int, int]] = []
+            for g, n, sig, counts in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if g != gram:
+                    gram, sizes, sigs, rows = g, [], [], []
+                if sizes and 100 * sizes[0] < percent * n:
+                    at = np.searchsorted(sizes, -(-percent * n // 100))
+                    sizes, sigs, rows = sizes[at:], sigs[at:], rows[at:]
+                own = root(sig)
+                other = [i for i, s in enumerate(sigs) if root(s) != own]
+                if other:
+                    mine = np.frombuffer(counts, np.uint8)
+                    theirs = np.frombuffer(b"".join([rows[i] for i in other]), np.uint8).reshape(-1, BUCKETS)
+                    bound = np.minimum(theirs, mine).sum(axis=1, dtype=np.int64)
+                    full = (theirs == 255).any(axis=1) & (mine == 255).any()
+                    need = percent * (np.array([sizes[i] for i in other]) + n)
+                    for k in np.flatnonzero(full | ((100 + percent) * bound >= need)):
+                        x, y = root(sigs[other[k]]), root(sig)
+                        if x != y:
+                            up[max(x, y)] = min(x, y)
+                            out.append((sig, sigs[other[k]]))
+                if not (sigs and sigs[-1] == sig):
+                    sizes.append(n)
+                    sigs.append(sig)
+                    rows.append(counts)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
+
+    return posts.select("gram", "n", "sig", "counts").mapInArrow(run, "a long, b long")
 
 
 def _sets(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
@@ -276,11 +328,10 @@ def join_components(docs: DataFrame, size: int = 4, percent: int = 85, block: in
     some = keys.where("n > 0 and doc_id is not null")
     posts = some.select(F.explode("prefix").alias("gram"), "sig", "n")
     shared = posts.groupBy("gram").agg(F.min("sig").alias("a"), F.max("sig").alias("z")).where("a < z").select("gram", "a")
-    # Of n-grams that different sets share, only sets of like size are tied: sizes that link stand in one step of a geometric scale or in two next to each other.
-    scale = F.floor(F.log("n") / math.log(100 / percent)).cast("int")
-    alike = cut(posts.join(shared.select("gram"), "gram").select("gram", "sig", F.explode(F.array(scale, scale - 1)).alias("step")))
-    least = alike.groupBy("gram", "step").agg(F.min("sig").alias("a"))
-    ties = alike.join(least, ["gram", "step"]).where("sig <> a").select("a", F.col("sig").alias("b"))
+    alike = posts.join(shared.select("gram"), "gram").distinct()
+    counts = some.groupBy("sig").agg(F.min("counts").alias("counts"))
+    dealt = alike.join(counts, "sig").repartition("gram").sortWithinPartitions("gram", "n", "sig")
+    ties = _ties(dealt, percent)
     roots = components(ties)
     nodes = some.groupBy("sig").agg(F.min("doc_id").alias("rep")).join(roots.toDF("sig", "root"), "sig")
     blocks = nodes.join(roots.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "root")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tremor.llm.common import cut, only_columns, pieces
 
 #: Words in the dictionary at most; words that a task counts at a time.
-WORDS, COUNTED = 1 << 19, 300_000
+WORDS, COUNTED = 1 << 17, 200_000
 MISS = 0xFFFFFFFF
 #: Bytes up to which a word is folded in the layout for short words.
 SHORT = 48

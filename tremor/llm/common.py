@@ -18,7 +18,12 @@ CHUNK_BYTES = 2 << 20
 HELD_OUT = 2
 
 
+#: Rows of an Arrow batch; whole texts are long, and a batch is held on both sides of the pipe to a Python worker.
+BATCH_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -1,17 +1,75 @@
-"""Corpus pipeline: documents to token ids, stage by stage."""
+"""Corpus pipeline: toxic documents go, duplicate lines go, one document of each group of near copies stays, documents with benchmark passages go, the rest is encoded."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tremor.llm.common import table
+from tremor.llm import bpe, decontaminate, line_dedup, ngram_join, toxicity
+from tremor.llm.common import cut, only_columns, table
+from tremor.llm.queries import VOCABULARY
 
-STAGES: list = []
+#: Near copies are documents whose sets of five-word shingles are this similar, in percent.
+SHINGLE_WORDS, NEAR_PERCENT = 5, 80
+
+
+def _as_documents(docs: DataFrame, columns: list[str]) -> DataFrame:
+    return docs.select(*[F.col(f"`{c}`") for c in columns])
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores below its threshold; it is fitted on the labelled ones among ``docs``."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return _as_documents(toxicity.score(docs, model).where(F.col("toxicity.score") < toxicity.THRESHOLD), docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that stand in an earlier document or earlier in their own; n_chars is that of the new text. A document that loses all goes."""
+    kept = line_dedup.dedup_lines(docs)
+    return _as_documents(kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept, docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each component of similar documents: that of its least doc_id. Rows without an id or without words stay."""
+    joined = cut(ngram_join.join_components(docs, SHINGLE_WORDS, NEAR_PERCENT))
+    lost = joined.where("doc_id is not null and component_id <> doc_id").select("doc_id").distinct()
+    kept = docs.join(lost, "doc_id", "left_anti")
+    return _as_documents(kept, docs.columns)
+
+
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item."""
+    found = decontaminate.search_columns(docs, table(spark, sf_dir, "benchmark"))
+    return _as_documents(found.where(~F.col("found.contaminated")), docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids and the hash of the bytes that they decode to."""
+    import public_tokenizers
+
+    path = public_tokenizers.path(VOCABULARY)
+    both = bpe.decode(bpe.encode(only_columns(docs, "doc_id", "text"), path, public_tokenizers.PATTERN).select("doc_id", "ids"), path)
+    ids = F.expr("cast(octet_length(ids) div 4 as bigint)")
+    return both.select("doc_id", ids.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("toxicity", toxic),
+    ("line dedup", lines),
+    ("n-gram Jaccard join", near_copies),
+    ("benchmark decontamination", benchmark_free),
+    ("byte-level BPE encoding and decoding", tokens),
+]
+
+#: SQL can express neither the classifier nor the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again before the next."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = cut(docs)
     return docs

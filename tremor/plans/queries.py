@@ -2,6 +2,19 @@
 
 from __future__ import annotations
 
-FLAGSHIP = "feature_dev"
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tremor.functions import dialect
+from tremor.functions.features import DEFINITIONS
+
+FLAGSHIP = "moments"
+
+
+def _query(text: dialect.Text) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: dialect.run(spark, sf_dir, text)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _query(f) for f in DEFINITIONS}
+SQL: dict[str, str] = {f.__name__: f(dialect.DUCK) for f in DEFINITIONS}

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from tremor.functions import dialect
-from tremor.functions.features import DEFINITIONS
-
-FLAGSHIP = "moments"
+from tremor.functions import features as definitions
+from tremor.functions.features import DEFINITIONS, grid, records
+from tremor.functions.kernels import FEATURES
 
 
 def _query(text: dialect.Text) -> Callable[[SparkSession, str], DataFrame]:
@@ -18,3 +21,80 @@ def _query(text: dialect.Text) -> Callable[[SparkSession, str], DataFrame]:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _query(f) for f in DEFINITIONS}
 SQL: dict[str, str] = {f.__name__: f(dialect.DUCK) for f in DEFINITIONS}
+
+
+def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tremor.functions.features import NLTA, NSTA, STEP, WIN
+    from tremor.operators.signals import wave_pieces
+    from tremor.plans.pipeline import window_features
+
+    return window_features(wave_pieces(spark, sf_dir), WIN, STEP, NSTA, NLTA)
+
+
+def _rounded(column: str) -> Column:
+    return (F.round(F.round(F.nanvl(F.col(column), F.lit(None).cast("double")), 6), 5) + 0.0).alias(column)
+
+
+def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All features of all windows from matrices of windows: the fast way to what the other queries define one by one."""
+    return _table(spark, sf_dir).select("station", "w", *map(_rounded, FEATURES))
+
+
+def feature_dev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First differences of the rounded features between windows of a station."""
+    order = Window.partitionBy("station").orderBy("run", "w")
+    rows = _table(spark, sf_dir).select("station", "run", "w", *map(_rounded, FEATURES))
+    return rows.select("station", "w", *[(F.round(F.col(f) - F.lag(f).over(order), 5) + 0.0).alias(f"{f}_DEV") for f in FEATURES])
+
+
+def bandpass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid of each component, filled, without trend and filtered between a cycle in two days and one in five hours."""
+    from tremor.operators.condition import process
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("i")
+        x = process(pdf.x.to_numpy(float), 1 / 3600, 1 / 172800, 1 / 18000, 1, 0)
+        return pd.DataFrame({"component": pdf.component, "i": pdf.i, "x": np.round(x, 6)})
+
+    rows = dialect.run(spark, sf_dir, lambda d: f"with {grid(d)} select component, i, x from full_grid")
+    return rows.groupBy("component").applyInPandas(run, "component string, i bigint, x double")
+
+
+def block_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records planned into blocks, assembled, conditioned and decimated: samples and mean square of each block."""
+    from tremor.config import Config
+    from tremor.plans.pipeline import blocks_of, plan_blocks
+
+    text = lambda d: f"with {records(d)} select cast('S' as string) as station, cast(file_idx as string) as path, rec_offset as `offset`, start_epoch, component, cast(n as int) as `count`, fs, transform(sequence(0L, n - 1), j -> value + sin(j)) as samples from records"
+    rows = dialect.run(spark, sf_dir, text)
+    native = 1 / 60
+    cfg = Config(fs=native / 2, freqmin=native / 200, freqmax=native / 8)
+    plan = plan_blocks(rows.drop("samples"), 2, block_s=86400, slack_s=6000, context_s=7200, reset_s=172800)
+    chunks = blocks_of(rows, plan, cfg, native)
+    power = lambda c: F.round(F.aggregate(F.filter(c, lambda v: ~F.isnan(v)), F.lit(0.0), lambda a, v: a + v * v), 6).alias(f"{c}_power")
+    return chunks.select("station", "segment", "block", F.round("start_epoch", 3).alias("start_epoch"), F.size("e").alias("n"), *map(power, "enz"))
+
+
+QUERIES |= {f.__name__: f for f in (feature_table, feature_dev, bandpass, block_pipeline)}
+
+
+def _feature_table_sql() -> str:
+    """The definitions one by one, joined and turned by component; windows where any component is whole."""
+    d = dialect.DUCK
+    parts = {"sk": definitions.skew_kurt, "pr": definitions.peak_rms, "zc": definitions.zero_crossing, "sl": definitions.sta_lta, "hj": definitions.hjorth, "pe": definitions.permutation_entropy, "df": definitions.dominant_freq, "se": definitions.spectral_energy}
+    own = {
+        "DOMINANT_FREQ": "df.dominant_freq", "HIGH_FREQ_ENERGY": "se.high_freq_energy", "HJORTH_ACTIVITY": "hj.activity", "HJORTH_COMPLEXITY": "hj.complexity", "HJORTH_MOBILITY": "hj.mobility", "KURTOSIS": "sk.kurtosis",
+        "LOW_FREQ_ENERGY": "se.low_freq_energy", "PEAK": "pr.peak", "PERMUTATION_ENTROPY": "pe.permutation_entropy", "RMS": "pr.rms", "SKEWNESS": "sk.skewness", "SPECTRAL_CENTROID": "se.spectral_centroid", "STA_LTA_Max": "sl.sta_lta_max",
+        "STA_LTA_Mean": "sl.sta_lta_mean", "STA_LTA_Median": "sl.sta_lta_median", "ZCR": "zc.zcr",
+    }
+    using = "using (station, component, w)"
+    joined = " ".join(f"left join {p} {using}" for p in parts if p != "pr")
+    singles = ", ".join(f"max(case when component = '{c}' then round({v}, 5) end) + 0.0e0 as {c}_{n}" for c in "ENZ" for n, v in own.items())
+    return f"""with {", ".join(f"{p} as ({f(d)})" for p, f in parts.items())}, cc as ({definitions.cross_corr(d)}),
+t as (select station, w, {singles} from pr {joined} group by station, w)
+select t.*, round(en_cross_corr, 5) + 0.0e0 as EN_CROSS_CORR, round(ez_cross_corr, 5) + 0.0e0 as EZ_CROSS_CORR, round(nz_cross_corr, 5) + 0.0e0 as NZ_CROSS_CORR from t left join cc using (station, w)"""
+
+
+SQL["feature_table"] = _feature_table_sql()
+SQL["feature_dev"] = f"with f as ({_feature_table_sql()}) select station, w, " + ", ".join(f'round("{f}" - lag("{f}") over (partition by station order by w), 5) + 0.0e0 as "{f}_DEV"' for f in FEATURES) + " from f"
+FLAGSHIP = "feature_dev"

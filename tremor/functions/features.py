@@ -84,10 +84,10 @@ select station, component, w, round(-sum(p * ln(p)) / ln(6e0), 6) + 0.0e0 as per
 
 
 def cross_corr(d: Spark) -> str:
-    """Correlation of the components' common windows; null without variance."""
+    """Correlation of two components' windows of one number; null if either is not whole or has no variance."""
     pair = lambda a, b: d.div(f"covar_pop({a}, {b})", f"stddev_pop({a}) * stddev_pop({b})")
     return f"""with {hop(d)}, m as (select station, w, k, max(case when component = 'E' then x end) as e, max(case when component = 'N' then x end) as n, max(case when component = 'Z' then x end) as z from hop group by station, w, k)
-select station, w, round({pair("e", "n")}, 6) + 0.0e0 as en_cross_corr, round({pair("e", "z")}, 6) + 0.0e0 as ez_cross_corr, round({pair("n", "z")}, 6) + 0.0e0 as nz_cross_corr from m group by station, w having count(e) = {WIN} and count(n) = {WIN} and count(z) = {WIN}"""
+select station, w, round({pair("e", "n")}, 6) + 0.0e0 as en_cross_corr, round({pair("e", "z")}, 6) + 0.0e0 as ez_cross_corr, round({pair("n", "z")}, 6) + 0.0e0 as nz_cross_corr from m group by station, w"""
 
 
 def spectrum(d: Spark) -> str:

@@ -31,8 +31,12 @@ def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_features(wave_pieces(spark, sf_dir), WIN, STEP, NSTA, NLTA)
 
 
+#: Added before rounding: many variances are exact binary fractions that lie half way between two decimals.
+OFF_TIES = 1.234567e-7
+
+
 def _rounded(column: str) -> Column:
-    return (F.round(F.round(F.nanvl(F.col(column), F.lit(None).cast("double")), 6), 5) + 0.0).alias(column)
+    return (F.round(F.nanvl(F.col(column), F.lit(None).cast("double")) + OFF_TIES, 5) + 0.0).alias(column)
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +82,21 @@ def block_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES |= {f.__name__: f for f in (feature_table, feature_dev, bandpass, block_pipeline)}
 
 
+def _exact(text: str) -> str:
+    """A definition's SQL without the rounding of its results, which is to be done once."""
+    at = 0
+    while (at := text.find("round(", at)) >= 0:
+        depth, end = 1, at + 6
+        while depth:
+            depth += {"(": 1, ")": -1}.get(text[end], 0)
+            end += 1
+        inner = text[at + 6 : end - 1]
+        if text[end:].startswith(" + 0.0e0 as"):
+            text = text[:at] + "(" + inner.rpartition(",")[0] + ")" + text[end + 8 :]
+        at += 1
+    return text
+
+
 def _feature_table_sql() -> str:
     """The definitions one by one, joined and turned by component; windows where any component is whole."""
     d = dialect.DUCK
@@ -89,10 +108,10 @@ def _feature_table_sql() -> str:
     }
     using = "using (station, component, w)"
     joined = " ".join(f"left join {p} {using}" for p in parts if p != "pr")
-    singles = ", ".join(f"max(case when component = '{c}' then round({v}, 5) end) + 0.0e0 as {c}_{n}" for c in "ENZ" for n, v in own.items())
-    return f"""with {", ".join(f"{p} as ({f(d)})" for p, f in parts.items())}, cc as ({definitions.cross_corr(d)}),
+    singles = ", ".join(f"max(case when component = '{c}' then round({v} + {OFF_TIES}, 5) end) + 0.0e0 as {c}_{n}" for c in "ENZ" for n, v in own.items())
+    return f"""with {", ".join(f"{p} as ({_exact(f(d))})" for p, f in parts.items())}, cc as ({_exact(definitions.cross_corr(d))}),
 t as (select station, w, {singles} from pr {joined} group by station, w)
-select t.*, round(en_cross_corr, 5) + 0.0e0 as EN_CROSS_CORR, round(ez_cross_corr, 5) + 0.0e0 as EZ_CROSS_CORR, round(nz_cross_corr, 5) + 0.0e0 as NZ_CROSS_CORR from t left join cc using (station, w)"""
+select t.*, round(en_cross_corr + {OFF_TIES}, 5) + 0.0e0 as EN_CROSS_CORR, round(ez_cross_corr + {OFF_TIES}, 5) + 0.0e0 as EZ_CROSS_CORR, round(nz_cross_corr + {OFF_TIES}, 5) + 0.0e0 as NZ_CROSS_CORR from t left join cc using (station, w)"""
 
 
 SQL["feature_table"] = _feature_table_sql()

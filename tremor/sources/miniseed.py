@@ -222,3 +222,9 @@ class MiniSeedSource(DataSource):
 
     def reader(self, schema) -> MiniSeedReader:
         return MiniSeedReader(self.options, self._samples)
+
+
+def register(spark: SparkSession) -> None:
+    """Make ``spark.read.format("miniseed")`` known, with filters on the component passed to the reader."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(MiniSeedSource)

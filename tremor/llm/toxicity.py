@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import held_out, label_sample, only_columns, pieces, text_buffers
+from tremor.llm.common import held_out, label_sample, only_columns, pieces, text_buffers, tidy
 from tremor.llm.textvec import ALNUM, LOWER, Words, mix, span_hashes
 
 #: Labelled rows that terms, label model and classifier are fitted on at most.
@@ -66,7 +66,7 @@ def _mine(sample: DataFrame) -> DataFrame:
             pos = np.bincount(back, weights=ones, minlength=len(terms)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(pos), pa.array(np.bincount(back, minlength=len(terms)) - pos)], names=["term", "toxic", "clean"])
 
-    return sample.select("text", "y").mapInArrow(run, "term long, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    return sample.select("text", "y").mapInArrow(tidy(run), "term long, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 class Hits:
@@ -118,7 +118,7 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 12) -> LabelModel
     votes = np.hstack([votes, votes.sum(axis=1, keepdims=True) == 0])
     n, k = votes.shape
     q = np.where(votes[:, -1] > 0, 0.02, 0.8)
-    model = None
+    model, most = None, np.zeros((k, k))
     for _ in range(rounds):
         a = (q @ votes + 0.2) / (q.sum() + 1)
         b = ((1 - q) @ votes + 0.02) / ((1 - q).sum() + 1)
@@ -126,6 +126,7 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 12) -> LabelModel
         spread = np.sqrt((rest**2).mean(axis=0)) + 1e-6
         near = np.abs(rest.T @ rest / n / np.outer(spread, spread))
         np.fill_diagonal(near, 0)
+        near = most = np.maximum(near, most)  # a group that errs together may come to define the classes; what it showed before that still counts
         share = 1 / np.sqrt(1 + np.where(near > 0.1, near, 0).sum(axis=1))  # of voters that err together each counts in part
         model = LabelModel(prior, np.stack([a, b]), share * np.log(a / b))
         q = model.posterior(votes)
@@ -204,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
             rows_ = [term[doc == i].tolist() for i in range(b.num_rows)] if len(doc) else [[] for _ in range(b.num_rows)]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(counts.astype(np.int64)), pa.array(rows_, pa.list_(pa.int32()))], names=["y", "n", "hits"])
 
-    got = rows.mapInArrow(run, "y int, n long, hits array<int>").collect()
+    got = rows.mapInArrow(tidy(run), "y int, n long, hits array<int>").collect()
     got.sort(key=lambda r: (r.y, r.n, r.hits))  # the same model whatever order the rows came in
     y, counts = np.array([r.y for r in got]), np.array([r.n for r in got])
     votes = np.zeros((len(got), len(terms)))
@@ -243,7 +244,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, both], names=[*b.schema.names, "toxicity"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, toxicity struct<score: double, hits: bigint>")
+    return docs.mapInArrow(tidy(run), f"{fields}, toxicity struct<score: double, hits: bigint>")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -123,10 +123,10 @@ def test_decontamination(spark):
     assert decontaminate.decontaminate(frame(spark, []), items).count() == 0
 
 
-@pytest.mark.parametrize("length,gram", [(200, 96), (20, 8)])
-def test_repeats(spark, length, gram):
+@pytest.mark.parametrize("length,gram,crowd", [(200, 96, 8192), (20, 8, 8192), (20, 10, 1)])
+def test_repeats(spark, length, gram, crowd):
     rows = corpus(2)
-    got = sorted(repr((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in repeats.remove_repeats(frame(spark, rows), length, gram).collect())
+    got = sorted(repr((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in repeats.remove_repeats(frame(spark, rows), length, gram, crowd).collect())
     data = [(i, (t or "").encode()) for i, t in rows]
     count = collections.Counter(d[k : k + length] for _, d in data for k in range(len(d) - length + 1))
     want = []

@@ -7,6 +7,7 @@
 3. There contexts are joined into texts of bounded size, whose suffixes are sorted; the Burrows-Wheeler transform is cut into runs, and longest common
    prefixes are computed at the run ends only. Read in text order, these samples give the matching statistics of every place: between run
    ends a match with the neighbouring suffix loses one byte a place. Places whose match reaches ``length`` start a repeated window.
+   Anchors with a crowd of contexts would gather in one task; their windows are dealt out and compared by 128-bit hashes instead, one at a time.
 4. The ranges found are gathered by text and cut out.
 
 Texts are known by a 64-bit hash and their size; whole copies of a text are removed as such and searched once.
@@ -22,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremor.llm.common import cut, only_columns, pieces, text_buffers
+from tremor.llm.common import cut, only_columns, pieces, text_buffers, tidy
 from tremor.llm.textvec import span_hashes
 
 LENGTH, GRAM = 200, 96
-#: Bytes of contexts that are sorted at a time.
-INDEX_BYTES = 2 << 20
+#: Contexts of one anchor that are compared in one task; of more, each window goes to the task of its hash.
+CROWD = 8192
+#: Bytes of contexts that are sorted at a time; sorts that fit a processor cache take half the time a byte.
+INDEX_BYTES = 1 << 18
 _PLACE = np.uint64((1 << 28) - 1)
 
 
@@ -141,7 +144,7 @@ def _ranges(flags: np.ndarray, length: int) -> Iterator[tuple[int, int]]:
         yield from zip(at[np.concatenate([[0], cuts + 1])].tolist(), (at[np.append(cuts, len(at) - 1)] + length).tolist(), strict=True)
 
 
-def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """All rows of ``docs`` (doc_id, text) with ``copies`` (rows of the same text) and ``ranges`` (array of lo, hi of bytes that repeat; unordered, may overlap; null if none).
 
     A text with copies is a repeat as a whole and has no ranges of its own.
@@ -154,27 +157,36 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
             text, fp, context, lo, hi = anchors(*text_buffers(b.column(0)), length, gram)
             yield pa.RecordBatch.from_arrays([b.column(1).take(pa.array(text)), *map(pa.array, (fp, context)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], names=["key", "fp", "context", "lo", "hi"])
 
-    found = texts.where(F.octet_length("text") >= length).select("text", "key").mapInArrow(scan, "key long, fp long, context long, lo int, hi int")
+    found = texts.where(F.octet_length("text") >= length).select("text", "key").mapInArrow(tidy(scan), "key long, fp long, context long, lo int, hi int")
     found = found.repartition("fp").dropDuplicates(["fp", "context", "key", "lo", "hi"])
     same, near = Window.partitionBy("fp", "context"), Window.partitionBy("fp")
     found = found.select("*", F.count("*").over(same).alias("n"), F.min("key").over(same).alias("first")).select("*", (F.min("context").over(near) != F.max("context").over(near)).alias("mixed"))
-    found = cut(found.where("n > 1 or mixed").select("key", "fp", "lo", "hi", (F.col("n") > 1).alias("whole"), F.expr("mixed and (n = 1 or key = first)").alias("sent")))
+    found = found.where("n > 1 or mixed").select("key", "fp", "lo", "hi", (F.col("n") > 1).alias("whole"), F.expr("mixed and (n = 1 or key = first)").alias("sent"))
+    found = cut(found.withColumn("crowd", F.count_if("sent").over(near) > crowd))
 
     spread = texts.repartition("key")
     rows = texts.groupBy("key").agg(F.count("*").alias("copies"), F.min(F.xxhash64("doc_id")).alias("one"))
-    sent = found.where("sent").groupBy("key").agg(F.collect_list(F.struct("fp", "lo", "hi")).alias("sent")).join(rows, "key")
+    sent = found.where("sent").groupBy("key").agg(F.collect_list(F.struct("fp", "lo", "hi", "crowd")).alias("sent")).join(rows, "key")
     sources = spread.join(sent, "key").where(F.xxhash64("doc_id") == F.col("one")).select("key", "text", "sent")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for key, text, sent_ in zip(b.column(0), b.column(1), b.column(2), strict=True):
-                data, parts = text.as_py().encode(), sent_.as_py()
-                for i in range(0, len(parts), 4096):
-                    some = parts[i : i + 4096]
-                    yield pa.RecordBatch.from_arrays([pa.array([key.as_py()] * len(some)), pa.array([p["fp"] for p in some]), pa.array([p["lo"] for p in some], pa.int32()), pa.array([data[p["lo"] : p["hi"] + length] for p in some], pa.binary())], names=["key", "fp", "lo", "bytes"])
+                data, rows_ = text.as_py().encode(), []
+                for p in sent_.as_py():
+                    if p["crowd"]:
+                        for at in range(p["lo"], p["hi"] + 1):
+                            h = hashlib.blake2b(data[at : at + length], digest_size=16).digest()
+                            rows_.append((int.from_bytes(h[:8], "little", signed=True), at, h[8:]))
+                    else:
+                        rows_.append((p["fp"], p["lo"], data[p["lo"] : p["hi"] + length]))
+                for i in range(0, len(rows_), 4096):
+                    fps, los, parts = zip(*rows_[i : i + 4096], strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([key.as_py()] * len(fps)), pa.array(fps, pa.int64()), pa.array(los, pa.int32()), pa.array(parts, pa.binary())], names=["key", "fp", "lo", "bytes"])
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, los, parts, fp, size = [], [], [], None, 0
+        hashed: dict[bytes, tuple | None] = {}  # the first window of each hash under this fp, until another shows
 
         def out():
             flags = repeated_windows(parts, length)
@@ -182,36 +194,52 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
             for key, lo, part in zip(keys, los, parts, strict=True):
                 rows_ += [(key, lo + a, lo + z) for a, z in _ranges(flags[at : at + len(part)], length)]
                 at += len(part) + 1
+            return rows_of(rows_)
+
+        def rows_of(rows_):
             cols = list(zip(*rows_, strict=True)) or [[]] * 3
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["key", "lo", "hi"])
 
         for b in batches:
+            pairs: list[tuple] = []
             for key, f, lo, part in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 if f != fp and size > INDEX_BYTES:
                     yield out()
                     keys, los, parts, size = [], [], [], 0
-                fp = f
+                if f != fp:
+                    fp, hashed = f, {}
+                if len(part) < length:
+                    if part not in hashed:
+                        hashed[part] = (key, lo, lo + length)
+                    else:
+                        if first := hashed[part]:
+                            pairs.append(first)
+                            hashed[part] = None
+                        pairs.append((key, lo, lo + length))
+                    continue
                 keys.append(key)
                 los.append(lo)
                 parts.append(part)
                 size += len(part)
+            if pairs:
+                yield rows_of(pairs)
         if parts:
             yield out()
 
-    contexts = sources.mapInArrow(split, "key long, fp long, lo int, bytes binary").repartition("fp").sortWithinPartitions("fp")
-    marks = contexts.mapInArrow(index, "key long, lo int, hi int")
+    contexts = sources.mapInArrow(tidy(split), "key long, fp long, lo int, bytes binary").repartition("fp").sortWithinPartitions("fp")
+    marks = contexts.mapInArrow(tidy(index), "key long, lo int, hi int")
     marks = marks.union(found.where("whole").select("key", "lo", (F.col("hi") + length).alias("hi")))
     single = marks.join(rows.where("copies = 1").select("key"), "key", "left_semi").groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     return spread.join(rows.select("key", "copies").join(single, "key", "left"), "key").select("doc_id", "text", "copies", "ranges")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, kept (binary).
 
     Removes each byte covered by a string of ``length`` bytes that also starts anywhere else, in the same text or another. A null text is empty; texts
     under ``length`` bytes lose nothing. Repeated rows are copies of each other, whatever their ids.
     """
-    found = find_repeats(only_columns(docs, "doc_id", "text"), length, gram)
+    found = find_repeats(only_columns(docs, "doc_id", "text"), length, gram, crowd)
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,4 +264,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
             cols = zip(*rows, strict=True) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return found.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return found.mapInArrow(tidy(run), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

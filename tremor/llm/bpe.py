@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import cut, only_columns, pieces
+from tremor.llm.common import cut, only_columns, pieces, tidy
 
 #: Words in the dictionary at most; words that a task counts at a time.
-WORDS, COUNTED = 1 << 17, 200_000
+WORDS, COUNTED = 1 << 18, 200_000
 MISS = 0xFFFFFFFF
-#: Bytes up to which a word is folded in the layout for short words.
-SHORT = 48
+#: A part that merges with no next one: over every rank.
+NONE = 65536 << 46
 
 #: White space of Unicode; the pattern's own \s differs between regular expression libraries in a few control characters.
 _WHITE = r"\t-\r\x20\x85\xa0  -     　"
@@ -90,53 +90,44 @@ def _let(value: Column, body) -> Column:
 
 
 def fold_merges(bytes_: Column, byte_ids: list[int], table: PairTable) -> Column:
-    """Token ids (array of bigint) of a word given as an array of its bytes."""
+    """Token ids (array of bigint) of a word given as an array of its bytes.
+
+    The state is one array; a part is rank * 2^46 + place * 2^16 + id, where rank is that of the part with the next one and place its first byte. So the least
+    element is the leftmost pair of least rank, and a step changes two elements and drops one.
+    """
     literal = lambda xs: F.split(F.lit(" ".join(map(str, xs))), " ").cast("array<bigint>")
     whole = F.struct(literal(byte_ids).alias("b"), literal(table.shift).alias("d"), literal(table.slots).alias("s"))
 
     def encode(t: Column) -> Column:
         def rank(x: Column, y: Column) -> Column:
-            """Below 2^16: the rank of the pair; else it has none."""
+            """The rank of the pair times 2^46, NONE if it has none; null without a y."""
             key = x * 65536 + y
-            return F.get(t["s"], F.pmod(key * table.A + F.get(t["d"], F.pmod(key, F.lit(table.m))), F.lit(table.n))).bitwiseXOR(F.shiftleft(key, 16))
-
-        def short(ids: Column) -> Column:
-            """The ranks of all pairs are looked up again in each step: least work for words of a few bytes."""
-
-            def step(p: Column, _: Column) -> Column:
-                def merge(r: Column) -> Column:
-                    least = F.array_min(r)
-                    at = F.struct(least.alias("m"), F.array_position(r, least).cast("int").alias("i"))
-                    put = lambda z: F.filter(F.transform(p, lambda x, j: F.when(j + 1 == z["i"], z["m"]).otherwise(x)), lambda _, j: j != z["i"])
-                    return F.when(least < 65536, _let(at, put)).otherwise(p)
-
-                return _let(F.transform(p, lambda x, j: rank(x, F.get(p, j + 1))), merge)
-
-            return F.aggregate(F.sequence(F.lit(2), F.size(ids)), ids, step)
+            entry = F.get(t["s"], F.pmod(key * table.A + F.get(t["d"], F.pmod(key, F.lit(table.m))), F.lit(table.n))).bitwiseXOR(F.shiftleft(key, 16))
+            return F.shiftleft(F.least(entry, F.lit(65536)), 46)
 
-        def long(ids: Column) -> Column:
-            """The state carries the ranks of the pairs, of which a step changes two: least work for words of many bytes."""
+        def part(x: Column) -> Column:
+            return x.bitwiseAND(F.lit(65535))
 
-            def start(p: Column) -> Column:
-                return F.struct(p.alias("p"), F.transform(F.slice(p, F.lit(1), F.size(p) - 1), lambda x, j: rank(x, F.get(p, j + 1))).alias("r"))
+        def step(v: Column, _: Column) -> Column:
+            least = F.array_min(v)
+            at = F.struct(F.array_position(v, least).cast("int").alias("i"), F.shiftright(least, 46).alias("m"), least.bitwiseAND(F.lit((1 << 46) - 65536)).alias("p"))
 
-            def step(s: Column, _: Column) -> Column:
-                def merge(z: Column) -> Column:
-                    i, m, p, r = z["i"], z["m"], s["p"], s["r"]
-                    none = F.array().cast("array<bigint>")
-                    left = F.when(i > 1, F.array(rank(F.get(p, i - 2), m))).otherwise(none)
-                    right = F.when(i + 1 < F.size(p), F.array(rank(m, F.get(p, i + 1)))).otherwise(none)
-                    parts = F.concat(F.slice(p, F.lit(1), i - 1), F.array(m), F.slice(p, i + 2, F.size(p)))
-                    ranks = F.concat(F.slice(r, F.lit(1), F.greatest(i - 2, F.lit(0))), left, right, F.slice(r, i + 2, F.size(p)))
-                    return F.struct(parts.alias("p"), ranks.alias("r"))
+            def merge(z: Column) -> Column:
+                i, m = z["i"], z["m"]
+                none = F.array().cast("array<bigint>")
+                before = F.get(v, i - 2)
+                left = F.when(i > 1, F.array(rank(part(before), m) + before.bitwiseAND(F.lit((1 << 46) - 1)))).otherwise(none)
+                own = F.array(F.coalesce(rank(m, part(F.get(v, i + 1))), F.lit(NONE)) + z["p"] + m)
+                return F.concat(F.slice(v, F.lit(1), F.greatest(i - 2, F.lit(0))), left, own, F.slice(v, i + 2, F.size(v)))
 
-                least = F.array_min(s["r"])
-                return F.when(least < 65536, _let(F.struct(least.alias("m"), F.array_position(s["r"], least).cast("int").alias("i")), merge)).otherwise(s)
+            return F.when(least < NONE, _let(at, merge)).otherwise(v)
 
-            return F.aggregate(F.sequence(F.lit(2), F.size(ids)), _let(ids, start), step, lambda s: s["p"])
+        def start(ids: Column) -> Column:
+            return F.transform(ids, lambda x, j: F.coalesce(rank(x, F.get(ids, j + 1)), F.lit(NONE)) + F.shiftleft(j.cast("bigint"), 16) + x)
 
         ids = F.transform(bytes_, lambda b: F.get(t["b"], b))
-        return F.when(F.size(bytes_) < 2, ids).when(F.size(bytes_) <= SHORT, short(ids)).otherwise(long(ids))
+        steps = F.when(F.size(bytes_) > 1, F.sequence(F.lit(2), F.size(bytes_))).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(steps, _let(ids, start), step, lambda v: F.transform(v, part))
 
     return _let(whole, encode)
 
@@ -183,7 +174,7 @@ def _dictionary(docs: DataFrame, encoder: Encoder, shared, most: int) -> list[tu
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), _byte_arrays([w.encode() for w in b.column(0).to_pylist()])], names=["word", "bytes"])
 
-    counts = cut(docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    counts = cut(docs.select("text").mapInArrow(tidy(count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
     step = F.floor(F.log2("n") * 8).cast("int")
     total, least = 0, 0
     for r in counts.groupBy(step.alias("k")).agg(F.count("*").alias("c")).orderBy(F.desc("k")).collect():
@@ -191,7 +182,7 @@ def _dictionary(docs: DataFrame, encoder: Encoder, shared, most: int) -> list[tu
         if total > most:
             least = r.k + 1
             break
-    spelled = counts.where(step >= least).select("word").mapInArrow(spell, "word string, bytes array<smallint>")
+    spelled = counts.where(step >= least).select("word").mapInArrow(tidy(spell), "word string, bytes array<smallint>")
     rows = spelled.select("word", encoder.fold(F.col("bytes")).alias("ids")).toArrow()
     ids = rows.column("ids").combine_chunks()
     return rows.column("word").combine_chunks(), ids
@@ -260,9 +251,9 @@ def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS) -> Data
             yield pa.RecordBatch.from_arrays([*b.columns[:k], pa.array(out, pa.binary())], names=[*b.schema.names[:k], "ids"])
 
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in schema)
-    looked = docs.mapInArrow(look_up, f"{fields}ids binary, missing array<array<smallint>>")
+    looked = docs.mapInArrow(tidy(look_up), f"{fields}ids binary, missing array<array<smallint>>")
     folded = looked.withColumn("missing", F.transform("missing", encoder.fold))
-    return folded.mapInArrow(fill_in, f"{fields}ids binary")
+    return folded.mapInArrow(tidy(fill_in), f"{fields}ids binary")
 
 
 def _text(token: bytes) -> str | None:
@@ -293,7 +284,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([one(x or b"") for x in ids.to_pylist()], pa.binary())], names=[*names, "decoded"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-    return encoded.mapInArrow(run, f"{fields}, decoded binary")
+    return encoded.mapInArrow(tidy(run), f"{fields}, decoded binary")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:

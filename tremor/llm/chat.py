@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremor.llm.common import HELD_OUT, cut, only_columns
+from tremor.llm.common import HELD_OUT, cut, only_columns, tidy
 
 ROLES = ["system", "user", "assistant"]
 MARKERS = {"system": r"system|sys|instruction|context", "user": r"user|human|customer|question|q|prompt|you", "assistant": r"assistant|ai|bot|agent|answer|a|model|response"}
@@ -165,4 +165,4 @@ def parse(turns: DataFrame) -> DataFrame:
             yield batch()
 
     ordered = lines.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "at", "line").select("conv_id", "obs", strip.alias("line"))
-    return ordered.mapInArrow(run, f"conv_id {kind}, turn long, role string, n_lines long, text string, rendered string")
+    return ordered.mapInArrow(tidy(run), f"conv_id {kind}, turn long, role string, n_lines long, text string, rendered string")

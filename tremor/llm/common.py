@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
+import sys
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one vectorised step works on; a longer text is a step of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 #: Remainder of crc32(doc_id as text) modulo 4 that marks held-out documents.
 HELD_OUT = 2
@@ -44,6 +47,21 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, and then the memory that it used goes back to the system: Python workers live on, and what one step leaves in them adds to the next step's need."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux":
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return whole
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches whose ``column`` holds about ``most`` bytes at most, a row at least."""
     import numpy as np

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import only_columns
+from tremor.llm.common import only_columns, tidy
 
 WINDOW = 10
 BLOCK = 3
@@ -162,7 +162,7 @@ def search_columns(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, kind)], names=[*batch.schema.names, "found"])
 
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    return docs.mapInArrow(run, f"{out}, found {_FOUND}")
+    return docs.mapInArrow(tidy(run), f"{out}, found {_FOUND}")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:

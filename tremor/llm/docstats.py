@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tremor.llm.common import pieces, text_buffers
+from tremor.llm.common import pieces, text_buffers, tidy
 from tremor.llm.textvec import SPACED, Words, byte_class, repeated, span_hashes, sums
 
 SYMBOLS = np.zeros(256, bool)
@@ -94,4 +94,4 @@ def document_stats(docs: DataFrame, keys: list[str]) -> DataFrame:
             )
 
     fields = [*(f"`{k}` {kinds[k]}" for k in keys), *(f"{c} bigint" for c in COUNTS), "features array<double>"]
-    return docs.select(*dict.fromkeys([*keys, "text"])).mapInArrow(run, ", ".join(fields))
+    return docs.select(*dict.fromkeys([*keys, "text"])).mapInArrow(tidy(run), ", ".join(fields))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import cut, held_out, labelled, only_columns
+from tremor.llm.common import cut, held_out, labelled, only_columns, tidy
 from tremor.llm.docstats import FEATURES, document_stats
 
 DIM, FOLDS, BINS, RIDGE = 192, 3, 512, 1e-3
@@ -82,7 +82,7 @@ def _normal_equations(train: DataFrame, fourier: Fourier) -> np.ndarray:
         if total.any():
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size, dtype=np.int32)), pa.array(total.ravel())], names=["cell", "v"])
 
-    rows = train.select("fold", "features", F.col("y").cast("double")).mapInArrow(run, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v")).toArrow()
+    rows = train.select("fold", "features", F.col("y").cast("double")).mapInArrow(tidy(run), "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v")).toArrow()
     out = np.zeros(FOLDS * k * k)
     out[rows.column("cell").to_numpy()] = rows.column("v").to_numpy()
     return out.reshape(FOLDS, k, k)
@@ -114,7 +114,7 @@ def fit(stats: DataFrame, labels: DataFrame) -> Model:
                 bins = np.clip(((score + 0.5) / 2 * BINS).astype(np.int32), 0, BINS - 1)
                 yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(score), b.column(2)], names=["bin", "score", "y"])
 
-    counts = train.select("fold", "features", F.col("y").cast("double")).mapInArrow(run, "bin int, score double, y double").groupBy("bin").agg(F.avg("score").alias("s"), F.count("*").alias("n"), F.sum("y").alias("y")).orderBy("bin").collect()
+    counts = train.select("fold", "features", F.col("y").cast("double")).mapInArrow(tidy(run), "bin int, score double, y double").groupBy("bin").agg(F.avg("score").alias("s"), F.count("*").alias("n"), F.sum("y").alias("y")).orderBy("bin").collect()
     s, w, y = (np.array([float(r[k]) for r in counts]) for k in ("s", "n", "y"))
     return Model(fourier, _solve(whole), *pool(s, w, y))
 
@@ -134,5 +134,5 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
             if b.num_rows:
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(model(matrix(b.column(1))))], names=["doc_id", "score"])
 
-    scored = stats.mapInArrow(run, f"doc_id {dict(stats.dtypes)['doc_id']}, score double")
+    scored = stats.mapInArrow(tidy(run), f"doc_id {dict(stats.dtypes)['doc_id']}, score double")
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import cut, only_columns, pieces, text_buffers
+from tremor.llm.common import cut, only_columns, pieces, text_buffers, tidy
 from tremor.llm.graph import components
 from tremor.llm.textvec import SPACED, Words, mix
 
@@ -85,7 +85,7 @@ def frequency_sketch(docs: DataFrame, size: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.minimum(v, 2**31 - 1).astype(np.int32).tobytes()])], names=["slice", "cells"])
 
     kind = "slice int, cells binary"
-    rows = docs.select("text").mapInArrow(count, kind).repartition(CELLS // SLICE, "slice").mapInArrow(add, kind).collect()
+    rows = docs.select("text").mapInArrow(tidy(count), kind).repartition(CELLS // SLICE, "slice").mapInArrow(add, kind).collect()
     out = np.zeros(CELLS, np.int32)
     for r in rows:
         out[r.slice * SLICE : (r.slice + 1) * SLICE] = np.frombuffer(r.cells, np.int32)
@@ -93,17 +93,22 @@ def frequency_sketch(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> DataFrame:
-    """doc_id, sig, n and prefix (array of the n-grams that a linked set must share one of) of each row."""
+    """doc_id, sig, n, prefix (array of the n-grams that a linked set must share one of) and counts of each row. Of equal sets that a task meets the first brings the prefix."""
     cells = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        freq = cells.value
+        freq, seen = cells.value, set()
         for b in pieces(batches, "text"):
             grams, bounds, sig = shingle_sets(b.column(1), size)
             n = np.diff(bounds)
+            again = np.zeros(len(n), bool)
+            for i, (known, s) in enumerate(zip(b.column(0).is_valid().to_pylist(), sig.tolist(), strict=True)):
+                again[i] = s in seen
+                if known:
+                    seen.add(s)
             doc = np.repeat(np.arange(len(n)), n)
             order = np.lexsort((grams, freq[_cell(grams)], doc))
-            take = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
+            take = np.where((n > 0) & ~again, n - -(-percent * n // 100) + 1, 0)
             first = np.arange(len(grams)) - bounds[doc] < take[doc]
             ends = np.concatenate([[0], np.cumsum(take)]).astype(np.int32)
             prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(grams[order][first]))
@@ -112,7 +117,7 @@ def _prefixes(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> D
             counts = pa.array([c.tobytes() for c in count], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sig), pa.array(n.astype(np.int64)), prefix, counts], names=["doc_id", "sig", "n", "prefix", "counts"])
 
-    return docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, sig long, n long, prefix array<long>, counts binary")
+    return docs.mapInArrow(tidy(run), f"doc_id {dict(docs.dtypes)['doc_id']}, sig long, n long, prefix array<long>, counts binary")
 
 
 def _ties(posts: DataFrame, percent: int) -> DataFrame:
@@ -159,11 +164,11 @@ def _ties(posts: DataFrame, percent: int) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
 
-    return posts.select("gram", "n", "sig", "counts").mapInArrow(run, "a long, b long")
+    return posts.select("gram", "n", "sig", "counts").mapInArrow(tidy(run), "a long, b long")
 
 
-def _sets(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
-    """doc_id, sig and grams (binary, ascending int64) of the rows whose id passes a fixed-size filter of the ids in ``wanted`` (rep)."""
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """rep and text of the rows whose id passes a fixed-size filter of the ids in ``wanted`` (rep): all of those, and few others. Text is sent rather than sets, whose hashes don't compress."""
     place = F.pmod(F.xxhash64("rep"), F.lit(BITS))
     words = wanted.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits")).toArrow()
     bits = np.zeros(BITS >> 6, np.uint64)
@@ -174,14 +179,10 @@ def _sets(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
         for b in batches:
             p = b.column(2).to_numpy()
             b = b.filter(pa.array((shared.value[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1) == 1))
-            for part in pieces([b], "text"):
-                grams, bounds, sig = shingle_sets(part.column(1), size)
-                raw = pa.py_buffer(np.ascontiguousarray(grams).tobytes())
-                column = pa.Array.from_buffers(pa.binary(), len(sig), [None, pa.py_buffer((8 * bounds).astype(np.int32).tobytes()), raw])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sig), column], names=["doc_id", "sig", "grams"])
+            yield pa.RecordBatch.from_arrays(b.columns[:2], names=["rep", "text"])
 
     rows = docs.where("doc_id is not null").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(BITS)).alias("p"))
-    return rows.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, sig long, grams binary")
+    return rows.mapInArrow(tidy(run), f"rep {dict(docs.dtypes)['doc_id']}, text string")
 
 
 class Trie:
@@ -290,8 +291,8 @@ def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return [(order[i], order[j]) for i, j in links]
 
 
-def _links(groups: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links within each (root, i, j) of ``groups``, whose rows lie together; a group holds two blocks at most."""
+def _links(groups: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b): links within each (root, i, j) of ``groups`` (with sig and text), whose rows lie together; a group holds two blocks at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, {}
@@ -301,19 +302,19 @@ def _links(groups: DataFrame, percent: int) -> DataFrame:
             pairs = linked([held[s] for s in sigs], percent) if len(sigs) > 1 else []
             return pa.RecordBatch.from_arrays([pa.array([sigs[i] for i, _ in pairs], pa.int64()), pa.array([sigs[j] for _, j in pairs], pa.int64())], names=["a", "b"])
 
-        for b in batches:
-            keys = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True))
-            for now, sig, grams in zip(keys, b.column(3).to_pylist(), b.column(4), strict=True):
+        for b in pieces(batches, "text"):
+            grams, bounds, own = shingle_sets(b.column(4), size)
+            for k, (*now, sig) in enumerate(zip(*(c.to_pylist() for c in b.columns[:4]), strict=True)):
                 if now != key:
                     if len(held) > 1:
                         yield flush()
                     key, held = now, {}
-                if sig not in held:
-                    held[sig] = np.frombuffer(grams.as_py(), np.int64)
+                if own[k] == sig and sig not in held:  # another row may have the id of the one that is wanted
+                    held[sig] = grams[bounds[k] : bounds[k + 1]].copy()
         if len(held) > 1:
             yield flush()
 
-    return groups.select("root", "i", "j", "sig", "grams").mapInArrow(run, "a long, b long")
+    return groups.select("root", "i", "j", "sig", "text").mapInArrow(tidy(run), "a long, b long")
 
 
 def join_components(docs: DataFrame, size: int = 4, percent: int = 85, block: int = BLOCK) -> DataFrame:
@@ -326,21 +327,21 @@ def join_components(docs: DataFrame, size: int = 4, percent: int = 85, block: in
     docs = only_columns(docs, "doc_id", "text")
     keys = cut(_prefixes(docs, size, percent, frequency_sketch(docs, size)))
     some = keys.where("n > 0 and doc_id is not null")
-    posts = some.select(F.explode("prefix").alias("gram"), "sig", "n")
-    shared = posts.groupBy("gram").agg(F.min("sig").alias("a"), F.max("sig").alias("z")).where("a < z").select("gram", "a")
+    posts = some.select(F.explode("prefix").alias("gram"), "sig").repartition("gram")  # sent once, for the count and for the join
+    shared = posts.groupBy("gram").agg(F.min("sig").alias("a"), F.max("sig").alias("z")).where("a < z")
     alike = posts.join(shared.select("gram"), "gram").distinct()
-    counts = some.groupBy("sig").agg(F.min("counts").alias("counts"))
+    counts = some.groupBy("sig").agg(F.min("n").alias("n"), F.min("counts").alias("counts"))
     dealt = alike.join(counts, "sig").repartition("gram").sortWithinPartitions("gram", "n", "sig")
     ties = _ties(dealt, percent)
     roots = components(ties)
     nodes = some.groupBy("sig").agg(F.min("doc_id").alias("rep")).join(roots.toDF("sig", "root"), "sig")
     blocks = nodes.join(roots.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "root")
     wanted = cut(blocks.select("sig", "rep", "root", "blocks", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int").alias("own")))
-    sets = _sets(docs, size, wanted).withColumnRenamed("doc_id", "rep").join(wanted, ["rep", "sig"])
-    dealt = sets.select("root", "sig", "grams", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
-    dealt = dealt.select("root", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "sig", "grams")
+    texts = _texts(docs, wanted).join(wanted, "rep")
+    dealt = texts.select("root", "sig", "text", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
+    dealt = dealt.select("root", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "sig", "text")
     groups = dealt.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
-    found = components(_links(groups, percent))
+    found = components(_links(groups, size, percent))
     rooted = keys.select("doc_id", "n", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("sig")).alias("sig")).join(found.toDF("sig", "root"), "sig", "left")
     rooted = rooted.select("doc_id", "n", F.coalesce("root", "sig").alias("root"))
     least = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))

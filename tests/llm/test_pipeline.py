@@ -40,7 +40,7 @@ def test_stages_take_empty_tables(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, DATA).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op6_ngram_jaccard_join", "op8_decontamination"])
+@pytest.mark.parametrize("name", ["op3_suffix_dedup", "op6_ngram_jaccard_join", "op8_decontamination"])
 def test_equals_sql(spark, name):
     import duckdb
 

@@ -95,4 +95,22 @@ select d.doc_id, cast(coalesce(s.n, 0) as bigint) as n_shingles, least(d.doc_id,
 from docs d left join sizes s using (doc_id) left join least_ids l on l.a = d.doc_id
 """
 
-SQL: dict[str, str] = {"op6_ngram_jaccard_join": OP6_SQL, "op8_decontamination": OP8_SQL}
+OP3_SQL = """
+with docs as (select doc_id, coalesce(text, '') as text, hex(encode(coalesce(text, ''))) as h, cast(octet_length(encode(coalesce(text, ''))) as bigint) as n from documents),
+blocks as (select doc_id, n, 400 * b as base, substr(h, 800 * b + 1, 1198) as part from (select doc_id, n, h, unnest(range(0, (n + 200) // 400)) as b from docs where n >= 200)),
+starts as (select doc_id, base + o as s, md5(substr(part, 2 * o + 1, 400)) as win from (select *, unnest(range(0, least(400, n - 199 - base))) as o from blocks)),
+counted as (select doc_id, s, count(*) over (partition by win) as c from starts),
+steps as (select doc_id, s, case when s - lag(s) over (partition by doc_id order by s) <= 200 then 0 else 1 end as new from counted where c > 1),
+numbered as (select doc_id, s, sum(new) over (partition by doc_id order by s) as k from steps),
+spans as (select doc_id, k, min(s) as lo, max(s) + 200 as hi from numbered group by doc_id, k),
+pieces as (
+  select doc_id, coalesce(lag(hi) over (partition by doc_id order by lo), 0) as a, lo as b from spans
+  union all select s.doc_id, max(s.hi), max(d.n) from spans s join docs d on d.doc_id = s.doc_id group by s.doc_id
+),
+kept as (select p.doc_id, string_agg(substr(d.h, 2 * p.a + 1, 2 * (p.b - p.a)), '' order by p.a) as h from pieces p join docs d on d.doc_id = p.doc_id group by p.doc_id),
+lost as (select doc_id, sum(hi - lo) as n_removed, count(*) as n_spans from spans group by doc_id)
+select d.doc_id, d.n as n_bytes, cast(coalesce(l.n_removed, 0) as bigint) as n_removed, cast(coalesce(l.n_spans, 0) as bigint) as n_spans, sha256(coalesce(unhex(k.h), encode(d.text))) as kept_sha256
+from docs d left join lost l using (doc_id) left join kept k using (doc_id)
+"""
+
+SQL: dict[str, str] = {"op3_suffix_dedup": OP3_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op8_decontamination": OP8_SQL}

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tremor.llm import bpe, chat, decontaminate, line_dedup, ngram_join, quality, repeats, rules, toxicity, url_filter
 from tremor.llm.common import table

@@ -35,12 +35,6 @@ class Spark:
     def pad2(self, v: str) -> str:
         return f"format_string('%02d', {v})"
 
-    def single(self, v: str) -> str:
-        return f"cast({v} as float)"
-
-    def array_x(self, v: str) -> str:
-        return f"posexplode({v})"
-
 
 class Duck(Spark):
     spark = False

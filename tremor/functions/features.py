@@ -118,9 +118,9 @@ def hop_windows(d: Spark) -> str:
 
 
 def window_labels(d: Spark) -> str:
-    """Label with a number of at least two digits that runs across series, and the time of the window's end in minutes."""
-    return f"""with {hop(d)}, w as (select station, component, w from hop group by station, component, w), n as (select *, row_number() over (order by station, component, w) as g from w)
-select station, component, w, concat('wave_w', {d.pad2("cast(g as bigint)")}) as pencere_id, round((1000e0 + (w * {STEP} + {WIN}) / {FS}) / 60, 6) + 0.0e0 as zaman_dk from n"""
+    """Label with a number of at least two digits that runs across a station's series, and the time of the window's end in minutes."""
+    return f"""with {hop(d)}, w as (select station, component, w from hop group by station, component, w), n as (select *, row_number() over (partition by station order by component, w) as g from w)
+select station, component, w, concat('s', cast(station as varchar(20)), '_w', {d.pad2("cast(g as bigint)")}) as pencere_id, round((1000e0 + (w * {STEP} + {WIN}) / {FS}) / 60, 6) + 0.0e0 as zaman_dk from n"""
 
 
 def grid(d: Spark, cell: int = 3600) -> str:
@@ -172,8 +172,8 @@ select component, w, cast(count(x) as bigint) as present, round(case when count(
 
 
 def records(d: Spark) -> str:
-    """A pseudo index of records of 1 to 100 samples at one sample a minute."""
-    return f"""records as (select user_id % 8 as file_idx, event_id as rec_offset, {d.epoch("ts")} as start_epoch, cast(1 + event_id % 100 as bigint) as n, 1e0 / 60 as fs,
+    """A pseudo index of records of 1 to 100 samples at one sample a minute, of four stations."""
+    return f"""records as (select user_id % 4 as station, user_id % 8 as file_idx, event_id as rec_offset, {d.epoch("ts")} as start_epoch, cast(1 + event_id % 100 as bigint) as n, 1e0 / 60 as fs,
   case event_type when 'click' then 'E' when 'view' then 'N' when 'purchase' then 'Z' end as component, value from {d.table("events")} where event_type in ('click', 'view', 'purchase'))"""
 
 
@@ -208,14 +208,14 @@ _ORDER = "order by start_epoch, file_idx, rec_offset"
 
 
 def running_watermark(d: Spark) -> str:
-    return f"with {records(d)} select component, rec_offset, round(max(start_epoch + (n - 1) / fs) over (partition by component {_ORDER} rows unbounded preceding), 3) + 0.0e0 as watermark from records"
+    return f"with {records(d)} select station, component, rec_offset, round(max(start_epoch + (n - 1) / fs) over (partition by station, component {_ORDER} rows unbounded preceding), 3) + 0.0e0 as watermark from records"
 
 
 BLOCK_S, SLACK_S = 14400, 1440
 
 
 def _late(d: Spark) -> str:
-    return f"""{records(d)}, m as (select *, max(start_epoch + (n - 1) / fs) over ({_ORDER} rows between unbounded preceding and 1 preceding) as wm, min(start_epoch) over () as start0 from records),
+    return f"""{records(d)}, m as (select *, max(start_epoch + (n - 1) / fs) over (partition by station {_ORDER} rows between unbounded preceding and 1 preceding) as wm, min(start_epoch) over (partition by station) as start0 from records),
 k as (select *, greatest(0e0, floor((coalesce(wm, start0) - start0 - {SLACK_S}) / {BLOCK_S})) as blocks from m)"""
 
 

@@ -69,7 +69,7 @@ def block_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tremor.config import Config
     from tremor.plans.pipeline import blocks_of, plan_blocks
 
-    text = lambda d: f"with {records(d)} select cast('S' as string) as station, cast(file_idx as string) as path, rec_offset as `offset`, start_epoch, component, cast(n as int) as `count`, fs, transform(sequence(0L, n - 1), j -> value + sin(j)) as samples from records"
+    text = lambda d: f"with {records(d)} select cast(station as string) as station, cast(file_idx as string) as path, rec_offset as `offset`, start_epoch, component, cast(n as int) as `count`, fs, transform(sequence(0L, n - 1), j -> value + sin(j)) as samples from records"
     rows = dialect.run(spark, sf_dir, text)
     native = 1 / 60
     cfg = Config(fs=native / 2, freqmin=native / 200, freqmax=native / 8)

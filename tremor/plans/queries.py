@@ -75,7 +75,7 @@ def block_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = Config(fs=native / 2, freqmin=native / 200, freqmax=native / 8)
     plan = plan_blocks(rows.drop("samples"), 2, block_s=86400, slack_s=6000, context_s=7200, reset_s=172800)
     chunks = blocks_of(rows, plan, cfg, native)
-    power = lambda c: F.round(F.aggregate(F.filter(c, lambda v: ~F.isnan(v)), F.lit(0.0), lambda a, v: a + v * v), 6).alias(f"{c}_power")
+    power = lambda c: F.round(F.aggregate(F.filter(c, lambda v: v.isNotNull() & ~F.isnan(v)), F.lit(0.0), lambda a, v: a + v * v), 6).alias(f"{c}_power")
     return chunks.select("station", "segment", "block", F.round("start_epoch", 3).alias("start_epoch"), F.size("e").alias("n"), *map(power, "enz"))
 
 

@@ -71,7 +71,8 @@ def frequency_sketch(docs: DataFrame, size: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(CELLS, np.int32)
         for b in pieces(batches, "text"):
-            cells += np.bincount(_cell(shingle_sets(b.column(0), size)[0]), minlength=CELLS).astype(np.int32)
+            which, n = np.unique(_cell(shingle_sets(b.column(0), size)[0]), return_counts=True)
+            cells[which] += n.astype(np.int32)
         if cells.any():  # a task's counts over 255 are frequent enough to stand at the end of the order
             parts = [np.minimum(cells[i : i + SLICE], 255).astype(np.uint8).tobytes() for i in range(0, CELLS, SLICE)]
             yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], names=["slice", "cells"])

@@ -6,8 +6,6 @@ running sum over the whole buffer and finished with a bit mixer, so no Python co
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -36,16 +34,20 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-@functools.lru_cache(4)
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: list[np.ndarray] = []
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    base = 0x9E3779B97F4A7C15 | 1
-    inverse = pow(base, -1, 1 << 64)
-    out = []
-    for b in (base, inverse):
-        p = np.full(n, np.uint64(b))
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+    """The first powers of the base and of its inverse; the longest tables made so far are kept, shorter ones are parts of them."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        made = []
+        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
+            p = np.full(max(n, 1 << 16), np.uint64(b))
+            p[0] = 1
+            made.append(np.multiply.accumulate(p))
+        _POWERS[:] = made
+    return _POWERS[0], _POWERS[1]
 
 
 _VALUES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -53,8 +55,7 @@ _VALUES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uin
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of ``buf[s:e]``; equal bytes have equal hashes wherever they stand."""
-    n = 1 << max(16, int(len(buf)).bit_length())
-    up, down = _powers(n)
+    up, down = _powers(len(buf) + 1)
     sums = np.zeros(len(buf) + 1, np.uint64)
     np.cumsum(_VALUES[buf] * up[: len(buf)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))

@@ -359,3 +359,9 @@ def test_viterbi_stream_equals_whole():
         state = int(b[state])
         want.append(state)
     assert got == want[::-1]
+
+
+def test_repeats_of_one_text_only(spark):
+    rows = [(i, "the same text in every document of this table, long enough to be found, and then some more words to make it so" * 2) for i in range(30)]
+    got = repeats.remove_repeats(frame(spark, rows).coalesce(1), 20, 8).collect()
+    assert all((r.n_removed, r.n_spans, r.kept) == (r.n_bytes, 1, b"") for r in got) and len(got) == 30

@@ -153,7 +153,12 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd:
     texts = texts.select("doc_id", "text", F.xxhash64("text").alias("key"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # of copies of a text that a task meets one brings its anchors
         for b in pieces(batches, "text"):
+            new = [k not in seen and not seen.add(k) for k in b.column(1).to_pylist()]
+            if not any(new):
+                continue
+            b = b if all(new) else b.filter(pa.array(new))
             text, fp, context, lo, hi = anchors(*text_buffers(b.column(0)), length, gram)
             yield pa.RecordBatch.from_arrays([b.column(1).take(pa.array(text)), *map(pa.array, (fp, context)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], names=["key", "fp", "context", "lo", "hi"])
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tremor.llm.common import cut, only_columns, pieces, tidy
 
 #: Words in the dictionary at most; words that a task counts at a time.
-WORDS, COUNTED = 1 << 18, 200_000
+WORDS, COUNTED = 1 << 17, 60_000
 MISS = 0xFFFFFFFF
 #: A part that merges with no next one: over every rank.
 NONE = 65536 << 46
@@ -154,7 +154,7 @@ def _dictionary(docs: DataFrame, encoder: Encoder, shared, most: int) -> list[tu
     pattern = encoder.pattern
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, known, seen = word_pattern(pattern).findall, shared.value, Counter()
+        find, known, seen = word_pattern(pattern).findall, {w for w, _ in shared.value}, Counter()
 
         def out():
             some = [(w, n) for w, n in seen.items() if n > 1 and w not in known]
@@ -197,14 +197,14 @@ def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS) -> Data
     encoder = Encoder(path, pattern)
     docs = docs.drop("ids")
     context = docs.sparkSession.sparkContext
-    tokens = context.broadcast({w: r for b, r in encoder.ranks.items() if (w := _text(b)) is not None})
+    tokens = context.broadcast([(w, r) for b, r in encoder.ranks.items() if (w := _text(b)) is not None])
     keys, ids = _dictionary(only_columns(docs, "text"), encoder, tokens, words)
     frequent = context.broadcast((keys, ids))
     schema = docs.schema
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = word_pattern(pattern).findall
-        known = {w: r.to_bytes(4, "little") for w, r in tokens.value.items()}
+        known = {w: r.to_bytes(4, "little") for w, r in tokens.value}
         names, lists = frequent.value
         if len(names):
             flat, ends = lists.flatten().to_numpy().astype("<u4").tobytes(), (4 * lists.offsets.to_numpy()).tolist()

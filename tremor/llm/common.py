@@ -22,7 +22,7 @@ HELD_OUT = 2
 
 
 #: Rows of an Arrow batch; whole texts are long, and a batch is held on both sides of the pipe to a Python worker.
-BATCH_ROWS = 1000
+BATCH_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -149,8 +149,8 @@ def _byte_arrays(words: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(words), np.uint8).astype(np.int16)))
 
 
-def _dictionary(docs: DataFrame, encoder: Encoder, shared, most: int) -> list[tuple[list[str], list[bytes]]]:
-    """Frequent words that are no token, with their ids: a threshold on their counts keeps them within ``most``. A task counts words in batches and passes on what it has seen twice."""
+def _dictionary(docs: DataFrame, encoder: Encoder, shared, most: int) -> tuple[pa.Array, pa.Array]:
+    """(words, their ids): frequent words that are no token; a threshold on their counts keeps them within ``most``. A task counts words in batches and passes on what it has seen twice."""
     pattern = encoder.pattern
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -328,9 +328,11 @@ def join_components(docs: DataFrame, size: int = 4, percent: int = 85, block: in
     docs = only_columns(docs, "doc_id", "text")
     keys = cut(_prefixes(docs, size, percent, frequency_sketch(docs, size)))
     some = keys.where("n > 0 and doc_id is not null")
-    posts = some.select(F.explode("prefix").alias("gram"), "sig").repartition("gram")  # sent once, for the count and for the join
-    shared = posts.groupBy("gram").agg(F.min("sig").alias("a"), F.max("sig").alias("z")).where("a < z")
-    alike = posts.join(shared.select("gram"), "gram").distinct()
+    # Posts are sent once, for the count and for the join. Of n-grams that the same sets share one is enough.
+    posts = some.select(F.explode("prefix").alias("gram"), "sig").repartition("gram").dropDuplicates(["gram", "sig"])
+    shared = posts.groupBy("gram").agg(F.min("sig").alias("a"), F.max("sig").alias("z"), F.count("*").alias("n"), F.bit_xor("sig").alias("x")).where("a < z")
+    shared = shared.groupBy("a", "z", "n", "x").agg(F.min("gram").alias("gram"))
+    alike = posts.join(shared.select("gram"), "gram")
     counts = some.groupBy("sig").agg(F.min("n").alias("n"), F.min("counts").alias("counts"))
     dealt = alike.join(counts, "sig").repartition("gram").sortWithinPartitions("gram", "n", "sig")
     ties = _ties(dealt, percent)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import cut, only_columns, pieces, tidy
+from tremor.llm.common import cut, only_columns, pieces, share, tidy
 
 #: Words in the dictionary at most; words that a task counts at a time.
 WORDS, COUNTED = 1 << 17, 60_000
@@ -144,6 +144,9 @@ class Encoder:
         return fold_merges(column, self.byte_ids, self.table)
 
 
+_encoder = functools.lru_cache(2)(Encoder)
+
+
 def _byte_arrays(words: list[bytes]) -> pa.Array:
     ends = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(words), np.uint8).astype(np.int16)))
@@ -194,12 +197,12 @@ def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS) -> Data
     A null text encodes as an empty one, to no ids. Special tokens are ordinary text. Every row is encoded, repeated ones too; columns keep their names
     unless one is called ids, which is replaced.
     """
-    encoder = Encoder(path, pattern)
+    encoder = _encoder(path, pattern)
     docs = docs.drop("ids")
-    context = docs.sparkSession.sparkContext
-    tokens = context.broadcast([(w, r) for b, r in encoder.ranks.items() if (w := _text(b)) is not None])
+    spark = docs.sparkSession
+    tokens = share(spark, [(w, r) for b, r in encoder.ranks.items() if (w := _text(b)) is not None])
     keys, ids = _dictionary(only_columns(docs, "text"), encoder, tokens, words)
-    frequent = context.broadcast((keys, ids))
+    frequent = share(spark, (keys, ids))
     schema = docs.schema
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,7 +277,7 @@ def decoder(ranks: dict[bytes, int]):
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` with ``decoded`` (binary), the bytes that its ``ids`` stand for; null ids decode to nothing."""
-    ranks = encoded.sparkSession.sparkContext.broadcast(read_ranks(path))
+    ranks = share(encoded.sparkSession, read_ranks(path))
     names = encoded.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

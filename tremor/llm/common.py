@@ -44,9 +44,25 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tremor/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    give_back()
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Memory that this process no longer uses goes back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def share(spark: SparkSession, value):
+    """A broadcast of which the driver's Python keeps no copy in memory; its file is read again if need be."""
+    out = spark.sparkContext.broadcast(value)
+    vars(out).pop("_value", None)
+    return out
+
+
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``run``, and then the memory that it used goes back to the system: Python workers live on, and what one step leaves in them adds to the next step's need."""
 
@@ -54,10 +70,7 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            if sys.platform == "linux":
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return whole
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import cut, only_columns, pieces, text_buffers, tidy
+from tremor.llm.common import cut, only_columns, pieces, share, text_buffers, tidy
 from tremor.llm.graph import components
 from tremor.llm.textvec import SPACED, Words, mix
 
@@ -95,7 +95,7 @@ def frequency_sketch(docs: DataFrame, size: int) -> np.ndarray:
 
 def _prefixes(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> DataFrame:
     """doc_id, sig, n, prefix (array of the n-grams that a linked set must share one of) and counts of each row. Of equal sets that a task meets the first brings the prefix."""
-    cells = docs.sparkSession.sparkContext.broadcast(sketch)
+    cells = share(docs.sparkSession, sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         freq, seen = cells.value, set()
@@ -174,7 +174,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     words = wanted.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits")).toArrow()
     bits = np.zeros(BITS >> 6, np.uint64)
     bits[words.column("w").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    shared = share(docs.sparkSession, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -209,6 +209,15 @@ def test_line_dedup_finds_similar_lines(spark):
     assert len(due) > 30 and sum(k + 1 not in kept for k in due) >= 0.95 * len(due)
 
 
+def kept_lines(spark, texts):
+    return [t for (_, t), r in zip(enumerate(texts), line_dedup.line_counts(frame(spark, list(enumerate(texts)))).orderBy("doc_id").collect(), strict=True) if r.n_kept]
+
+
+def test_line_dedup_sees_words_to_their_end(spark):
+    lines = ["https://example.com/a", "https://example.com/b/long", "* https://example.org/page/1", "* https://example.org/another/title", "import com.example.foo.A", "import com.example.bar.B", "0123456789abcdef01", "0123456789abfedc98"]
+    assert kept_lines(spark, lines) == lines
+
+
 def test_statistics_and_rules(spark):
     rng = random.Random(8)
     rows, labels = [], []

@@ -218,6 +218,17 @@ def test_line_dedup_sees_words_to_their_end(spark):
     assert kept_lines(spark, lines) == lines
 
 
+def test_line_dedup_compares_all_lines_of_a_bucket(spark, monkeypatch):
+    """In one bucket of lines that have nothing in common, each has a near copy."""
+    rng = random.Random(9)
+    lines = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=90)).strip() for _ in range(12)]
+    copies = [t[:40] + "#" + t[41:] for t in lines]
+    monkeypatch.setattr(line_dedup, "bands_of", lambda rows: rows.select("line").distinct().select("line", F.array(F.lit(1)).alias("bands")))
+    for block in (512, 5):
+        monkeypatch.setattr(line_dedup, "BLOCK", block, raising=False)
+        assert kept_lines(spark, lines + copies) == lines
+
+
 def test_statistics_and_rules(spark):
     rng = random.Random(8)
     rows, labels = [], []

@@ -1,7 +1,8 @@
 """Removal of fuzzy duplicate lines across all documents, with DataFrame operations only.
 
 A line's shingles are the ``GRAM`` characters from each of its characters on, in all scripts and whatever the words (a shorter line is one shingle).
-Minimum hashes of them form bands, and lines that share a band are compared with the least of their bucket. Exact Jaccard similarity confirms a pair, and of each component of confirmed pairs
+Minimum hashes of them form bands, and lines that share a band are compared: first each with the least of its bucket; then, in every bucket, all pairs
+that these ties did not join into one component. Exact Jaccard similarity confirms a pair, and of each component of confirmed pairs
 (distributed union-find) the first line stays. Equal lines are one node all along, so a line that a third of all documents share costs no more than another.
 
 The text of each distinct line is sent once for its hashes, and again only for lines that share a band. Two lines of similarity s
@@ -19,6 +20,8 @@ from tremor.llm.graph import components
 GRAM, BANDS, ROWS, SIMILARITY = 12, 7, 3, 0.8
 #: Bits of the filter of lines whose text is compared: a literal of one size whatever the corpus.
 BITS = 1 << 22
+#: Lines of a bucket that are paired in one group; larger buckets are dealt out as pairs of such blocks.
+BLOCK = 512
 #: Shingles that one row brings to the minima.
 STEP = 8
 
@@ -86,6 +89,19 @@ def _confirm(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return both.where(common >= similarity / (1 + similarity) * (F.col("nx") + F.col("ny")) - 1e-9).select("a", "b")
 
 
+def _others(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(a, b): all pairs of lines of a bucket that stand in different components of ``roots``, but those with its least line. ``members``: band, line, least."""
+    rows = members.where("line <> least").join(roots.toDF("line", "root"), "line", "left").select("band", "line", F.coalesce("root", "line").alias("root"))
+    bucket = Window.partitionBy("band")
+    rows = rows.select("*", F.min("root").over(bucket).alias("low"), F.max("root").over(bucket).alias("high"), F.count("*").over(bucket).alias("n")).where("low < high")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = rows.select("band", "line", "root", F.pmod("line", blocks).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("with"))
+    rows = rows.select("band", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "line", "root").repartition("band", "lo", "hi")
+    pairs = rows.withColumnsRenamed({"line": "a", "root": "ra", "block": "ka"}).join(rows.withColumnsRenamed({"line": "b", "root": "rb", "block": "kb"}), ["band", "lo", "hi"])
+    pairs = pairs.where("ra <> rb and ka = lo and kb = hi and (lo < hi or a < b)")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, doc, at, kept of each line of ``lines_of``: of a component of similar lines the one of least (doc_id, doc, at) is kept."""
     lines = lines_of(docs)
@@ -102,6 +118,9 @@ def duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     texts = cut(texts.select("line", "norm", F.size(F.array_distinct(shingles(F.col("norm")))).alias("n")))
     alike = cut(_confirm(pairs, texts, similarity))
     roots = components(alike)
+    more = cut(_confirm(cut(_others(members, roots).join(pairs, ["a", "b"], "left_anti")), texts, similarity))
+    if not more.isEmpty():
+        roots = components(alike.union(more))
     roots = roots.toDF("line", "root")
 
     rooted = cut(places.join(roots, "line", "left").select("doc_id", "doc", "at", F.coalesce("root", "line").alias("root")))

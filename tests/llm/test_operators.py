@@ -229,6 +229,11 @@ def test_line_dedup_compares_all_lines_of_a_bucket(spark, monkeypatch):
         assert kept_lines(spark, lines + copies) == lines
 
 
+def test_line_dedup_finds_a_typo_in_a_usual_line(spark):
+    lines = ["please send the signed form to our office before next friday", "please send the signed form to our ofgice before next friday", "第一章第二节所有学生都必须在星期五之前把签好的表格交到办公室否则不能参加考试也不能得到成绩单和毕业证书请注意", "第一章第二节所有学生都必须在星期五之前把签好的表格交到办公室否则不能参加考试也不能得到成绩单或毕业证书请注意"]
+    assert kept_lines(spark, lines) == lines[::2]
+
+
 def test_statistics_and_rules(spark):
     rng = random.Random(8)
     rows, labels = [], []

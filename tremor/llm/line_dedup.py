@@ -6,7 +6,7 @@ that these ties did not join into one component. Exact Jaccard similarity confir
 (distributed union-find) the first line stays. Equal lines are one node all along, so a line that a third of all documents share costs no more than another.
 
 The text of each distinct line is sent once for its hashes, and again only for lines that share a band. Two lines of similarity s
-share none of ``BANDS`` bands of ``ROWS`` hashes with probability (1 - s^ROWS)^BANDS: 0.7 % at 0.8, 0.03 % at 0.9.
+share none of ``BANDS`` bands of ``ROWS`` hashes with probability (1 - s^ROWS)^BANDS: 0.6 % at 0.8, 0.03 % at 0.85.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tremor.llm.common import cut
 from tremor.llm.graph import components
 
-GRAM, BANDS, ROWS, SIMILARITY = 12, 7, 3, 0.8
+GRAM, BANDS, ROWS, SIMILARITY = 5, 17, 6, 0.8
 #: Bits of the filter of lines whose text is compared: a literal of one size whatever the corpus.
 BITS = 1 << 22
 #: Lines of a bucket that are paired in one group; larger buckets are dealt out as pairs of such blocks.

@@ -234,6 +234,15 @@ def test_line_dedup_finds_a_typo_in_a_usual_line(spark):
     assert kept_lines(spark, lines) == lines[::2]
 
 
+def test_line_dedup_bands_of_short_lines(spark):
+    """Of pairs that share 8 of 10 shingles as few share no band as of long lines."""
+    rng = random.Random(10)
+    n, core = 4000, ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=line_dedup.GRAM + 7)) for _ in range(4000)]
+    rows = spark.createDataFrame([(2 * k + side, "A" + t if side else t + "B") for k, t in enumerate(core) for side in (0, 1)], "line long, norm string")
+    bands = {r.line: set(r.bands) for r in line_dedup.bands_of(rows).collect()}
+    assert sum(not bands[2 * k] & bands[2 * k + 1] for k in range(n)) < 0.012 * n
+
+
 def test_statistics_and_rules(spark):
     rng = random.Random(8)
     rows, labels = [], []

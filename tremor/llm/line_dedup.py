@@ -55,8 +55,13 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "doc", "at", F.lower(F.trim("raw", F.lit(" \t\r\f\x0b"))).alias("norm")).where("norm <> ''").withColumn("line", F.xxhash64("norm"))
 
 
-def _seeds(n: int) -> list[int]:
-    return [(k * 0x9E3779B1 + 0x7F4A7C15) % (1 << 31) for k in range(1, n + 1)]
+def _mixers(n: int) -> list[tuple[int, int]]:
+    """``n`` pairs of an odd factor and a mask, each of 31 bits, from a linear congruential generator."""
+    x, out = 0x9E3779B97F4A7C15, []
+    for _ in range(2 * n):
+        x = (x * 6364136223846793005 + 1442695040888963407) % (1 << 64)
+        out.append(x >> 33)
+    return [(a | 1, b) for a, b in zip(out[::2], out[1::2], strict=True)]
 
 
 def bands_of(lines: DataFrame) -> DataFrame:
@@ -64,8 +69,8 @@ def bands_of(lines: DataFrame) -> DataFrame:
     whole = lines.groupBy("line").agg(F.max("norm").alias("norm")).select("line", F.encode("norm", _WIDE).alias("wide"))
     rows = whole.select("line", "wide", _last(F.col("wide")).alias("last"), F.explode(_places(F.col("wide"), STEP)).alias("at"))
     hashes = [_shingle(F.col("wide"), F.least(F.col("at") + _BYTES * j, "last")).bitwiseAND(F.lit(_MASK)).alias(f"h{j}") for j in range(STEP)]
-    low = lambda b: F.least(*[F.col(f"h{j}").bitwiseXOR(F.lit(b)) for j in range(STEP)])
-    lows = rows.select("line", *hashes).groupBy("line").agg(*[F.min(low(b)).alias(f"m{k}") for k, b in enumerate(_seeds(BANDS * ROWS))])
+    low = lambda a, b: F.least(*[(F.col(f"h{j}") * F.lit(a)).bitwiseAND(F.lit(_MASK)).bitwiseXOR(F.lit(b)) for j in range(STEP)])
+    lows = rows.select("line", *hashes).groupBy("line").agg(*[F.min(low(a, b)).alias(f"m{k}") for k, (a, b) in enumerate(_mixers(BANDS * ROWS))])
     return lows.select("line", F.array(*[F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)]).alias("bands"))
 
 

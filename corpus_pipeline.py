@@ -30,10 +30,18 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component of similar documents: that of its least doc_id. Rows without an id or without words stay."""
-    joined = cut(ngram_join.join_components(docs, SHINGLE_WORDS, NEAR_PERCENT))
-    lost = joined.where("doc_id is not null and component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(lost, "doc_id", "left_anti")
+    """One row of each component of similar documents: that of its least doc_id, null ids last. Rows without words stay.
+
+    Rows are told apart by a 64-bit hash of id and text, so rows that only repeat an id are documents of their own, and of rows that repeat both one stays.
+    """
+    rows = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    found = ngram_join.join_components(rows.select(F.col("__row").alias("doc_id"), "text"), SHINGLE_WORDS, NEAR_PERCENT).where("n_shingles > 0")
+    found = cut(found.groupBy(F.col("doc_id").alias("__row")).agg(F.min("component_id").alias("root"), F.count("*").alias("n")))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row")
+    least = found.join(rows.select("__row", "doc_id"), "__row").groupBy("root").agg(F.min(place)["__row"].alias("first"))
+    marked = cut(found.join(least, "root").where("__row <> first or n > 1").select("__row", (F.col("__row") != F.col("first")).alias("lost")))
+    repeated = rows.join(marked.where("not lost"), "__row", "left_semi").dropDuplicates(["__row"])
+    kept = rows.join(marked.select("__row"), "__row", "left_anti").unionByName(repeated)
     return _as_documents(kept, docs.columns)
 
 

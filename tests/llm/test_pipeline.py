@@ -33,6 +33,16 @@ def test_stages_return_documents_and_take_effect(spark, tmp_path):
     assert docs.where(F.col("n_tokens").isNull()).count() == 0
 
 
+def test_near_copies_leave_one_row_of_each_and_no_more_go(spark):
+    texts = [" ".join(f"{name}{k}" for k in range(60)) for name in ("one", "two", "three", "four")]
+    rows = [(1, texts[0]), (2, texts[0] + " end"), (2, texts[1]), (3, texts[2]), (3, texts[2]), (None, texts[0]), (None, texts[3]), (None, texts[3]), (4, None), (5, "")]
+    docs = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "doc_id long, text string, n_chars long")
+    out = corpus_pipeline.near_copies(spark, docs, DATA)
+    assert out.columns == docs.columns and out.dtypes == docs.dtypes
+    want = [(1, texts[0]), (2, texts[1]), (3, texts[2]), (None, texts[3]), (4, None), (5, "")]
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_stages_take_empty_tables(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES[:-1]:

@@ -43,9 +43,19 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it again: what follows neither recomputes it nor depends on executors that may be lost."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tremor/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(**{"compression": "zstd", "parquet.compression.codec.zstd.level": "1", "parquet.enable.dictionary": "false"}).parquet(path)
     give_back()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that ``cut`` wrote and that nothing reads any more."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df._cut)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def give_back() -> None:
@@ -90,6 +100,21 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = CHUNK_BYT
             at = to
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Rows of Arrow batches dealt anew, so that ``column`` holds about ``most`` bytes, a row at least."""
+    held, size = [], 0
+    for b in pieces(batches, column, most):
+        _, ends = text_buffers(b.column(b.schema.get_field_index(column)))
+        own = int(ends[-1] - ends[0])
+        if held and size + own > most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(b)
+        size += own
+    if held:
+        yield pa.concat_batches(held)
+
+
 def text_buffers(texts: pa.Array):
     """(bytes, offsets) of a string or binary array as numpy arrays without a copy; null is empty."""
     import numpy as np

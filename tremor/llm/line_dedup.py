@@ -1,159 +1,151 @@
-"""Removal of fuzzy duplicate lines across all documents, with DataFrame operations only.
+"""Removal of fuzzy duplicate lines across all documents.
 
 A line's shingles are the ``GRAM`` characters from each of its characters on, in all scripts and whatever the words (a shorter line is one shingle).
-Minimum hashes of them form bands, and lines that share a band are compared: first each with the least of its bucket; then, in every bucket, all pairs
-that these ties did not join into one component. Exact Jaccard similarity confirms a pair, and of each component of confirmed pairs
-(distributed union-find) the first line stays. Equal lines are one node all along, so a line that a third of all documents share costs no more than another.
+Minimum hashes of them (``minhash``) form bands, and lines that share a band are compared: first each with the least of its bucket; then, in every
+bucket, all pairs that these ties did not join into one component. A sketch of one bit of each minimum sorts out pairs that are far from similar, exact
+Jaccard similarity of the sets of shingles (52-bit hashes within a pair) confirms the others, and of each component of confirmed pairs (distributed
+union-find) the first line stays.
 
-The text of each distinct line is sent once for its hashes, and again only for lines that share a band. Two lines of similarity s
-share none of ``BANDS`` bands of ``ROWS`` hashes with probability (1 - s^ROWS)^BANDS: 0.6 % at 0.8, 0.03 % at 0.85.
+Equal lines are one node all along: each distinct line is hashed once, and a line that a third of all documents share is counted before
+it is shuffled. Two lines of similarity s share none of ``BANDS`` bands of ``ROWS`` minima with probability (1 - s^ROWS)^BANDS: 0.6 % at 0.8, 0.03 % at 0.85,
+for short lines as for long ones.
+
+Lines are split, counted, dealt out and joined by DataFrame operations; signatures and confirmation are vectorised Python over Arrow, since a wholly
+native form did not fit its limits (README).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremor.llm.common import cut
+from tremor.llm import minhash
+from tremor.llm.common import cut, drop, gathered, tidy
 from tremor.llm.graph import components
 
 GRAM, BANDS, ROWS, SIMILARITY = 5, 17, 6, 0.8
-#: Bits of the filter of lines whose text is compared: a literal of one size whatever the corpus.
-BITS = 1 << 22
 #: Lines of a bucket that are paired in one group; larger buckets are dealt out as pairs of such blocks.
 BLOCK = 512
-#: Shingles that one row brings to the minima.
-STEP = 8
-
-_MASK = (1 << 31) - 1
-#: Four bytes a character, so that a shingle is found at its place without a walk through the line.
-_WIDE, _BYTES = "UTF-32", 4
-
-
-def _last(wide: Column) -> Column:
-    """The place of a line's last shingle."""
-    return F.greatest(F.octet_length(wide) - (_BYTES * GRAM - 1), F.lit(1))
-
 
-def _places(wide: Column, step: int = 1) -> Column:
-    return F.sequence(F.lit(1), _last(wide), F.lit(_BYTES * step))
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """doc_id, doc (hash of id and text), text."""
+    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc"), "text")
 
-def _shingle(wide: Column, at: Column) -> Column:
-    return F.xxhash64(F.substring(wide, at, F.lit(_BYTES * GRAM)))
 
+def _normal(raw: Column) -> Column:
+    return F.lower(F.trim(raw, F.lit(" \t\r\f\x0b")))
 
-def shingles(line: Column) -> Column:
-    """Hashes of the shingles of a line, one for each place."""
-    each = F.transform(F.array(F.encode(line, _WIDE)), lambda wide: F.transform(_places(wide), lambda at: _shingle(wide, at)))  # encoded once
-    return F.get(each, F.lit(0))
 
+def signed(lines: DataFrame) -> DataFrame:
+    """line, norm, f, g (sketch) and bands (array of their hashes) of each distinct ``line`` that is not blank; ``lines``: line, norm."""
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, doc (hash of id and text), at (place of the line), norm (trimmed, lower case), line (hash of norm) of each line with a character that is no white space."""
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc"), F.posexplode(F.split("text", "\n")).alias("at", "raw"))
-    return rows.select("doc_id", "doc", "at", F.lower(F.trim("raw", F.lit(" \t\r\f\x0b"))).alias("norm")).where("norm <> ''").withColumn("line", F.xxhash64("norm"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in gathered(batches, "norm"):
+            b = b.filter(pc.not_equal(b.column(1), ""))
+            low = minhash.signatures(b.column(1), GRAM, BANDS * ROWS)
+            f, g = minhash.sketch(low)
+            ends = pa.array(np.arange(0, BANDS * (len(low) + 1), BANDS, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(f), pa.array(g), pa.ListArray.from_arrays(ends, pa.array(minhash.bands(low, BANDS).ravel()))], names=["line", "norm", "f", "g", "bands"])
 
+    return lines.groupBy("line").agg(F.max("norm").alias("norm")).mapInArrow(tidy(run), "line long, norm string, f long, g long, bands array<long>")
 
-def _mixers(n: int) -> list[tuple[int, int]]:
-    """``n`` pairs of an odd factor and a mask, each of 31 bits, from a linear congruential generator."""
-    x, out = 0x9E3779B97F4A7C15, []
-    for _ in range(2 * n):
-        x = (x * 6364136223846793005 + 1442695040888963407) % (1 << 64)
-        out.append(x >> 33)
-    return [(a | 1, b) for a, b in zip(out[::2], out[1::2], strict=True)]
 
+def _far(similarity: float) -> Column:
+    """Whether the sketches (f, g) and (v, w) are too far apart."""
+    return F.bit_count(F.col("f").bitwiseXOR(F.col("v"))) + F.bit_count(F.col("g").bitwiseXOR(F.col("w"))) > minhash.most_bits(BANDS * ROWS, similarity)
 
-def bands_of(lines: DataFrame) -> DataFrame:
-    """line and its band hashes (array). Each distinct line is sent to one task, which hashes its shingles; minima never leave it."""
-    whole = lines.groupBy("line").agg(F.max("norm").alias("norm")).select("line", F.encode("norm", _WIDE).alias("wide"))
-    rows = whole.select("line", "wide", _last(F.col("wide")).alias("last"), F.explode(_places(F.col("wide"), STEP)).alias("at"))
-    hashes = [_shingle(F.col("wide"), F.least(F.col("at") + _BYTES * j, "last")).bitwiseAND(F.lit(_MASK)).alias(f"h{j}") for j in range(STEP)]
-    low = lambda a, b: F.least(*[(F.col(f"h{j}") * F.lit(a)).bitwiseAND(F.lit(_MASK)).bitwiseXOR(F.lit(b)) for j in range(STEP)])
-    lows = rows.select("line", *hashes).groupBy("line").agg(*[F.min(low(a, b)).alias(f"m{k}") for k, (a, b) in enumerate(_mixers(BANDS * ROWS))])
-    return lows.select("line", F.array(*[F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)]).alias("bands"))
 
+def _confirm(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """The ``pairs`` (a, b) of lines whose sets of shingles are similar; ``known``: line, norm, f, g."""
+    most = 1 << minhash.PAIR_BITS
 
-def _filter(wanted: DataFrame) -> Column:
-    """A test of column ``one`` that holds for all ``one`` in ``wanted`` and for few others."""
-    place = F.pmod("one", F.lit(BITS))
-    words = wanted.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits")).collect()
-    bits = [0] * (BITS >> 6)
-    for r in words:
-        bits[r.w] = r.bits
-    table = F.split(F.lit(" ".join(map(str, bits))), " ").cast("array<bigint>")
-    word = F.get(table, F.shiftright(place, 6).cast("int"))
-    return F.getbit(word, place.bitwiseAND(F.lit(63)).cast("int")) == 1
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in gathered(batches, "x"):
+            for at in range(0, whole.num_rows, most):
+                b = whole.slice(at, most)
+                common, union = minhash.overlaps(b.column(2), b.column(3), GRAM)
+                yield b.select(["a", "b"]).filter(pa.array(common >= similarity * union - 1e-9))
 
+    both = pairs.join(known.select(F.col("line").alias("a"), F.col("norm").alias("x"), "f", "g"), "a")
+    both = both.join(known.select(F.col("line").alias("b"), F.col("norm").alias("y"), F.col("f").alias("v"), F.col("g").alias("w")), "b")
+    return both.where(~_far(similarity)).select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long")
 
-def _confirm(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The ``pairs`` (a, b) of lines whose sets of shingles are similar; ``texts``: line, norm, n (size of its set)."""
-    both = pairs.join(texts.toDF("a", "x", "nx"), "a").where("x is not null").join(texts.toDF("b", "y", "ny"), "b")
-    both = both.where(F.least("nx", "ny") >= similarity * F.greatest("nx", "ny"))
-    common = F.size(F.array_intersect(shingles(F.col("x")), shingles(F.col("y"))))  # of sets
-    return both.where(common >= similarity / (1 + similarity) * (F.col("nx") + F.col("ny")) - 1e-9).select("a", "b")
 
-
-def _others(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(a, b): all pairs of lines of a bucket that stand in different components of ``roots``, but those with its least line. ``members``: band, line, least."""
+def _others(members: DataFrame, roots: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): pairs of lines of a bucket that stand in different components of ``roots`` and whose sketches are near, but those with its least line. ``members``: band, line, least."""
     rows = members.where("line <> least").join(roots.toDF("line", "root"), "line", "left").select("band", "line", F.coalesce("root", "line").alias("root"))
-    bucket = Window.partitionBy("band")
-    rows = rows.select("*", F.min("root").over(bucket).alias("low"), F.max("root").over(bucket).alias("high"), F.count("*").over(bucket).alias("n")).where("low < high")
+    open_ = rows.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low < high")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = rows.select("band", "line", "root", F.pmod("line", blocks).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("with"))
-    rows = rows.select("band", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "line", "root").repartition("band", "lo", "hi")
-    pairs = rows.withColumnsRenamed({"line": "a", "root": "ra", "block": "ka"}).join(rows.withColumnsRenamed({"line": "b", "root": "rb", "block": "kb"}), ["band", "lo", "hi"])
-    pairs = pairs.where("ra <> rb and ka = lo and kb = hi and (lo < hi or a < b)")
+    rows = rows.join(open_.select("band", blocks.alias("blocks")), "band").join(known.select("line", "f", "g"), "line")
+    rows = rows.select("band", "line", "root", "f", "g", F.pmod("line", F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+    rows = rows.select("band", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "line", "root", "f", "g").repartition("band", "lo", "hi")
+    pairs = rows.withColumnsRenamed({"line": "a", "root": "ra", "block": "ka"}).join(rows.withColumnsRenamed({"line": "b", "root": "rb", "block": "kb", "f": "v", "g": "w"}), ["band", "lo", "hi"])
+    pairs = pairs.where("ra <> rb and ka = lo and kb = hi and (lo < hi or a < b)").where(~_far(similarity))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, doc, at, kept of each line of ``lines_of``: of a component of similar lines the one of least (doc_id, doc, at) is kept."""
-    lines = lines_of(docs)
+def groups(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(line, root) of each line of ``lines`` (line, norm) that is similar to another one; root is the least hash of the component."""
+    known = cut(signed(lines))
     bucket = Window.partitionBy("band")
-    rows = bands_of(lines).select("line", F.explode("bands").alias("band"))
-    members = cut(rows.select("band", "line", F.min("line").over(bucket).alias("least"), F.max("line").over(bucket).alias("most")).where("least < most").select("band", "line", "least"))
+    rows = known.select("line", F.explode("bands").alias("band")).select("band", "line", F.min("line").over(bucket).alias("least"), F.max("line").over(bucket).alias("most"))
+    members = cut(rows.where("least < most").select("band", "line", "least"))
     pairs = cut(members.where("line <> least").select(F.col("least").alias("a"), F.col("line").alias("b")).distinct())
-
-    places = cut(lines.select("doc_id", "doc", "at", "line"))
-    one = F.xxhash64("doc", "at")
-    wanted = places.join(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "line").groupBy("line").agg(F.min(one).alias("one"))
-    wanted = cut(wanted)
-    texts = lines.withColumn("one", one).where(_filter(wanted)).join(wanted, ["line", "one"]).groupBy("line").agg(F.max("norm").alias("norm"))
-    texts = cut(texts.select("line", "norm", F.size(F.array_distinct(shingles(F.col("norm")))).alias("n")))
+    texts = cut(known.select("line", "norm", "f", "g").join(members.select("line").distinct(), "line", "left_semi"))
+    drop(known)
     alike = cut(_confirm(pairs, texts, similarity))
     roots = components(alike)
-    more = cut(_confirm(cut(_others(members, roots).join(pairs, ["a", "b"], "left_anti")), texts, similarity))
-    if not more.isEmpty():
-        roots = components(alike.union(more))
-    roots = roots.toDF("line", "root")
+    more = cut(_confirm(_others(members, roots, texts, similarity).join(pairs, ["a", "b"], "left_anti"), texts, similarity))
+    drop(members, pairs, texts)
+    return (roots if more.isEmpty() else components(alike.union(more))).toDF("line", "root")
 
-    rooted = cut(places.join(roots, "line", "left").select("doc_id", "doc", "at", F.coalesce("root", "line").alias("root")))
-    first = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "doc", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").select("root", "first")
-    return rooted.join(first, "root", "left").select("doc_id", "doc", "at", (F.col("first").isNull() | ((F.col("doc") == F.col("first.doc")) & (F.col("at") == F.col("first.at")))).alias("kept"))
+
+def duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """(places, lost): doc_id, doc, at, line (hash of the trimmed line in lower case; null for a blank one) of each line; doc and at of the lines that go.
+
+    Of a component of similar lines the one of least (doc_id, doc, at) stays.
+    """
+    split = _rows(docs).select("doc_id", "doc", F.posexplode_outer(F.split("text", "\n")).alias("at", "raw")).select("doc_id", "doc", "at", _normal(F.col("raw")).alias("norm"))
+    places = cut(split.select("doc_id", "doc", "at", F.when(F.col("norm") != "", F.xxhash64("norm")).alias("line")))
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("raw")).select(_normal(F.col("raw")).alias("norm"))
+    roots = groups(lines.select(F.xxhash64("norm").alias("line"), "norm"), similarity)
+    counted = places.where("line is not null").groupBy("line").agg(F.min(F.struct("doc_id", "doc", "at")).alias("first"), F.count("*").alias("n"))
+    some = cut(counted.join(roots, "line", "left").where("n > 1 or root is not null").select("line", F.coalesce("root", "line").alias("root"), "first"))
+    first = some.groupBy("root").agg(F.min("first").alias("first"))
+    marked = some.select("line", "root").join(first, "root").select("line", F.col("first.doc").alias("own"), F.col("first.at").alias("where"))
+    lost = places.join(marked, "line").where("doc <> own or at <> where").select("doc", "at")
+    return places, lost
 
 
 def line_counts(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, n_lines (lines that are not blank), n_kept, removed_at (ascending places of removed lines among all lines, as text).
 
     A null text has no lines. Rows that repeat an id and a text are one document; rows that only repeat an id are documents of their own. Blank lines are no
-    duplicates of each other.
+    duplicates of each other. Only doc_id and text are looked at, whatever the other columns are called.
     """
-    docs = docs.select(F.col("`doc_id`"), F.col("`text`"))
-    found = duplicates(docs, similarity)
-    places = F.collect_set("at"), F.collect_set(F.when(~F.col("kept"), F.col("at")))
-    lost = found.groupBy("doc").agg(F.size(places[0]).cast("long").alias("n_lines"), (F.size(places[0]) - F.size(places[1])).cast("long").alias("n_kept"), F.sort_array(places[1]).alias("lost"))
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc")).join(lost, "doc", "left")
-    return rows.select("doc_id", F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"), F.coalesce("n_kept", F.lit(0).cast("long")).alias("n_kept"), F.coalesce(F.array_join(F.col("lost").cast("array<string>"), ","), F.lit("")).alias("removed_at"))
+    places, lost = duplicates(docs.select(F.col("`doc_id`"), F.col("`text`")), similarity)
+    gone = lost.groupBy("doc").agg(F.sort_array(F.collect_set("at")).alias("lost"))
+    # Every row has one line at place 0 (or none at all), so counts of repeated rows are multiples.
+    first = F.coalesce(F.col("at"), F.lit(0)) == 0
+    counted = places.groupBy("doc").agg(F.count_if(first).alias("rows"), F.count("line").alias("lines"))
+    rows = places.where(first).select("doc_id", "doc").join(counted, "doc").join(gone, "doc", "left")
+    n = F.expr("lines div rows")
+    return rows.select("doc_id", n.alias("n_lines"), (n - F.coalesce(F.size("lost"), F.lit(0))).alias("n_kept"), F.coalesce(F.array_join(F.col("lost").cast("array<string>"), ","), F.lit("")).alias("removed_at"))
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` without duplicate lines, all columns as they were but ``text``. A document all of whose lines stand in others is dropped; one that had none stays."""
-    found = duplicates(docs.select(F.col("`doc_id`"), F.col("`text`")), similarity)
-    lost = found.where(~F.col("kept")).groupBy("doc").agg(F.collect_list("at").alias("__lost"))
-    rows = docs.withColumn("__doc", F.xxhash64("doc_id", "text")).join(lost.withColumnRenamed("doc", "__doc"), "__doc", "left")
-    places = lambda parts: F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__lost"))
-    left = F.transform(F.array(F.split("text", "\n")), lambda parts: F.transform(places(parts), lambda i: F.get(parts, i)))
-    text = F.when(F.col("__lost").isNull(), F.col("text")).otherwise(F.array_join(F.get(left, F.lit(0)), "\n"))
-    kept = rows.withColumn("__text", text).where(F.col("__lost").isNull() | (F.trim("__text", F.lit(" \t\r\f\x0b\n")) != ""))
-    return kept.select(*[F.col("__text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    _, lost = duplicates(docs.select(F.col("`doc_id`"), F.col("`text`")), similarity)
+    gone = lost.groupBy("doc").agg(F.collect_set("at").alias("lost"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("`text`").alias("old"), F.xxhash64(F.col("`doc_id`"), F.col("`text`")).alias("doc")).join(gone, "doc", "left")
+    places = lambda parts: F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("lost"))
+    left = F.transform(F.array(F.split("old", "\n")), lambda parts: F.transform(places(parts), lambda i: F.get(parts, i)))
+    new = F.when(F.col("lost").isNull(), F.col("old")).otherwise(F.array_join(F.get(left, F.lit(0)), "\n"))
+    kept = rows.select("row", "lost", new.alias("new")).where(F.col("lost").isNull() | (F.trim("new", F.lit(" \t\r\f\x0b\n")) != ""))
+    return kept.select(*[F.col("new").alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])

@@ -7,10 +7,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tremor.llm import bpe, chat, decontaminate, line_dedup, ngram_join, quality, repeats, rules, toxicity, url_filter
+from tremor.llm import bpe, chat, decontaminate, line_dedup, minhash, ngram_join, quality, repeats, rules, toxicity, url_filter
 from tremor.llm.graph import components
 
 DOCS = "doc_id long, text string, lang string, root string, sig string, n string, key string, ids string, found string"
@@ -197,7 +198,7 @@ def test_line_dedup_finds_similar_lines(spark):
     kept = {r.doc_id for r in line_dedup.line_counts(frame(spark, rows)).where("n_kept = 1").collect()}
 
     def shingles(t):
-        return {t[m.start() : m.start() + line_dedup.GRAM] for m in re.finditer(r"\S+", t)}
+        return {t[k : k + line_dedup.GRAM] for k in range(len(t) - line_dedup.GRAM + 1)}
 
     def similar(a, b):
         x, y = shingles(rows[a][1]), shingles(rows[b][1])
@@ -223,7 +224,7 @@ def test_line_dedup_compares_all_lines_of_a_bucket(spark, monkeypatch):
     rng = random.Random(9)
     lines = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=90)).strip() for _ in range(12)]
     copies = [t[:40] + "#" + t[41:] for t in lines]
-    monkeypatch.setattr(line_dedup, "bands_of", lambda rows: rows.select("line").distinct().select("line", F.array(F.lit(1)).alias("bands")))
+    monkeypatch.setattr(minhash, "bands", lambda low, n: np.ones((len(low), n), np.int64))
     for block in (512, 5):
         monkeypatch.setattr(line_dedup, "BLOCK", block, raising=False)
         assert kept_lines(spark, lines + copies) == lines
@@ -234,13 +235,47 @@ def test_line_dedup_finds_a_typo_in_a_usual_line(spark):
     assert kept_lines(spark, lines) == lines[::2]
 
 
-def test_line_dedup_bands_of_short_lines(spark):
-    """Of pairs that share 8 of 10 shingles as few share no band as of long lines."""
+def test_bands_find_lines_of_any_length():
+    """Of pairs at 0.8 as few share no band among lines of 5 shingles as among long ones, and their sketches are near."""
     rng = random.Random(10)
-    n, core = 4000, ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=line_dedup.GRAM + 7)) for _ in range(4000)]
-    rows = spark.createDataFrame([(2 * k + side, "A" + t if side else t + "B") for k, t in enumerate(core) for side in (0, 1)], "line long, norm string")
-    bands = {r.line: set(r.bands) for r in line_dedup.bands_of(rows).collect()}
-    assert sum(not bands[2 * k] & bands[2 * k + 1] for k in range(n)) < 0.012 * n
+    for union, n in ((5, 4000), (10, 4000), (20, 4000), (100, 2000), (1000, 300)):
+        core = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789é漢", k=union + line_dedup.GRAM - 1)) for _ in range(n)]
+        one = union // 10
+        x, y = (minhash.signatures(pa.array(t), line_dedup.GRAM, 102) for t in ([t[one:] for t in core], [t[: len(t) - union // 5 + one] for t in core]))
+        assert (minhash.bands(x, 17) != minhash.bands(y, 17)).all(axis=1).mean() < 0.012
+        assert abs((x == y).mean() - 0.8) < 0.02
+        far = sum(np.bitwise_count(a ^ b) for a, b in zip(minhash.sketch(x), minhash.sketch(y), strict=True))
+        assert far.max() <= minhash.most_bits(102, 0.8)
+
+
+def test_overlaps_equal_sets(monkeypatch):
+    rng = random.Random(11)
+    x = ["".join(rng.choices("abé漢\U0001f600", k=rng.randint(1, 60))) for _ in range(300)] + ["ab" * 3000]
+    y = [t[: len(t) // 2] + rng.choice("abc") + t[len(t) // 2 :] for t in x]
+    sets = lambda t: {t[k : k + 5] for k in range(max(1, len(t) - 4))}
+    want = [(len(sets(a) & sets(b)), len(sets(a) | sets(b))) for a, b in zip(x, y, strict=True)]
+    for step in (1 << 18, 97):
+        monkeypatch.setattr(minhash, "STEP", step)
+        assert list(zip(*minhash.overlaps(pa.array(x), pa.array(y), 5), strict=True)) == want
+        assert [len(s) for s in minhash.shingle_sets(pa.array(x), 5)] == [len(sets(a)) for a in x]
+
+
+def test_line_dedup_finds_twins_in_families(spark):
+    """Many lines of one family are alike, but only twins are near copies; each of those is found, however many lines share its buckets."""
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    frame_text = "".join(rng.choices(letters + "   ", k=110))
+    lines, n = [], 1200
+    for _ in range(n):
+        own = frame_text[:55] + "".join(rng.choices(letters, k=22)) + frame_text[55:]
+        lines += [own, own[:60] + "#" + own[61:]]
+    rows = [(i, t) for i, t in enumerate(lines)]
+    kept = {r.doc_id for r in line_dedup.line_counts(frame(spark, rows)).where("n_kept = 1").collect()}
+    sets = [{t[k : k + 5] for k in range(len(t) - 4)} for t in lines]
+    twin = np.mean([len(sets[k] & sets[k + 1]) >= 0.8 * len(sets[k] | sets[k + 1]) for k in range(0, 2 * n, 2)])
+    other = [len(sets[0] & s) / len(sets[0] | s) for s in sets[2:]]
+    assert twin == 1 and 0.6 < np.mean(other) and max(other) < 0.8
+    assert all(k in kept for k in range(0, 2 * n, 2)) and sum(k + 1 not in kept for k in range(0, 2 * n, 2)) >= 0.99 * n
 
 
 def test_statistics_and_rules(spark):

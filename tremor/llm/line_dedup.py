@@ -78,16 +78,45 @@ def _confirm(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame
 
 
 def _others(members: DataFrame, roots: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): pairs of lines of a bucket that stand in different components of ``roots`` and whose sketches are near, but those with its least line. ``members``: band, line, least."""
+    """(a, b): links between similar lines of a bucket that stand in different components of ``roots``, as many as join those. ``members``: band, line, least; its least line has been compared.
+
+    A bucket goes to a task, a large one is dealt out as pairs of blocks of ``BLOCK`` lines; no pairs leave it but links. Of buckets of the same lines one is enough.
+    """
     rows = members.where("line <> least").join(roots.toDF("line", "root"), "line", "left").select("band", "line", F.coalesce("root", "line").alias("root"))
-    open_ = rows.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low < high")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = rows.join(open_.select("band", blocks.alias("blocks")), "band").join(known.select("line", "f", "g"), "line")
-    rows = rows.select("band", "line", "root", "f", "g", F.pmod("line", F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-    rows = rows.select("band", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "line", "root", "f", "g").repartition("band", "lo", "hi")
-    pairs = rows.withColumnsRenamed({"line": "a", "root": "ra", "block": "ka"}).join(rows.withColumnsRenamed({"line": "b", "root": "rb", "block": "kb", "f": "v", "g": "w"}), ["band", "lo", "hi"])
-    pairs = pairs.where("ra <> rb and ka = lo and kb = hi and (lo < hi or a < b)").where(~_far(similarity))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    seen = [F.min("line").alias("least"), F.max("line").alias("most"), F.bit_xor("line").alias("x"), F.count("*").alias("n")]
+    open_ = rows.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), *seen).where("low < high")
+    open_ = open_.groupBy("least", "most", "x", "n").agg(F.min("band").alias("band"))
+    rows = rows.join(open_.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "band")
+    rows = rows.select("band", "line", "root", F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+    side = F.when(F.col("block") == F.col("with"), 2).when(F.col("block") < F.col("with"), 0).otherwise(1)
+    rows = rows.select("band", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), side.alias("side"), "line", "root")
+    dealt = rows.join(known, "line").select("band", "lo", "hi", "side", "line", "root", "f", "g", "norm").repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi")
+    most = minhash.most_bits(BANDS * ROWS, similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def flush():
+            b = pa.concat_batches(held)
+            line, root, f, g = (b.column(k).to_numpy() for k in (4, 5, 6, 7))
+            links = minhash.joined(b.column(8), f, g, root, b.column(3).to_numpy(), GRAM, most, similarity)
+            return pa.RecordBatch.from_arrays([pa.array([line[i] for i, _ in links], pa.int64()), pa.array([line[j] for _, j in links], pa.int64())], names=["a", "b"])
+
+        for b in batches:
+            keys = np.stack([c.to_numpy().astype(np.int64) for c in b.columns[:3]], axis=1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                now = tuple(keys[lo]) if hi > lo else key
+                if now != key and held:
+                    yield flush()
+                    held = []
+                key = now
+                if hi > lo:
+                    held.append(b.slice(lo, hi - lo))
+        if held:
+            yield flush()
+
+    return dealt.mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def groups(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -101,7 +130,7 @@ def groups(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     drop(known)
     alike = cut(_confirm(pairs, texts, similarity))
     roots = components(alike)
-    more = cut(_confirm(_others(members, roots, texts, similarity).join(pairs, ["a", "b"], "left_anti"), texts, similarity))
+    more = cut(_others(members, roots, texts, similarity))
     drop(members, pairs, texts)
     return (roots if more.isEmpty() else components(alike.union(more))).toDF("line", "root")
 

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -165,12 +166,38 @@ def test_bpe_equals_the_library_and_round_trips(spark):
     odd = [(200, "a\x1cb \u2028 c\u3000d  e\n\n f 12½³ it's IT'S <|endoftext|> \U0001f600\u0301"), (201, "zqxj" * 30), (202, "  \t\n"), (203, "\x85\xa0x\u00ad")]
     rows = corpus(4) + odd
     own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
+    rows.append((204, "ab" * 400 + " x" * 20 + " " + "zqxj" * 300))
     for words in (1 << 17, 0):
         got = bpe.decode(bpe.encode(frame(spark, rows), path, P.PATTERN, words), path).collect()
         assert sorted(repr((r.doc_id, np.frombuffer(r.ids, "<u4").tolist(), bytes(r.decoded))) for r in got) == sorted(repr((i, own.encode_ordinary(t or ""), (t or "").encode())) for i, t in rows)
     assert bpe.round_trip(frame(spark, []), path, P.PATTERN).count() == 0
 
 
+def test_long_words_take_linear_time():
+    """Of a word of a megabyte as of short ones the merges are those of the library."""
+    P = pytest.importorskip("public_tokenizers")
+    tiktoken = pytest.importorskip("tiktoken")
+    ranks = bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(13)
+    for n in [1, 2, 3, 10, 50, 600] * 20:
+        word = "".join(rng.choices("abcdeéß漢thing", k=n)).encode()
+        assert bpe.merge_heap(word, ranks) == own._encode_single_piece(word)
+    began = time.perf_counter()
+    ids = bpe.merge_heap("".join(rng.choices("abcdefgh", k=1 << 20)).encode(), ranks)
+    assert time.perf_counter() - began < 60 and len(ids) > 1 << 17
+
+
+def test_encoding_keeps_columns_of_any_name(spark):
+    P = pytest.importorskip("public_tokenizers")
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    docs = spark.createDataFrame([(1, "one two", 5, "m", "r", 1.5, "d")], "doc_id long, text string, ids int, missing string, row string, `a.b` double, decoded string")
+    out = bpe.decode(bpe.encode(docs, path, P.PATTERN), path)
+    assert out.columns == ["doc_id", "text", "missing", "row", "a.b", "ids", "decoded"]
+    r = out.first()
+    assert (r["missing"], r["row"], r["a.b"], bytes(r["decoded"])) == ("m", "r", 1.5, b"one two")
+
+
 def test_line_dedup(spark):
     base = "the quick brown fox jumps over the lazy dog near the river bank every single morning of the long summer while nobody is there to see it run past the old mill"
     near = base.replace("lazy", "tired")

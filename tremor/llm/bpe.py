@@ -5,8 +5,12 @@ the ranked merges over the word's byte array: the state of ``aggregate`` is the
 the leftmost pair of least rank. Ranks come from a literal map of token pairs, laid out as two arrays (a perfect hash), since Spark looks keys of
 a map literal up one by one.
 
-Distinct words are folded once: the frequent ones over the corpus, whose number is bounded by ``WORDS``, are folded first and sent to the tasks as a
-dictionary; of all other words each document folds its distinct ones by the same expression. The bound only moves work, not results.
+Distinct words that a task meets more than once are folded first, once over the corpus, the ``WORDS`` most frequent ones at most, and sent to the tasks as arrays
+of their 64-bit hashes and ids (about 20 bytes a word). Of all other words each document folds its distinct ones by the same expression. The bound
+only moves work, not results. A word is taken for another one of the dictionary with a probability of WORDS / 2^64. A step of the fold takes time in
+the length of a word, so one of over ``LONG`` bytes would take the square of its length; such words are merged with a heap in Python instead.
+
+Both folds are written to the shared folder, so plans that hold the literal don't outlive them, and a lost executor doesn't repeat them.
 Decoding concatenates the binary pieces of the ids.
 
 The vocabulary file is read on the driver; its path is a parameter.
@@ -15,7 +19,9 @@ The vocabulary file is read on the driver; its path is a parameter.
 from __future__ import annotations
 
 import base64
+import contextlib
 import functools
+import heapq
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,10 +30,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import cut, only_columns, pieces, share, tidy
+from tremor.llm.common import cut, drop, pieces, share, tidy
+from tremor.llm.textvec import span_hashes
 
-#: Words in the dictionary at most; words that a task counts at a time.
-WORDS, COUNTED = 1 << 17, 60_000
+#: Words in the dictionary at most; words that a task counts at a time; words of the dictionary that a task has at hand by name.
+WORDS, COUNTED, AT_HAND = 1 << 21, 300_000, 1 << 17
+#: Bytes of the longest word that is folded.
+LONG = 512
 MISS = 0xFFFFFFFF
 #: A part that merges with no next one: over every rank.
 NONE = 65536 << 46
@@ -36,9 +45,17 @@ NONE = 65536 << 46
 _WHITE = r"\t-\r\x20\x85\xa0  -     　"
 
 
+def parse_ranks(data: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.split(b"\n") if line.strip())}
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
+    return parse_ranks(_file(path))
+
+
+def _file(path: str) -> bytes:
     with open(path, "rb") as f:
-        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+        return f.read()
 
 
 @functools.lru_cache(4)
@@ -133,18 +150,53 @@ def fold_merges(bytes_: Column, byte_ids: list[int], table: PairTable) -> Column
 
 
 class Encoder:
-    """What the stages share: ranks, and the expression that encodes the byte array of a word."""
+    """What the stages share: the bytes of the vocabulary file, and the expression that encodes the byte array of a word."""
 
     def __init__(self, path: str, pattern: str):
-        self.pattern, self.ranks = pattern, read_ranks(path)
-        self.table = PairTable(pair_ranks(self.ranks))
-        self.byte_ids = [self.ranks[bytes([b])] for b in range(256)]
+        self.pattern, self.file = pattern, _file(path)
+        ranks = parse_ranks(self.file)
+        self.table = PairTable(pair_ranks(ranks))
+        self.byte_ids = [ranks[bytes([b])] for b in range(256)]
 
     def fold(self, column: Column) -> Column:
         return fold_merges(column, self.byte_ids, self.table)
 
 
-_encoder = functools.lru_cache(2)(Encoder)
+@contextlib.contextmanager
+def _short_plans(spark):
+    """Meanwhile Spark keeps no plans with the megabytes of the literal as text."""
+    key = "spark.sql.maxPlanStringLength"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "4096")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def merge_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of a word in time linear in its length but for a logarithm: pairs of neighbours wait in a heap by rank and place."""
+    n = len(word)
+    end, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), bytearray(b"\1") * n
+    waiting: list[tuple[int, int, int, int]] = []
+
+    def offer(i: int) -> None:
+        m = end[i]
+        if m < n and (r := ranks.get(word[i : end[m]])) is not None:
+            heapq.heappush(waiting, (r, i, m, end[m]))
+
+    for i in range(n):
+        offer(i)
+    while waiting:
+        _, i, m, e = heapq.heappop(waiting)
+        if alive[i] and end[i] == m and alive[m] and end[m] == e:
+            end[i], alive[m] = e, 0
+            if e < n:
+                before[e] = i
+            offer(i)
+            if before[i] >= 0:
+                offer(before[i])
+    return [ranks[word[i : end[i]]] for i in range(n) if alive[i]]
 
 
 def _byte_arrays(words: list[bytes]) -> pa.Array:
@@ -152,32 +204,43 @@ def _byte_arrays(words: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(words), np.uint8).astype(np.int16)))
 
 
-def _dictionary(docs: DataFrame, encoder: Encoder, shared, most: int) -> tuple[pa.Array, pa.Array]:
-    """(words, their ids): frequent words that are no token; a threshold on their counts keeps them within ``most``. A task counts words in batches and passes on what it has seen twice."""
+def _hashes(words: list[bytes]) -> np.ndarray:
+    ends = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
+    return span_hashes(np.frombuffer(b"".join(words), np.uint8), ends[:-1], ends[1:]).view(np.int64)
+
+
+def _dictionary(texts: DataFrame, encoder: Encoder, file, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, bounds, ids): ascending hashes of frequent words that are no token, and their ids at bounds[i]:bounds[i+1]; a threshold on their counts keeps them within ``most``.
+
+    A task counts words in batches and passes on what it has seen twice.
+    """
     pattern = encoder.pattern
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, known, seen = word_pattern(pattern).findall, {w for w, _ in shared.value}, Counter()
+        find, known, seen = word_pattern(pattern).findall, {_text(t) for t in parse_ranks(file.value)}, Counter()
 
         def out():
             some = [(w, n) for w, n in seen.items() if n > 1 and w not in known]
             seen.clear()
-            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in some], pa.string()), pa.array([n for _, n in some], pa.int64())], names=["word", "n"])
+            for at in range(0, len(some), 10_000):
+                part = some[at : at + 10_000]
+                yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.string()), pa.array([n for _, n in part], pa.int64())], names=["word", "n"])
 
         for b in pieces(batches, "text"):
             for text in b.column(0).to_pylist():
                 if text:
                     seen.update(find(text))
                     if len(seen) > COUNTED:
-                        yield out()
-        if seen:
-            yield out()
+                        yield from out()
+        yield from out()
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), _byte_arrays([w.encode() for w in b.column(0).to_pylist()])], names=["word", "bytes"])
+            words = [w.encode() for w in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(_hashes(words)), _byte_arrays(words)], names=["word", "bytes"])
 
-    counts = cut(docs.select("text").mapInArrow(tidy(count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    counted = texts.mapInArrow(tidy(count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = cut(counted.where(F.octet_length("word") <= LONG))
     step = F.floor(F.log2("n") * 8).cast("int")
     total, least = 0, 0
     for r in counts.groupBy(step.alias("k")).agg(F.count("*").alias("c")).orderBy(F.desc("k")).collect():
@@ -185,54 +248,83 @@ def _dictionary(docs: DataFrame, encoder: Encoder, shared, most: int) -> tuple[p
         if total > most:
             least = r.k + 1
             break
-    spelled = counts.where(step >= least).select("word").mapInArrow(tidy(spell), "word string, bytes array<smallint>")
-    rows = spelled.select("word", encoder.fold(F.col("bytes")).alias("ids")).toArrow()
-    ids = rows.column("ids").combine_chunks()
-    return rows.column("word").combine_chunks(), ids
-
-
-def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS) -> DataFrame:
+    spelled = counts.where(step >= least).select("word").repartition(texts.sparkSession.sparkContext.defaultParallelism * 4, "word")
+    folded = spelled.mapInArrow(tidy(spell), "word long, bytes array<smallint>").select("word", encoder.fold(F.col("bytes")).cast("array<int>").alias("ids"))
+    with _short_plans(texts.sparkSession):
+        folded = cut(folded)
+    rows = folded.toArrow()
+    drop(counts, folded)
+    lists = rows.column("ids").combine_chunks()
+    hashes, ends = rows.column("word").to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+    flat = lists.values.to_numpy().astype(np.uint16)  # fold_merges takes ids for 16 bits
+    order = np.argsort(hashes)
+    size = np.diff(ends)[order]
+    bounds = np.concatenate([[0], np.cumsum(size)])
+    return hashes[order], bounds.astype(np.int32), flat[np.repeat(ends[:-1][order] - bounds[:-1], size) + np.arange(bounds[-1])]
+
+
+def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS, keep: list[str] | None = None) -> DataFrame:
     """Rows of ``docs`` (doc_id, text and whatever else it has) with ``ids``, the token ids as little-endian unsigned 32-bit integers (binary).
 
-    A null text encodes as an empty one, to no ids. Special tokens are ordinary text. Every row is encoded, repeated ones too; columns keep their names
-    unless one is called ids, which is replaced.
+    A null text encodes as an empty one, to no ids. Special tokens are ordinary text. Every row is encoded, repeated ones too; columns (all, or those in ``keep``)
+    keep their names and values unless one is called ids, which is replaced.
     """
     encoder = _encoder(path, pattern)
-    docs = docs.drop("ids")
     spark = docs.sparkSession
-    tokens = share(spark, [(w, r) for b, r in encoder.ranks.items() if (w := _text(b)) is not None])
-    keys, ids = _dictionary(only_columns(docs, "text"), encoder, tokens, words)
-    frequent = share(spark, (keys, ids))
-    schema = docs.schema
+    file = share(spark, encoder.file)
+    kept = [c for c in (docs.columns if keep is None else keep) if c != "ids"]
+    text = F.col("`text`")
+    frequent = share(spark, _dictionary(docs.select(text), encoder, file, words))
+    wrapped = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), text.alias("text"))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = word_pattern(pattern).findall
-        known = {w: r.to_bytes(4, "little") for w, r in tokens.value}
-        names, lists = frequent.value
-        if len(names):
-            flat, ends = lists.flatten().to_numpy().astype("<u4").tobytes(), (4 * lists.offsets.to_numpy()).tolist()
-            known.update(zip(names.to_pylist(), map(flat.__getitem__, map(slice, ends, ends[1:])), strict=True))
-            del flat, ends
+        find, ranks = word_pattern(pattern).findall, parse_ranks(file.value)
+        known = {w: r.to_bytes(4, "little") for t, r in ranks.items() if (w := _text(t)) is not None}
+        most = len(known) + AT_HAND
+        hashes, bounds, flat = frequent.value
+        miss = MISS.to_bytes(4, "little")
+
+        def resolve(new: list[str]) -> dict[str, bytes]:
+            """Ids of those words that the dictionary has or that are too long to fold."""
+            spelled = [w.encode() for w in new]
+            own = _hashes(spelled)
+            at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1) if len(hashes) else np.zeros(len(own), np.int64)
+            there = hashes[at] == own if len(hashes) else np.zeros(len(own), bool)
+            out = {}
+            for i in np.flatnonzero(there).tolist():
+                out[new[i]] = flat[bounds[at[i]] : bounds[at[i] + 1]].astype("<u4").tobytes()
+            for w, data in zip(new, spelled, strict=True):
+                if len(data) > LONG:
+                    out[w] = np.array(merge_heap(data, ranks), "<u4").tobytes()
+            return out
+
         for b in pieces(batches, "text"):
+            found = [find(t) if t else [] for t in b.column(1).to_pylist()]
+            got = [list(map(known.get, ws)) for ws in found]
+            new = list({w for ws, gs in zip(found, got, strict=True) if None in gs for w, g in zip(ws, gs, strict=True) if g is None})
+            more = resolve(new) if new else {}
             out, missing, sizes = [], [], []
-            for text in b.column(b.schema.get_field_index("text")).to_pylist():
+            for ws, gs in zip(found, got, strict=True):
                 own: dict[str, int] = {}
-                got = list(map(known.get, found := find(text))) if text else []
-                if None in got:
-                    for i, x in enumerate(got):
+                if None in gs:
+                    for i, x in enumerate(gs):
                         if x is None:
-                            got[i] = MISS.to_bytes(4, "little") + own.setdefault(found[i], len(own)).to_bytes(4, "little")
-                out.append(b"".join(got))
+                            gs[i] = more.get(ws[i]) or miss + own.setdefault(ws[i], len(own)).to_bytes(4, "little")
+                out.append(b"".join(gs))
                 missing += [w.encode() for w in own]
                 sizes.append(len(own))
+            for w, x in more.items():
+                if len(known) >= most:
+                    break
+                if len(x) <= 4 * LONG:
+                    known[w] = x
             ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), _byte_arrays(missing))], names=[*b.schema.names, "ids", "missing"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), _byte_arrays(missing))], names=["row", "ids", "missing"])
 
     def fill_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            k = b.schema.get_field_index("ids")
             out = []
-            for raw, lists in zip(b.column(k), b.column(k + 1), strict=True):
+            for raw, lists in zip(b.column(1), b.column(2), strict=True):
                 raw = raw.as_py()
                 if len(lists):
                     code = np.frombuffer(raw, "<u4")
@@ -251,12 +343,18 @@ def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS) -> Data
                     new[place] = flat[source]
                     raw = new.tobytes()
                 out.append(raw)
-            yield pa.RecordBatch.from_arrays([*b.columns[:k], pa.array(out, pa.binary())], names=[*b.schema.names[:k], "ids"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["row", "ids"])
+
+    row = wrapped.schema["row"].dataType.simpleString()
+    looked = wrapped.mapInArrow(tidy(look_up), f"row {row}, ids binary, missing array<array<smallint>>")
+    with _short_plans(spark):
+        done = cut(looked.withColumn("missing", F.transform("missing", encoder.fold)).mapInArrow(tidy(fill_in), f"row {row}, ids binary"))
+    file.unpersist()
+    frequent.unpersist()
+    return done.select(*[F.col(f"row.`{c}`") for c in kept], "ids")
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in schema)
-    looked = docs.mapInArrow(tidy(look_up), f"{fields}ids binary, missing array<array<smallint>>")
-    folded = looked.withColumn("missing", F.transform("missing", encoder.fold))
-    return folded.mapInArrow(tidy(fill_in), f"{fields}ids binary")
+
+_encoder = functools.lru_cache(2)(Encoder)
 
 
 def _text(token: bytes) -> str | None:
@@ -276,12 +374,13 @@ def decoder(ranks: dict[bytes, int]):
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """``encoded`` with ``decoded`` (binary), the bytes that its ``ids`` stand for; null ids decode to nothing."""
-    ranks = share(encoded.sparkSession, read_ranks(path))
+    """``encoded`` with ``decoded`` (binary), the bytes that its ``ids`` stand for; null ids decode to nothing. A column called decoded is replaced."""
+    file = share(encoded.sparkSession, _file(path))
+    encoded = encoded.select(*[F.col(f"`{c}`") for c in encoded.columns if c != "decoded"])
     names = encoded.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = decoder(ranks.value)
+        one = decoder(parse_ranks(file.value))
         for b in batches:
             ids = b.column(b.schema.get_field_index("ids"))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([one(x or b"") for x in ids.to_pylist()], pa.binary())], names=[*names, "decoded"])
@@ -292,5 +391,5 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256 and decoded_sha256 of its ids and of the bytes they decode to."""
-    both = decode(encode(only_columns(docs, "doc_id", "text"), path, pattern).select("doc_id", "ids"), path)
+    both = decode(encode(docs, path, pattern, keep=["doc_id"]), path)
     return both.select("doc_id", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremor.llm import bpe, decontaminate, line_dedup, ngram_join, toxicity
-from tremor.llm.common import cut, only_columns, table
+from tremor.llm.common import cut, table
 from tremor.llm.queries import VOCABULARY
 
 #: Near copies are documents whose sets of five-word shingles are this similar, in percent.
@@ -52,13 +52,10 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids and the hash of the bytes that they decode to."""
+    """doc_id, n_tokens, and hashes of the ids and of the bytes that they decode to."""
     import public_tokenizers
 
-    path = public_tokenizers.path(VOCABULARY)
-    both = bpe.decode(bpe.encode(only_columns(docs, "doc_id", "text"), path, public_tokenizers.PATTERN).select("doc_id", "ids"), path)
-    ids = F.expr("cast(octet_length(ids) div 4 as bigint)")
-    return both.select("doc_id", ids.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.round_trip(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
 STAGES = [

@@ -22,6 +22,7 @@ import base64
 import contextlib
 import functools
 import heapq
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,11 +31,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import cut, drop, pieces, share, tidy
+from tremor.llm.common import cut, drop, pieces, share, tidy, unwrapped, wrapped
 from tremor.llm.textvec import span_hashes
 
 #: Words in the dictionary at most; words that a task counts at a time; words of the dictionary that a task has at hand by name.
-WORDS, COUNTED, AT_HAND = 1 << 21, 300_000, 1 << 17
+WORDS, COUNTED, AT_HAND = 1 << 21, 800_000, 1 << 17
 #: Bytes of the longest word that is folded.
 LONG = 512
 MISS = 0xFFFFFFFF
@@ -58,11 +59,37 @@ def _file(path: str) -> bytes:
         return f.read()
 
 
+@functools.lru_cache(16)
+def _ranges(kind: str) -> str:
+    """The characters of a Unicode property up to U+FFFF as ranges of a character class."""
+    import regex
+
+    out = []
+    for first, last in ((0, 0xD800), (0xE000, 0x10000)):
+        for run in regex.findall(rf"\p{{{kind}}}+", "".join(map(chr, range(first, last)))):
+            lo = 0
+            for k in range(1, len(run) + 1):
+                if k == len(run) or ord(run[k]) != ord(run[k - 1]) + 1:
+                    out.append(f"\\u{ord(run[lo]):04x}-\\u{ord(run[k - 1]):04x}")
+                    lo = k
+    return "".join(out)
+
+
 @functools.lru_cache(4)
-def word_pattern(pattern: str):
+def word_finder(pattern: str):
+    """A function from a text to its words. Texts without characters over U+FFFF are searched by the standard library's engine with Unicode properties spelled out, as it is faster there."""
     import regex
 
-    return regex.compile(pattern.replace(r"[^\s", f"[^{_WHITE}").replace(r"\s", f"[{_WHITE}]").replace(r"\S", f"[^{_WHITE}]"))
+    white = pattern.replace(r"[^\s", f"[^{_WHITE}").replace(r"\s", f"[{_WHITE}]").replace(r"\S", f"[^{_WHITE}]")
+    parts, inside = [], False
+    for piece in re.split(r"(\\p\{\w+\}|\\.|[\[\]])", white):
+        if piece.startswith("\\p{"):
+            piece = _ranges(piece[3:-1]) if inside else f"[{_ranges(piece[3:-1])}]"
+        elif piece in ("[", "]"):
+            inside = piece == "["
+        parts.append(piece)
+    usual, whole, high = re.compile("".join(parts)).findall, regex.compile(white).findall, re.compile("[\U00010000-\U0010ffff]").search
+    return lambda text: whole(text) if high(text) else usual(text)
 
 
 def pair_ranks(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
@@ -217,7 +244,7 @@ def _dictionary(texts: DataFrame, encoder: Encoder, file, most: int) -> tuple[np
     pattern = encoder.pattern
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, known, seen = word_pattern(pattern).findall, {_text(t) for t in parse_ranks(file.value)}, Counter()
+        find, known, seen = word_finder(pattern), {_text(t) for t in parse_ranks(file.value)}, Counter()
 
         def out():
             some = [(w, n) for w, n in seen.items() if n > 1 and w not in known]
@@ -272,13 +299,13 @@ def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS, keep: l
     encoder = _encoder(path, pattern)
     spark = docs.sparkSession
     file = share(spark, encoder.file)
-    kept = [c for c in (docs.columns if keep is None else keep) if c != "ids"]
+    kept = docs.columns if keep is None else keep
     text = F.col("`text`")
     frequent = share(spark, _dictionary(docs.select(text), encoder, file, words))
-    wrapped = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), text.alias("text"))
+    rows = wrapped(docs, text.alias("text"), keep=kept)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, ranks = word_pattern(pattern).findall, parse_ranks(file.value)
+        find, ranks = word_finder(pattern), parse_ranks(file.value)
         known = {w: r.to_bytes(4, "little") for t, r in ranks.items() if (w := _text(t)) is not None}
         most = len(known) + AT_HAND
         hashes, bounds, flat = frequent.value
@@ -300,24 +327,23 @@ def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS, keep: l
 
         for b in pieces(batches, "text"):
             found = [find(t) if t else [] for t in b.column(1).to_pylist()]
-            got = [list(map(known.get, ws)) for ws in found]
-            new = list({w for ws, gs in zip(found, got, strict=True) if None in gs for w, g in zip(ws, gs, strict=True) if g is None})
+            new = list(set().union(*found).difference(known))
             more = resolve(new) if new else {}
+            known.update(more)
             out, missing, sizes = [], [], []
-            for ws, gs in zip(found, got, strict=True):
+            for ws in found:
                 own: dict[str, int] = {}
-                if None in gs:
-                    for i, x in enumerate(gs):
+                got = list(map(known.get, ws))
+                if None in got:
+                    for i, x in enumerate(got):
                         if x is None:
-                            gs[i] = more.get(ws[i]) or miss + own.setdefault(ws[i], len(own)).to_bytes(4, "little")
-                out.append(b"".join(gs))
+                            got[i] = miss + own.setdefault(ws[i], len(own)).to_bytes(4, "little")
+                out.append(b"".join(got))
                 missing += [w.encode() for w in own]
                 sizes.append(len(own))
-            for w, x in more.items():
-                if len(known) >= most:
-                    break
-                if len(x) <= 4 * LONG:
-                    known[w] = x
+            if len(known) > most:
+                for w in more:
+                    del known[w]
             ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), _byte_arrays(missing))], names=["row", "ids", "missing"])
 
@@ -345,13 +371,13 @@ def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS, keep: l
                 out.append(raw)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["row", "ids"])
 
-    row = wrapped.schema["row"].dataType.simpleString()
-    looked = wrapped.mapInArrow(tidy(look_up), f"row {row}, ids binary, missing array<array<smallint>>")
+    row = rows.schema["row"].dataType.simpleString()
+    looked = rows.mapInArrow(tidy(look_up), f"row {row}, ids binary, missing array<array<smallint>>")
     with _short_plans(spark):
         done = cut(looked.withColumn("missing", F.transform("missing", encoder.fold)).mapInArrow(tidy(fill_in), f"row {row}, ids binary"))
     file.unpersist()
     frequent.unpersist()
-    return done.select(*[F.col(f"row.`{c}`") for c in kept], "ids")
+    return unwrapped(done, kept, ids=F.col("ids"))
 
 
 _encoder = functools.lru_cache(2)(Encoder)
@@ -376,17 +402,14 @@ def decoder(ranks: dict[bytes, int]):
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` with ``decoded`` (binary), the bytes that its ``ids`` stand for; null ids decode to nothing. A column called decoded is replaced."""
     file = share(encoded.sparkSession, _file(path))
-    encoded = encoded.select(*[F.col(f"`{c}`") for c in encoded.columns if c != "decoded"])
-    names = encoded.columns
+    rows = wrapped(encoded, F.col("`ids`"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = decoder(parse_ranks(file.value))
-        for b in batches:
-            ids = b.column(b.schema.get_field_index("ids"))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([one(x or b"") for x in ids.to_pylist()], pa.binary())], names=[*names, "decoded"])
+        for b in pieces(batches, "ids"):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([one(x or b"") for x in b.column(1).to_pylist()], pa.binary())], names=["row", "decoded"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-    return encoded.mapInArrow(tidy(run), f"{fields}, decoded binary")
+    return unwrapped(rows.mapInArrow(tidy(run), f"row {rows.schema['row'].dataType.simpleString()}, decoded binary"), encoded.columns, decoded=F.col("decoded"))
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:

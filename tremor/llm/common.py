@@ -148,3 +148,14 @@ def label_sample(labels: DataFrame, what: str, most: int) -> list[tuple[int, int
 def only_columns(docs: DataFrame, *names: str) -> DataFrame:
     """The named columns; extra columns of any name are not looked at."""
     return docs.select(*[F.col(f"`{n}`") for n in names])
+
+
+def wrapped(docs: DataFrame, *more, keep: list[str] | None = None) -> DataFrame:
+    """``more`` beside ``row``, a struct of the columns of ``docs`` (or of those in ``keep``): whatever they are called, no name clashes with those that an operator adds."""
+    names = docs.columns if keep is None else keep
+    return docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)]).alias("row"), *more)
+
+
+def unwrapped(rows: DataFrame, names: list[str], **more) -> DataFrame:
+    """The columns ``names`` that ``wrapped`` put into ``row``, but those that ``more`` replaces, and ``more``."""
+    return rows.select(*[F.col(f"row.c{k}").alias(c) for k, c in enumerate(names) if c not in more], *[c.alias(n) for n, c in more.items()])

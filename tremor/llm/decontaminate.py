@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import only_columns, tidy
+from tremor.llm.common import only_columns, tidy, unwrapped, wrapped
 
 WINDOW = 10
 BLOCK = 3
@@ -115,7 +115,7 @@ def _parts(benchmark: DataFrame, most: int):
 
 
 def search_columns(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
-    """Rows of ``docs`` (doc_id, text and whatever else it has) with a column ``found``, a struct of
+    """Rows of ``docs`` (doc_id, text and whatever else it has) with a column ``found`` (one of that name is replaced), a struct of
 
     n_words, n_hit (words inside any occurrence of a window), n_items (items with occurring windows), items_sha256 (of their ids, sorted
     as strings, comma-joined), contaminated (n_hit > 0), items, and hits (flat list of first and last-plus-one words of the hit spans).
@@ -127,7 +127,7 @@ def search_columns(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     spark = docs.sparkSession
     parts = [spark.sparkContext.broadcast(p) for p in _parts(benchmark, part_bytes)]
     keep_tables = len(parts) == 1
-    schema = docs.schema
+    rows_ = wrapped(docs, F.col("`text`"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         built = [searches(p.value, window) for p in parts] if keep_tables else None
@@ -159,10 +159,10 @@ def search_columns(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                     }
                 )
             kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_()), ("items", pa.list_(pa.string())), ("hits", pa.list_(pa.int32()))])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, kind)], names=[*batch.schema.names, "found"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kind)], names=["row", "found"])
 
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    return docs.mapInArrow(tidy(run), f"{out}, found {_FOUND}")
+    searched = rows_.mapInArrow(tidy(run), f"row {rows_.schema['row'].dataType.simpleString()}, found {_FOUND}")
+    return unwrapped(searched, docs.columns, found=F.col("found"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:

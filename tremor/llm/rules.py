@@ -120,7 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> list[Rule]:
     sample = label_sample(labels, "quality", most)
     if not sample:
         return []
-    ids = F.broadcast(docs.sparkSession.createDataFrame(sample, "doc_id long, y int"))
+    ids = F.broadcast(docs.sparkSession.createDataFrame(sample, f"doc_id {dict(labels.dtypes)['doc_id']}, y int"))
     rows = document_stats(only_columns(docs, "doc_id", "text").join(ids, "doc_id"), ["y"]).select("y", "features").toArrow()
     if not rows.num_rows:
         return []

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import held_out, label_sample, only_columns, pieces, text_buffers, tidy
+from tremor.llm.common import held_out, label_sample, only_columns, pieces, text_buffers, tidy, unwrapped, wrapped
 from tremor.llm.textvec import ALNUM, LOWER, Words, mix, span_hashes
 
 #: Labelled rows that terms, label model and classifier are fitted on at most.
@@ -190,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
     sample = label_sample(labels, "toxic", most)
     if len({y for _, y in sample}) < 2:
         return _seeds_only()
-    ids = F.broadcast(docs.sparkSession.createDataFrame(sample, "doc_id long, y int"))
+    ids = F.broadcast(docs.sparkSession.createDataFrame(sample, f"doc_id {dict(labels.dtypes)['doc_id']}, y int"))
     rows = only_columns(docs, "doc_id", "text").join(ids, "doc_id").select("text", "y")
     toxic = sum(y for _, y in sample)
     least = max(2, toxic // 400)
@@ -234,17 +234,18 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` (with text) and ``toxicity``, a struct of score (double) and hits (long)."""
+    """All columns of ``docs`` (with text) and ``toxicity``, a struct of score (double) and hits (long); a column of that name is replaced."""
+    rows = wrapped(docs, F.col("`text`"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits = Hits(model.terms)
         for b in pieces(batches, "text"):
             p, n = model(hits, b)
             both = pa.StructArray.from_arrays([pa.array(p), pa.array(n.astype(np.int64))], names=["score", "hits"])
-            yield pa.RecordBatch.from_arrays([*b.columns, both], names=[*b.schema.names, "toxicity"])
+            yield pa.RecordBatch.from_arrays([b.column(0), both], names=["row", "toxicity"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(tidy(run), f"{fields}, toxicity struct<score: double, hits: bigint>")
+    scored = rows.mapInArrow(tidy(run), f"row {rows.schema['row'].dataType.simpleString()}, toxicity struct<score: double, hits: bigint>")
+    return unwrapped(scored, docs.columns, toxicity=F.col("toxicity"))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -6,27 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremor.llm import bpe, decontaminate, line_dedup, ngram_join, toxicity
-from tremor.llm.common import cut, table
+from tremor.llm.common import cut, table, unwrapped, wrapped
 from tremor.llm.queries import VOCABULARY
 
 #: Near copies are documents whose sets of five-word shingles are this similar, in percent.
 SHINGLE_WORDS, NEAR_PERCENT = 5, 80
 
 
-def _as_documents(docs: DataFrame, columns: list[str]) -> DataFrame:
-    return docs.select(*[F.col(f"`{c}`") for c in columns])
+def _rows(docs: DataFrame) -> DataFrame:
+    """row (a struct of the columns of ``docs``), doc_id and text: no other name of the input is looked at."""
+    return wrapped(docs, F.col("`doc_id`"), F.col("`text`"))
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier scores below its threshold; it is fitted on the labelled ones among ``docs``."""
+    """Documents that the classifier scores below its threshold; it is fitted on the labelled ones among ``docs``. Null and empty texts stay."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return _as_documents(toxicity.score(docs, model).where(F.col("toxicity.score") < toxicity.THRESHOLD), docs.columns)
+    return unwrapped(toxicity.score(_rows(docs), model).where(F.col("toxicity.score") < toxicity.THRESHOLD), docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that stand in an earlier document or earlier in their own; n_chars is that of the new text. A document that loses all goes."""
     kept = line_dedup.dedup_lines(docs)
-    return _as_documents(kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept, docs.columns)
+    return kept.withColumn("n_chars", F.length("`text`").cast("long")) if "n_chars" in docs.columns else kept
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,21 +35,21 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows are told apart by a 64-bit hash of id and text, so rows that only repeat an id are documents of their own, and of rows that repeat both one stays.
     """
-    rows = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
-    found = ngram_join.join_components(rows.select(F.col("__row").alias("doc_id"), "text"), SHINGLE_WORDS, NEAR_PERCENT).where("n_shingles > 0")
-    found = cut(found.groupBy(F.col("doc_id").alias("__row")).agg(F.min("component_id").alias("root"), F.count("*").alias("n")))
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row")
-    least = found.join(rows.select("__row", "doc_id"), "__row").groupBy("root").agg(F.min(place)["__row"].alias("first"))
-    marked = cut(found.join(least, "root").where("__row <> first or n > 1").select("__row", (F.col("__row") != F.col("first")).alias("lost")))
-    repeated = rows.join(marked.where("not lost"), "__row", "left_semi").dropDuplicates(["__row"])
-    kept = rows.join(marked.select("__row"), "__row", "left_anti").unionByName(repeated)
-    return _as_documents(kept, docs.columns)
+    rows = _rows(docs).withColumn("key", F.xxhash64("doc_id", "text"))
+    found = ngram_join.join_components(rows.select(F.col("key").alias("doc_id"), "text"), SHINGLE_WORDS, NEAR_PERCENT).where("n_shingles > 0")
+    found = cut(found.groupBy(F.col("doc_id").alias("key")).agg(F.min("component_id").alias("root"), F.count("*").alias("n")))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+    least = found.join(rows.select("key", "doc_id"), "key").groupBy("root").agg(F.min(place)["key"].alias("first"))
+    marked = cut(found.join(least, "root").where("key <> first or n > 1").select("key", (F.col("key") != F.col("first")).alias("lost")))
+    repeated = rows.join(marked.where("not lost"), "key", "left_semi").dropDuplicates(["key"])
+    kept = rows.join(marked.select("key"), "key", "left_anti").unionByName(repeated)
+    return unwrapped(kept, docs.columns)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item."""
-    found = decontaminate.search_columns(docs, table(spark, sf_dir, "benchmark"))
-    return _as_documents(found.where(~F.col("found.contaminated")), docs.columns)
+    """Documents without a window of a benchmark item. Null and empty texts stay."""
+    found = decontaminate.search_columns(_rows(docs), table(spark, sf_dir, "benchmark"))
+    return unwrapped(found.where(~F.col("found.contaminated")), docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

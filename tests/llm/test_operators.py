@@ -461,3 +461,14 @@ def test_repeats_of_one_text_only(spark):
     rows = [(i, "the same text in every document of this table, long enough to be found, and then some more words to make it so" * 2) for i in range(30)]
     got = repeats.remove_repeats(frame(spark, rows).coalesce(1), 20, 8).collect()
     assert all((r.n_removed, r.n_spans, r.kept) == (r.n_bytes, 1, b"") for r in got) and len(got) == 30
+
+
+def test_pieces_hold_the_words_of_their_text():
+    """Words found piece after piece are those of the whole text, whatever white space there is; another pattern leaves the text whole."""
+    P = pytest.importorskip("public_tokenizers")
+    split, find, rng = bpe.piece_finder(P.PATTERN), bpe.word_finder(P.PATTERN), random.Random(17)
+    parts = ["a", "b", "é", "1", "'s", ".", " ", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", " ", "　", "\0", "\U0001f600", "​"]
+    for _ in range(20_000):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 9)))
+        assert [w for p in split(text) for w in find(p)] == find(text)
+    assert len(split("one two three")) == 3 and bpe.piece_finder(r"\S+\s*")("one two") == ["one two"]

@@ -34,8 +34,12 @@ from pyspark.sql import functions as F
 from tremor.llm.common import cut, drop, pieces, share, tidy, unwrapped, wrapped
 from tremor.llm.textvec import span_hashes
 
-#: Words in the dictionary at most; words that a task counts at a time; words of the dictionary that a task has at hand by name.
-WORDS, COUNTED, AT_HAND = 1 << 21, 800_000, 1 << 17
+#: Words in the dictionary at most; pieces that a task counts at a time; words of the dictionary, and pieces, that a task has at hand by name.
+WORDS, COUNTED, AT_HAND = 1 << 21, 600_000, 1 << 17
+#: Characters of the longest piece that a task keeps at hand.
+LONG_PIECE = 64
+#: Fixed value: the pattern of a public tokenizer, none of whose matches goes on from another character to white space.
+ENDS_AT_WHITE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bytes of the longest word that is folded.
 LONG = 512
 MISS = 0xFFFFFFFF
@@ -92,6 +96,23 @@ def word_finder(pattern: str):
     return lambda text: whole(text) if high(text) else usual(text)
 
 
+@functools.lru_cache(4)
+def piece_finder(pattern: str):
+    """A function from a text to pieces of it whose words, one piece after the other, are the words of the text, so that the words of a usual piece need to be found only once.
+
+    With ``ENDS_AT_WHITE`` a piece is white space and what follows it up to the next white space; with any other pattern a text is one piece.
+    """
+    if pattern != ENDS_AT_WHITE:
+        return lambda text: [text]
+    white, run = re.compile(f"[{_WHITE}] ").search, re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+").findall
+
+    def split(text: str) -> list[str]:
+        # where every space follows a letter or the like, a piece may as well begin at spaces alone
+        return run(text) if "\0" in text or white(text) else text.replace(" ", "\0 ").split("\0")
+
+    return split
+
+
 def pair_ranks(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
     """The rank of each pair of tokens whose concatenation is a token."""
     return {(ranks[t[:i]], ranks[t[i:]]): r for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
@@ -244,11 +265,16 @@ def _dictionary(texts: DataFrame, encoder: Encoder, file, most: int) -> tuple[np
     pattern = encoder.pattern
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, known, seen = word_finder(pattern), {_text(t) for t in parse_ranks(file.value)}, Counter()
+        split, find, known, seen = piece_finder(pattern), word_finder(pattern), {_text(t) for t in parse_ranks(file.value)}, Counter()
 
         def out():
-            some = [(w, n) for w, n in seen.items() if n > 1 and w not in known]
-            seen.clear()
+            words: dict[str, int] = {}
+            while seen:
+                piece, n = seen.popitem()
+                for w in find(piece):
+                    if w not in known:
+                        words[w] = words.get(w, 0) + n
+            some = [(w, n) for w, n in words.items() if n > 1]
             for at in range(0, len(some), 10_000):
                 part = some[at : at + 10_000]
                 yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.string()), pa.array([n for _, n in part], pa.int64())], names=["word", "n"])
@@ -256,7 +282,7 @@ def _dictionary(texts: DataFrame, encoder: Encoder, file, most: int) -> tuple[np
         for b in pieces(batches, "text"):
             for text in b.column(0).to_pylist():
                 if text:
-                    seen.update(find(text))
+                    seen.update(split(text))
                     if len(seen) > COUNTED:
                         yield from out()
         yield from out()
@@ -305,9 +331,10 @@ def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS, keep: l
     rows = wrapped(docs, text.alias("text"), keep=kept)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, ranks = word_finder(pattern), parse_ranks(file.value)
+        split, find, ranks = piece_finder(pattern), word_finder(pattern), parse_ranks(file.value)
         known = {w: r.to_bytes(4, "little") for t, r in ranks.items() if (w := _text(t)) is not None}
         most = len(known) + AT_HAND
+        at_hand: dict[str, bytes] = {}
         hashes, bounds, flat = frequent.value
         miss = MISS.to_bytes(4, "little")
 
@@ -326,21 +353,30 @@ def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS, keep: l
             return out
 
         for b in pieces(batches, "text"):
-            found = [find(t) if t else [] for t in b.column(1).to_pylist()]
-            new = list(set().union(*found).difference(known))
-            more = resolve(new) if new else {}
+            found = [split(t) if t else [] for t in b.column(1).to_pylist()]
+            new = {p: find(p) for p in set().union(*found).difference(at_hand)}
+            unknown = list(set().union(*new.values()).difference(known))
+            more = resolve(unknown) if unknown else {}
             known.update(more)
+            for p, ws in new.items():
+                got = list(map(known.get, ws))
+                if None not in got:
+                    at_hand[p] = b"".join(got)
             out, missing, sizes = [], [], []
-            for ws in found:
+            for ps in found:
                 own: dict[str, int] = {}
-                got = list(map(known.get, ws))
+                got = list(map(at_hand.get, ps))
                 if None in got:
                     for i, x in enumerate(got):
                         if x is None:
-                            got[i] = miss + own.setdefault(ws[i], len(own)).to_bytes(4, "little")
+                            got[i] = b"".join([known.get(w) or miss + own.setdefault(w, len(own)).to_bytes(4, "little") for w in new[ps[i]]])
                 out.append(b"".join(got))
                 missing += [w.encode() for w in own]
                 sizes.append(len(own))
+            full = len(at_hand) > AT_HAND
+            for p in new:
+                if full or len(p) > LONG_PIECE:
+                    at_hand.pop(p, None)
             if len(known) > most:
                 for w in more:
                     del known[w]

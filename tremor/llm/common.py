@@ -45,6 +45,7 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/tremor/{uuid.uuid4().hex}"
     df.write.options(**{"compression": "zstd", "parquet.compression.codec.zstd.level": "1", "parquet.enable.dictionary": "false"}).parquet(path)
     give_back()
+    spark._jvm.System.gc()  # Spark deletes shuffle files when the driver's collector finds that no plan needs them, which may else be long after
     out = spark.read.schema(df.schema).parquet(path)
     out._cut = path
     return out

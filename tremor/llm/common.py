@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import gc
 import os
@@ -39,13 +40,24 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Meanwhile the session has ``value`` for ``key``."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it again: what follows neither recomputes it nor depends on executors that may be lost."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tremor/{uuid.uuid4().hex}"
-    df.write.options(**{"compression": "zstd", "parquet.compression.codec.zstd.level": "1", "parquet.enable.dictionary": "false"}).parquet(path)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):  # nothing needs the shuffle files of this plan once it is written
+        df.write.options(**{"compression": "zstd", "parquet.compression.codec.zstd.level": "1", "parquet.enable.dictionary": "false"}).parquet(path)
     give_back()
-    spark._jvm.System.gc()  # Spark deletes shuffle files when the driver's collector finds that no plan needs them, which may else be long after
     out = spark.read.schema(df.schema).parquet(path)
     out._cut = path
     return out

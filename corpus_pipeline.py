@@ -67,7 +67,7 @@ STAGES = [
     ("byte-level BPE encoding and decoding", tokens),
 ]
 
-#: SQL can express neither the classifier nor the tokenizer; tests hold the stages against brute force.
+#: SQL can express neither the classifier nor the tokenizer; tests look at what the stages do to small tables, and hold the operators that they call against brute force or libraries where there is such a test.
 ORACLE_SQL = None
 
 

@@ -85,7 +85,20 @@ def signatures(texts: pa.Array, gram: int, slots: int) -> np.ndarray:
     for hashes, line in shingle_hashes(codes, bounds, gram):
         slot = ((hashes >> np.uint64(32)) * np.uint64(slots)) >> np.uint64(32)
         np.minimum.at(low, line * slots + slot.astype(np.int64), hashes & np.uint64(0xFFFFFFFF))
-    low = low.reshape(-1, slots)
+    return densified(low.reshape(-1, slots))
+
+
+def one_permutation(hashes: np.ndarray, rows: np.ndarray, n: int, slots: int) -> np.ndarray:
+    """Signatures of shape (n, slots) of sets of 64-bit ``hashes``, each an element of the set of its row; every set has an element."""
+    low = np.full(n * slots, _EMPTY)
+    slot = ((hashes >> np.uint64(32)) * np.uint64(slots)) >> np.uint64(32)
+    np.minimum.at(low, rows * slots + slot.astype(np.int64), hashes & np.uint64(0xFFFFFFFF))
+    return densified(low.reshape(-1, slots))
+
+
+def densified(low: np.ndarray) -> np.ndarray:
+    """Signatures whose empty slots take the minimum of the first slot that has one, in an order of their own."""
+    slots = low.shape[1]
     line, slot = np.nonzero(low == _EMPTY)
     full, orders = low.copy(), _orders(slots)
     for j in range(1, slots):

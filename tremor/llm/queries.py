@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremor.llm import bpe, chat, decontaminate, line_dedup, ngram_join, quality, repeats, rules, toxicity, url_filter
+from tremor.llm import bpe, chat, decontaminate, line_dedup, near_dedup, ngram_join, quality, repeats, rules, toxicity, url_filter, whitening
 from tremor.llm.common import table
 
 
@@ -58,9 +58,21 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_quality_classifier, op3_suffix_dedup, op4_toxicity, op5_chat_format, op6_ngram_jaccard_join, op7_line_dedup, op8_decontamination, op9_quality_rules, op10_byte_bpe)
-}
+    f.__name__: f
+    for f in (
+        op1_url_filter, op2_quality_classifier, op3_suffix_dedup, op4_toxicity, op5_chat_format, op6_ngram_jaccard_join, op7_line_dedup, op8_decontamination, op9_quality_rules, op10_byte_bpe,
+        op11_minhash_near_dedup, op12_embedding_whitening,
+    )
+}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -79,21 +91,28 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(h.n_hit, 0)
 from docs d left join hit h using (doc_id) left join who o using (doc_id)
 """
 
-OP6_SQL = rf"""
+
+def _components_sql(percent: int, more: str = "") -> str:
+    """n_shingles and component_id of documents whose sets of 4-word shingles link at ``percent``."""
+    return rf"""
 with recursive docs as (select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents),
 places as (select doc_id, w, least(4, len(w)) as m, unnest(range(1, len(w) - least(4, len(w)) + 2)) as i from docs where len(w) > 0),
 grams as (select distinct doc_id, array_to_string(w[i : i + m - 1], ' ') as g from places),
 sizes as (select doc_id, count(*) as n from grams group by doc_id),
 links as (
   select a.doc_id as a, b.doc_id as b from grams a join grams b on a.g = b.g and a.doc_id <> b.doc_id join sizes x on x.doc_id = a.doc_id join sizes y on y.doc_id = b.doc_id
-  where 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n) group by a.doc_id, b.doc_id, x.n, y.n having 100 * count(*) >= 85 * (x.n + y.n - count(*))
+  where 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) group by a.doc_id, b.doc_id, x.n, y.n having 100 * count(*) >= {percent} * (x.n + y.n - count(*))
 ),
 reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on l.a = r.b),
 least_ids as (select a, min(b) as b from reach group by a)
-select d.doc_id, cast(coalesce(s.n, 0) as bigint) as n_shingles, least(d.doc_id, coalesce(l.b, d.doc_id)) as component_id
+select d.doc_id, cast(coalesce(s.n, 0) as bigint) as n_shingles, least(d.doc_id, coalesce(l.b, d.doc_id)) as component_id{more}
 from docs d left join sizes s using (doc_id) left join least_ids l on l.a = d.doc_id
 """
 
+
+OP6_SQL = _components_sql(85)
+OP11_SQL = _components_sql(80, ", d.doc_id = least(d.doc_id, coalesce(l.b, d.doc_id)) as kept")
+
 OP3_SQL = """
 with docs as (select doc_id, coalesce(text, '') as text, hex(encode(coalesce(text, ''))) as h, cast(octet_length(encode(coalesce(text, ''))) as bigint) as n from documents),
 blocks as (select doc_id, n, 400 * b as base, substr(h, 800 * b + 1, 1198) as part from (select doc_id, n, h, unnest(range(0, (n + 200) // 400)) as b from docs where n >= 200)),
@@ -112,4 +131,4 @@ select d.doc_id, d.n as n_bytes, cast(coalesce(l.n_removed, 0) as bigint) as n_r
 from docs d left join lost l using (doc_id) left join kept k using (doc_id)
 """
 
-SQL: dict[str, str] = {"op3_suffix_dedup": OP3_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op8_decontamination": OP8_SQL}
+SQL: dict[str, str] = {"op3_suffix_dedup": OP3_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op8_decontamination": OP8_SQL, "op11_minhash_near_dedup": OP11_SQL}

@@ -7,9 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tremor.plans.queries import QUERIES, SQL
+from jobs import queries as jobs
+from tremor.plans import queries as seismic
 
 DATA = "/root/testdata/sf0.001"
+QUERIES, SQL = seismic.QUERIES | jobs.QUERIES, seismic.SQL | jobs.SQL
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
 
 

@@ -35,19 +35,19 @@ def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
 OFF_TIES = 1.234567e-7
 
 
-def _rounded(column: str) -> Column:
+def rounded(column: str) -> Column:
     return (F.round(F.nanvl(F.col(column), F.lit(None).cast("double")) + OFF_TIES, 5) + 0.0).alias(column)
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All features of all windows from matrices of windows: the fast way to what the other queries define one by one."""
-    return _table(spark, sf_dir).select("station", "w", *map(_rounded, FEATURES))
+    return _table(spark, sf_dir).select("station", "w", *map(rounded, FEATURES))
 
 
 def feature_dev(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First differences of the rounded features between windows of a station."""
     order = Window.partitionBy("station").orderBy("run", "w")
-    rows = _table(spark, sf_dir).select("station", "run", "w", *map(_rounded, FEATURES))
+    rows = _table(spark, sf_dir).select("station", "run", "w", *map(rounded, FEATURES))
     return rows.select("station", "w", *[(F.round(F.col(f) - F.lag(f).over(order), 5) + 0.0).alias(f"{f}_DEV") for f in FEATURES])
 
 

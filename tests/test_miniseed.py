@@ -107,33 +107,140 @@ def test_data_source_filters_components(spark, archive):
 
 def test_run_and_preprocess(spark, archive, tmp_path):
     cfg = Config(fs=5.0, win_sec=60, step_sec=30, lta_sec=20)
-    table = pipeline.run(spark, str(archive), cfg)
+    table, found, windows = pipeline.extract(spark, str(archive), cfg)
     rows = table.orderBy("Zaman_Dk").collect()
-    assert len(table.columns) == 105 and len(rows) == 2 * ((6000 - 300) // 150 + 1)
+    assert len(table.columns) == 105 and len(rows) == windows == 2 * ((6000 - 300) // 150 + 1) and (found.native, found.fs, found.late) == (10.0, 5.0, 0)
     assert rows[0].Pencere_ID == "ELZG_w01" and rows[0].Zaman_Dk == pytest.approx((1704067200 + 60) / 60) and rows[0].E_RMS_DEV is None
-    assert rows[1].E_RMS_DEV == pytest.approx(rows[1].E_RMS - rows[0].E_RMS)
-    chunks = pipeline.conditioned(spark, str(archive), cfg)
-    side = sinks.write_waveform(chunks, str(tmp_path / "out.f32"), cfg)
-    wave = np.fromfile(tmp_path / "out.f32", "<f4").reshape(-1, 3)
-    assert len(wave) == side["samples"] == 12_000 and [s["sample_offset"] for s in side["segments"]] == [0, 6000]
+    assert [r.Pencere_ID for r in rows] == [f"ELZG_w{k + 1:02}" for k in range(windows)]
+    for a, b in zip(rows, rows[1:], strict=False):  # also across the pause
+        assert b.E_RMS_DEV == pytest.approx(b.E_RMS - a.E_RMS) and b.NZ_CROSS_CORR_DEV == pytest.approx(b.NZ_CROSS_CORR - a.NZ_CROSS_CORR)
+    side = sinks.write_waveform(found.blocks, found.chunks, str(tmp_path / "out.f32"), cfg)
     assert json.loads((tmp_path / "out.f32.json").read_text()) == side
-    first = chunks.orderBy("segment", "block").first()
-    assert np.allclose(wave[:100, 0], np.array(first.e[:100], "f4"))
+    names = sorted(p.name for p in (tmp_path / "out.f32").iterdir())
+    assert all(n.startswith("part-") for n in names)  # nothing of the writing is left
+    wave = np.concatenate([np.fromfile(tmp_path / "out.f32" / n, "<f4") for n in names]).reshape(-1, 3)
+    assert len(wave) == side["samples"] == 12_000 and [s["sample_offset"] for s in side["segments"]] == [0, 6000]
+    blocks = found.blocks.orderBy("segment", "block").collect()
+    assert np.array_equal(wave, np.concatenate([np.stack([b.e, b.n, b.z], axis=1) for b in blocks]).astype("f4"), equal_nan=True)
+    sinks.write_waveform(found.blocks, found.chunks, str(tmp_path / "out.f32"), cfg)
+    sinks.join_parts(spark, str(tmp_path / "out.f32"), str(tmp_path / "one"))
+    assert np.array_equal(np.fromfile(tmp_path / "one", "<f4").reshape(-1, 3), wave)
     path = sinks.write_features(table, str(tmp_path), "x", cfg, 5.0)
     assert spark.read.parquet(path).columns[:4] == ["Pencere_ID", "Zaman_Dk", "EN_CROSS_CORR", "EZ_CROSS_CORR"]
 
 
-def test_segments_and_nan_counts(spark, tmp_path):
-    kind = pipeline.CHUNK
-    nan = float("nan")
-    rows = [("s", 0, 0, 1000.0, 5.0, [1.0, 2.0], [3.0, 4.0], [5.0, 6.0]), ("s", 0, 1, 1000.4, 5.0, [7.0], [8.0], [9.0])]
-    side = sinks.write_waveform(spark.createDataFrame(rows, kind), str(tmp_path / "a"), Config())
-    assert np.fromfile(tmp_path / "a", "<f4").tolist() == [1, 3, 5, 2, 4, 6, 7, 8, 9] and len(side["segments"]) == 1
-    rows = [("s", 0, 0, 1000.0, 5.0, [1.0], [1.0], [1.0]), ("s", 1, 1, 4600.0, 5.0, [2.0], [2.0], [2.0])]
-    assert [s["sample_offset"] for s in sinks.write_waveform(spark.createDataFrame(rows, kind), str(tmp_path / "b"), Config())["segments"]] == [0, 1]
-    rows = [("s", 0, 0, 0.0, 5.0, [nan, 1.0], [1.0, 1.0], [1.0, nan])]
-    side = sinks.write_waveform(spark.createDataFrame(rows, kind), str(tmp_path / "c"), Config())
-    assert side["nan_counts"] == {"E": 1, "N": 0, "Z": 1} and np.isnan(np.fromfile(tmp_path / "c", "<f4")[[0, 5]]).all()
+def waveform(spark, folder, rows):
+    """Sidecar, and samples read back, of chunks (segment, block, start, e, n, z) at 4 Hz."""
+    blocks = spark.createDataFrame([("s", s, b, t, 4.0, *[[float(v) for v in c] for c in x]) for s, b, t, *x in rows], pipeline.CHUNK)
+    chunks = spark.createDataFrame([("s", s, b, t, 4.0, min(map(len, x))) for s, b, t, *x in rows], "station string, segment int, block int, start_epoch double, fs double, len bigint")
+    side = sinks.write_waveform(blocks, chunks, str(folder), Config())
+    data = [np.fromfile(p, "<f4") for p in sorted(folder.glob("part-*"))] if folder.exists() else []
+    return side, np.concatenate(data).reshape(-1, 3) if data else np.zeros((0, 3))
+
+
+def test_segments_follow_their_own_clock(spark, tmp_path):
+    """Each chunk starts an eighth of a sample later than the one before ends: the clock breaks with the fourth after its first, not with any single step."""
+    x, starts, t = np.arange(30.0), [], 500.0
+    for _ in range(10):
+        starts.append(t)
+        t += 3 / 4 + 1 / 32
+    side, wave = waveform(spark, tmp_path / "a", [(0, k, s, x[3 * k : 3 * k + 3], -x[3 * k : 3 * k + 4], x[3 * k : 3 * k + 3] / 2) for k, s in enumerate(starts)])
+    assert [s["sample_offset"] for s in side["segments"]] == [0, 12, 24] and [s["start_epoch"] for s in side["segments"]] == [starts[0], starts[4], starts[8]]
+    assert np.array_equal(wave, np.stack([x, -x, x / 2], axis=1).astype("f4"))  # cut to the shortest component
+    nan = np.nan
+    side, wave = waveform(spark, tmp_path / "b", [(0, 0, 10.0, [nan, 2, nan], [1, nan, 3], [4, 5, 6]), (1, 1, 99.0, [nan], [nan], [7])])
+    assert side["nan_counts"] == {"E": 3, "N": 2, "Z": 0} and np.isnan(wave).sum(axis=0).tolist() == [3, 2, 0] and len(side["segments"]) == 2
+    side, wave = waveform(spark, tmp_path / "c", [(0, 0, 10.0, [], [], [])])
+    assert (side["samples"], side["fs"], side["segments"], len(wave)) == (0, 0.0, [], 0)
+
+
+def test_a_failed_task_leaves_nothing(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    waveform(spark, tmp_path / "w", [(0, 0, 0.0, [1.0, 2], [3, 4], [5, 6])])
+    kept = sorted((p.name, p.read_bytes()) for p in (tmp_path / "w").iterdir())
+    rows = spark.createDataFrame([(k, [1.0], [2.0], [3.0]) for k in range(8)], "sample_offset bigint, e array<double>, n array<double>, z array<double>")
+    broken = rows.repartition(4).withColumn("z", F.when(F.col("sample_offset") == 5, F.raise_error(F.lit("broken"))).otherwise(F.col("z")))
+    with pytest.raises(Exception, match="broken"):
+        broken.write.format("f32").mode("append").save(str(tmp_path / "w"))
+    assert sorted((p.name, p.read_bytes()) for p in (tmp_path / "w").iterdir()) == kept
+
+
+def mixed_file(rng, n):
+    """Records of both versions, several lengths, codings and byte orders one after the other, with payloads that hold digits and letters of headers."""
+    out = b""
+    for k in range(n):
+        x = rng.integers(-40, 40, int(rng.integers(1, 12))).cumsum().tolist()
+        start, kind = 10.0 * k, int(rng.integers(0, 6))
+        if kind == 0:
+            out += record3("FDSN:KO_ELZG__H_H_" + "ENZ"[k % 3], k % 60, x)
+        elif kind in (1, 2):
+            out += record2("HH" + "ENZ"[k % 3], start, x, 9 + kind, raw=steim(x, kind), power=int(rng.choice([7, 8, 9])))
+        else:
+            out += record2("HH" + "ENZQ"[k % 4], start, x, [3, 4, 5][kind - 3], order="<>"[k % 2], power=int(rng.choice([8, 9, 12])))
+        if kind == 3:
+            out = out[:-40] + b"000001D 000002D MS\x03".ljust(40, b"0")
+    return out
+
+
+def test_ranges_find_their_records():
+    rng = np.random.default_rng(8)
+    data = mixed_file(rng, 120) + b"tail" * 10
+    source = lambda: ms.Bytes(lambda at, n: data[at : at + n], len(data))
+    read = lambda lo, hi: [r for b in ms.batches("f", source(), lo, hi, True, ms.Wanted()) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    whole = read(0, len(data))
+    assert len(whole) > 90
+    for split in (64, 333, 1000, 4096, 20_000):
+        assert [r for lo in range(0, len(data), split) for r in read(lo, min(lo + split, len(data)))] == whole
+
+
+def test_index_reads_headers_only(spark, tmp_path):
+    x = np.arange(900)
+    (tmp_path / "long").write_bytes(b"".join(record2("HH" + "ENZ"[k % 3], 90.0 * k, x, 3, power=12) for k in range(300)))
+    size = 300 * 4096
+    taken = 0
+    for lo in range(0, size, size // 4):
+        source = ms.opened(str(tmp_path / "long"), size, ms.HEAD)
+        assert sum(b.num_rows for b in ms.batches("f", source, lo, lo + size // 4, False, ms.Wanted())) == 75
+        taken += source.taken
+    assert taken < 0.05 * size + 3 * 70_000  # three of the ranges look for their first record
+    rows = ms.read_records(spark, str(tmp_path), split=100_000)
+    assert rows.rdd.getNumPartitions() > 1 and rows.count() == 300
+    assert [len(r.samples) for r in ms.read_records(spark, str(tmp_path), samples=True, split=100_000).collect()] == [900] * 300
+
+
+def test_filters_on_time_reach_the_source(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"".join(record2("HHZ", 10.0 * k, X, 3, power=12) for k in range(100)))
+    ms.register(spark)
+    rows = spark.read.format("miniseed").load(str(tmp_path))
+    t = 1704067200.0
+    some = rows.where(f"start_epoch >= {t + 200} and start_epoch < {t + 500} and component = 'Z'")
+    assert sorted(r.start_epoch - t for r in some.collect()) == [10.0 * k for k in range(20, 50)]
+    assert "Filter" not in some._jdf.queryExecution().optimizedPlan().toString().replace("isnotnull", "") or "start_epoch >=" not in some._jdf.queryExecution().executedPlan().toString()
+    size = 100 * 4096
+    reads = []
+    for wanted in (ms.Wanted(), ms.Wanted(least=t + 200, below=t + 500)):
+        source = ms.opened(str(tmp_path / "a"), size, ms.HEAD)
+        list(ms.batches("a", source, 0, size, True, wanted))
+        reads.append(source.taken)
+    assert reads[1] < 0.4 * reads[0]
+
+
+def test_many_records_decode_as_one_by_one():
+    rng = np.random.default_rng(5)
+    parts, headers, want = [], [], []
+    for _ in range(300):
+        x = rng.integers(-30, 30, int(rng.integers(1, 40))).cumsum().tolist()
+        encoding, order = int(rng.choice([1, 3, 4, 5, 10, 11])), str(rng.choice(["<", ">"]))
+        if encoding > 9:
+            order = ">"
+            parts.append(steim(x, encoding - 9) if rng.random() < 0.9 else b"")
+        else:
+            parts.append(np.asarray(x).astype(order + {1: "i2", 3: "i4", 4: "f4", 5: "f8"}[encoding]).tobytes())
+        headers.append({"encoding": encoding, "order": order, "count": len(x) - int(rng.integers(0, 2))})
+        want.append([float(v) for v in x[: headers[-1]["count"]]] if parts[-1] else [])
+    values, n = ms.decode_many(parts, headers)
+    assert [v.tolist() for v in np.split(values, np.cumsum(n)[:-1])] == want
 
 
 def test_stream_equals_batch(spark, archive, tmp_path):
@@ -160,5 +267,6 @@ def test_stream_equals_batch(spark, archive, tmp_path):
 
 def test_command_line(tmp_path, capsys):
     assert cli.main(["init", "--out", str(tmp_path / "c.json")]) == 0 and Config.load(str(tmp_path / "c.json")) == Config()
-    assert cli.main(["preprocess", "--data-dir", "x", "--out-dir", "y", "--fs", "50.0", "--freqmin", "0.1", "--freqmax", "20.0", "--dry-run"]) == 0
-    assert cli.main(["run", "--data-dir", "x", "--out-dir", "y", "--freqmax", "2.5", "--dry-run"]) == 2
+    assert cli.main(["--config", str(tmp_path / "c.json"), "preprocess", "--data-dir", "in", "--out-dir", "out", "--freqmin", "0.5", "--fs", "8", "--freqmax", "1.5", "--dry-run"]) == 0
+    assert cli.main(["run", "--data-dir", "in", "--out-dir", "out", "--freqmin", "3", "--dry-run"]) == 2
+    assert "freqmin" in capsys.readouterr().err

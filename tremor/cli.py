@@ -24,6 +24,8 @@ def _parser() -> argparse.ArgumentParser:
         c.add_argument("--dry-run", action="store_true")
         for option in ("fs", "freqmin", "freqmax"):
             c.add_argument(f"--{option}", type=float)
+        if name == "preprocess":
+            c.add_argument("--single-file", action="store_true", help="also join the parts of the waveform to one file")
         if name == "run":
             c.add_argument("--station")
             c.add_argument("--win-sec", type=float)
@@ -45,14 +47,19 @@ def main(argv: list[str] | None = None) -> int:
     if args.dry_run:
         return 0
     spark = ship(SparkSession.builder.appName("tremor").getOrCreate())
-    os.makedirs(args.out_dir, exist_ok=True)
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", f"{args.out_dir.rstrip('/')}/_work")
     stem = os.path.basename(os.path.normpath(args.data_dir))
     if args.command == "run":
-        table = pipeline.run(spark, args.data_dir, cfg)
-        native = pipeline.native_rate(spark, args.data_dir)
-        sinks.write_features(table, args.out_dir, stem, cfg, cfg.decimation(native)[1])
+        table, archive, windows = pipeline.extract(spark, args.data_dir, cfg)
+        if windows:
+            sinks.write_features(table, args.out_dir, stem, cfg, archive.fs)
     else:
-        sinks.write_waveform(pipeline.conditioned(spark, args.data_dir, cfg), f"{args.out_dir}/{stem}_preprocessed.f32", cfg)
+        archive = pipeline.archive(spark, args.data_dir, cfg)
+        out = f"{args.out_dir}/{stem}_preprocessed.f32"
+        sinks.write_waveform(archive.blocks, archive.chunks, f"{out}.parts" if args.single_file else out, cfg, f"{out}.json")
+        if args.single_file:
+            sinks.join_parts(spark, f"{out}.parts", out)
     return 0
 
 

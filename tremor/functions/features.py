@@ -151,8 +151,8 @@ select component, i, round(case when x is not null then x else (2 * t * t * t -
 
 
 def detrend(d: Spark) -> str:
-    """Least squares line over the place, taken off where a sample is."""
-    return f"""with {grid(d)}, fit as (select component, coalesce({d.div("covar_pop(x, cast(i as double))", "var_pop(case when x is not null then cast(i as double) end)")}, 0) as b, avg(x) as mx, avg(case when x is not null then cast(i as double) end) as mi, count(x) as n from full_grid group by component)
+    """Least squares line over the place, taken off where a sample is; of a lone sample its mean."""
+    return f"""with {grid(d)}, fit as (select component, coalesce({d.div("covar_pop(x, cast(i as double))", "var_pop(case when x is not null then cast(i as double) end)")}, 0) as b, avg(x) as mx, avg(case when x is not null then cast(i as double) end) as mi, count(*) as n from full_grid group by component)
 select g.component, g.i, round(case when f.n < 2 then g.x else g.x - f.mx - f.b * (g.i - f.mi) end, 5) + 0.0e0 as x from full_grid g join fit f on f.component = g.component"""
 
 

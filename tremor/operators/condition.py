@@ -34,10 +34,10 @@ def fill_gaps(x: np.ndarray) -> np.ndarray:
 
 
 def detrend(x: np.ndarray) -> np.ndarray:
-    """Takes the least squares line off the samples that are there."""
+    """Takes the least squares line off the samples that are there, or their mean where they have no spread; so a lone sample among missing ones becomes 0. A series of one place stays."""
     x = np.asarray(x, float)
     ok = ~np.isnan(x)
-    if ok.sum() < 2:
+    if len(x) < 2 or not ok.any():
         return x.copy()
     i = np.flatnonzero(ok).astype(float)
     di, dx = i - i.mean(), x[ok] - x[ok].mean()

@@ -1,67 +1,39 @@
 """The two pipelines: records to blocks to features, and records to a conditioned waveform.
 
-Record metadata of a station is planned by one task (a few numbers a record); samples travel once, from the reader to the task of their block, and once more from
-blocks to groups of windows. A group holds the samples of ``GROUP`` windows and is computed as one matrix.
+Headers are read once, into an index, from which ``planning`` derives where every sample goes and which window it is in. Samples are read once, and travel from the reader to
+the task of their block, and from blocks to groups of windows. A group holds the samples of ``GROUP`` windows and is computed as one matrix.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremor.config import BLOCK_S, CONTEXT_S, RESET_S, SLACK_S, Config
+from tremor.config import Config
+from tremor.functions.columns import arrays, lists
 from tremor.functions.kernels import COMPONENTS, FEATURES, features
-from tremor.operators.assemble import Planner, check_index
+from tremor.operators.assemble import check_index
 from tremor.operators.condition import process
+from tremor.operators.scan import differences
+from tremor.plans.planning import chunks_of, plan_blocks, runs_of
+from tremor.shared import written
 from tremor.sources.miniseed import read_records
 
+log = logging.getLogger("tremor")
+
 GROUP = 64
 CHUNK = "station string, segment int, block int, start_epoch double, fs double, e array<double>, n array<double>, z array<double>"
-ORDER = ["start_epoch", "path", "offset"]
-
-
-def plan_blocks(index: DataFrame, factor: int, block_s: float = BLOCK_S, slack_s: float = SLACK_S, context_s: float = CONTEXT_S, reset_s: float = RESET_S) -> DataFrame:
-    """Where each record goes: a row for each block that holds samples of it, as its own or as context. ``index``: station, path, offset, start_epoch, component, count, fs.
-
-    Of a late record nothing is placed; such rows have a null block.
-    """
-    schema = "station string, path string, offset bigint, seq int, place bigint, segment int, block int, start double, first bigint, take int, lead int, phase int"
-
-    def plan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ORDER, kind="stable").reset_index(drop=True)
-        p = Planner(float(pdf.fs.iloc[0]), factor, block_s, slack_s, context_s, reset_s)
-        places, blocks = [], []
-        for start, count in zip(pdf.start_epoch, pdf["count"], strict=True):
-            at, closed = p.add(start, int(count))
-            places.append(at)
-            blocks += closed
-        blocks += p.drain()
-        rows = []
-        ends = {s: ([b.offset + b.take for b in blocks if b.segment == s], [b for b in blocks if b.segment == s]) for s in {b.segment for b in blocks}}
-        for k, at in enumerate(places):
-            r = pdf.iloc[k]
-            if at is None:
-                rows.append((r.station, r.path, r.offset, k, None, None, None, None, None, None, None, None))
-                continue
-            stops, own = ends[at[0]]
-            i = int(np.searchsorted(stops, at[1], "right"))
-            while i < len(own) and own[i].offset - own[i].lead < at[1] + r["count"]:
-                b = own[i]
-                rows.append((r.station, r.path, r.offset, k, at[1], b.segment, b.number, b.start, b.offset, b.take, b.lead, b.phase))
-                i += 1
-        out = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
-        return out.astype({c: "Int64" for c in ("place", "segment", "block", "first", "take", "lead", "phase")})
-
-    return index.groupBy("station").applyInPandas(plan, schema)
 
 
 def blocks_of(samples: DataFrame, plan: DataFrame, cfg: Config, native: float) -> DataFrame:
-    """Conditioned blocks (CHUNK). Of samples on one place the last record's stands; places without one are missing (NaN)."""
+    """Conditioned blocks (CHUNK). Of samples on one place the last record's stands; places without one are missing (NaN), a whole block of them too."""
     factor, out_fs = cfg.decimation(native)
 
     def condition(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -69,7 +41,7 @@ def blocks_of(samples: DataFrame, plan: DataFrame, cfg: Config, native: float) -
         lead, take = int(b.lead), int(b["take"])
         first = int(b["first"]) - lead
         grid = {c: np.full(lead + take, np.nan) for c in COMPONENTS}
-        for r in pdf.sort_values("seq").itertuples():
+        for r in pdf[pdf.path.notna()].sort_values(["start_epoch", "path", "offset"], kind="stable").itertuples():
             lo = int(r.place) - first
             a, z = max(0, -lo), min(len(r.samples), lead + take - lo)
             if z > a:
@@ -77,34 +49,44 @@ def blocks_of(samples: DataFrame, plan: DataFrame, cfg: Config, native: float) -
         out = [process(grid[c], native, cfg.freqmin, cfg.freqmax, factor, lead + int(b.phase)) for c in COMPONENTS]
         return pd.DataFrame([[b.station, int(b.segment), int(b.block), float(b.start), out_fs, *out]], columns=["station", "segment", "block", "start_epoch", "fs", "e", "n", "z"])
 
-    placed = plan.where("block is not null").join(samples.select("path", "offset", "component", "samples"), ["path", "offset"])
-    return placed.groupBy("station", "segment", "block").applyInPandas(condition, CHUNK)
+    wanted = plan.where("block is not null")
+    placed = wanted.where("path is not null").join(samples.select("path", "offset", "component", "samples"), ["path", "offset"])
+    empty = wanted.where("path is null").withColumns({"component": F.lit(None).cast("string"), "samples": F.lit(None).cast("array<double>")})
+    return placed.unionByName(empty).groupBy("station", "segment", "block").applyInPandas(condition, CHUNK)
 
 
-def conditioned(spark: SparkSession, path: str, cfg: Config, **seconds) -> DataFrame:
-    """Blocks of an archive folder. Raises if its rates differ or a component is missing; all stations of a folder are one, named in ``cfg``."""
-    index = read_records(spark, path).withColumn("station", F.lit(cfg.station))
-    facts = index.groupBy("component").agg(F.min("fs").alias("lo"), F.max("fs").alias("hi")).collect()
-    native = check_index([v for r in facts for v in (r.lo, r.hi)], [r.component for r in facts])
-    if problems := cfg.problems(native):
-        raise ValueError("; ".join(problems))
-    factor, _ = cfg.decimation(native)
-    return blocks_of(read_records(spark, path, samples=True), plan_blocks(index, factor, **seconds), cfg, native)
+@dataclass
+class Archive:
+    """An archive's plan, its conditioned blocks (CHUNK), what is known of them beforehand (station, segment, block, start_epoch, fs, len), its native and its output rate, and its late records."""
 
+    plan: DataFrame
+    blocks: DataFrame
+    chunks: DataFrame
+    native: float
+    fs: float
+    late: int
 
-def native_rate(spark: SparkSession, path: str) -> float:
-    return float(read_records(spark, path).agg(F.max("fs")).first()[0])
 
+def archive(spark: SparkSession, path: str, cfg: Config, **seconds) -> Archive:
+    """The archive of a folder. Raises if its rates differ or a component is missing; all stations of a folder are one, named in ``cfg``.
 
-def runs_of(chunks: DataFrame) -> DataFrame:
-    """Chunks with run (contiguous chunks of a station), pos (first sample within the run) and epoch (start of the run's clock at that chunk)."""
-    order = Window.partitionBy("station").orderBy("segment", "block")
-    size = F.greatest(F.size("e"), F.size("n"), F.size("z"))
-    end = F.lag(F.col("start_epoch") + F.col("len") / F.col("fs")).over(order)
-    told = chunks.withColumn("len", size.cast("bigint")).withColumn("new", (end.isNull() | (F.abs(F.col("start_epoch") - end) > 1.5 / F.col("fs"))).cast("int"))
-    runs = told.withColumn("run", F.sum("new").over(order).cast("bigint"))
-    within = Window.partitionBy("station", "run").orderBy("segment", "block").rowsBetween(Window.unboundedPreceding, -1)
-    return runs.withColumn("pos", F.coalesce(F.sum("len").over(within), F.lit(0)).cast("bigint"))
+    Records that come too late for their block are left out and counted; they and an output rate that is not the one asked for are logged as warnings.
+    """
+    index = written(read_records(spark, path).withColumn("station", F.lit(cfg.station)), "index")
+    facts = index.groupBy("component").agg(F.min("fs").alias("lo"), F.max("fs").alias("hi")).collect()
+    if not facts:
+        raise FileNotFoundError(f"No files found in {path}, or none with a record")
+    native = check_index([v for r in facts for v in (r.lo, r.hi)], [r.component for r in facts])
+    if problems := cfg.problems(native):
+        raise ValueError("; ".join(problems))
+    if warning := cfg.rate_warning(native):
+        log.warning(warning)
+    factor, fs = cfg.decimation(native)
+    plan = plan_blocks(index, factor, **seconds)
+    late = plan.where("block is null").count()
+    if late:
+        log.warning("%s records came too late for their block and were left out", late)
+    return Archive(plan, blocks_of(read_records(spark, path, samples=True), plan, cfg, native), chunks_of(plan, factor, native), native, fs, late)
 
 
 def window_features(pieces: DataFrame, win: int, step: int, nsta: int, nlta: int, standard_hjorth: bool = False) -> DataFrame:
@@ -117,51 +99,52 @@ def window_features(pieces: DataFrame, win: int, step: int, nsta: int, nlta: int
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for r in b.to_pylist():
-                x = {c: np.array([np.nan if v is None else v for v in r[c]], float) for c in ("e", "n", "z")}
-                n = max(map(len, x.values()))
-                for g in range(max(0, (r["pos"] - win - span) // span + 1), (r["pos"] + n - 1) // span + 1 if n else 0):
-                    a, z = max(r["pos"], g * span), min(r["pos"] + n, (g + 1) * span - step + win)
-                    if z > a:
-                        rows.append({"station": r["station"], "run": r["run"], "g": g, "pos": a, "epoch": r["start_epoch"] - r["pos"] / r["fs"], "fs": r["fs"], **{c: v[a - r["pos"] : z - r["pos"]] for c, v in x.items()}})
-            arrays = [pa.array([r[k] for r in rows], t) for k, t in (("station", b.schema.field("station").type), ("run", pa.int64()), ("g", pa.int64()), ("pos", pa.int64()), ("epoch", pa.float64()), ("fs", pa.float64()), *((c, pa.list_(pa.float64())) for c in "enz"))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["station", "run", "g", "pos", "epoch", "fs", "e", "n", "z"])
+            if not b.num_rows:
+                continue
+            station, run, pos, start, fs = (b.column(k) for k in range(5))
+            run, pos, start, fs = (c.to_numpy() for c in (run, pos, start, fs))
+            x = [arrays(b.column(k)) for k in (5, 6, 7)]
+            n = np.max([[len(v) for v in c] for c in x], axis=0)
+            # A piece is in the groups from that whose last window reaches its first sample to that which begins at or before its last one.
+            first, last = np.maximum(0, (pos - win - span) // span + 1), np.where(n > 0, (pos + n - 1) // span, -1)
+            rows = [(k, g, lo, hi) for k in range(len(n)) for g in range(int(first[k]), int(last[k]) + 1) if (hi := min(pos[k] + n[k], (g + 1) * span - step + win)) > (lo := max(pos[k], g * span))]
+            which, group, lo, hi = (np.array(c, np.int64) for c in (zip(*rows, strict=True) if rows else ([], [], [], [])))
+            parts = [lists([c[k][a - pos[k] : z - pos[k]] for k, a, z in zip(which, lo, hi, strict=True)]) for c in x]
+            out = [station.take(pa.array(which)), pa.array(run[which]), pa.array(group), pa.array(lo), pa.array((start - pos / fs)[which]), pa.array(fs[which]), *parts]
+            yield pa.RecordBatch.from_arrays(out, names=["station", "run", "g", "pos", "epoch", "fs", "e", "n", "z"])
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        key, held = None, []  # pieces of a group: pos, epoch, fs, and samples of three components
 
         def out():
             station, run, g = key
             lo = g * span
-            n = max(r["pos"] + max(len(r[c]) for c in "enz") for r in held) - lo
+            n = max(p[0] + max(map(len, p[3:])) for p in held) - lo
             count = min(GROUP, (n - win) // step + 1) if n >= win else 0
             if count <= 0:
                 return None
-            x = {c: np.full(max(n, (count - 1) * step + win), np.nan) for c in "enz"}
-            for r in held:
-                for c in "enz":
-                    x[c][r["pos"] - lo : r["pos"] - lo + len(r[c])] = r[c]
-            views = [np.lib.stride_tricks.sliding_window_view(x[c], win)[::step][:count] for c in "enz"]
-            found = features(*views, held[0]["fs"], nsta, nlta, standard_hjorth)
+            x = np.full((3, max(n, (count - 1) * step + win)), np.nan)
+            for p in held:
+                for c in range(3):
+                    x[c, p[0] - lo : p[0] - lo + len(p[3 + c])] = p[3 + c]
+            views = [np.lib.stride_tricks.sliding_window_view(c, win)[::step][:count] for c in x]
+            found = features(*views, held[0][2], nsta, nlta, standard_hjorth)
             w = g * GROUP + np.arange(count)
             # The clock of a window is that of the piece its last sample lies in.
-            last = np.array([r["pos"] for r in held])
-            at = np.clip(np.searchsorted(last, w * step + win - 1, "right") - 1, 0, None)
-            end = np.array([r["epoch"] for r in held])[at] + (w * step + win) / held[0]["fs"]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([station] * count, kind_), pa.array([run] * count, pa.int64()), pa.array(w), pa.array(end), *(pa.array(v, from_pandas=True) for v in found.values())], names=["station", "run", "w", "end_epoch", *found]
-            )
+            at = np.clip(np.searchsorted([p[0] for p in held], w * step + win - 1, "right") - 1, 0, None)
+            end = np.array([p[1] for p in held])[at] + (w * step + win) / held[0][2]
+            return pa.RecordBatch.from_arrays([pa.array([station] * count, kind_), pa.array([run] * count, pa.int64()), pa.array(w), pa.array(end), *(pa.array(v, from_pandas=True) for v in found.values())], names=["station", "run", "w", "end_epoch", *found])
 
         for b in batches:
             kind_ = b.schema.field("station").type
-            for r in b.to_pylist():
-                now = (r["station"], r["run"], r["g"])
+            keys = zip(*(c.to_pylist() for c in b.columns[:3]), strict=True)
+            facts = zip(*(c.to_pylist() for c in b.columns[3:6]), strict=True)
+            for now, fact, *x in zip(keys, facts, *(arrays(c) for c in b.columns[6:]), strict=True):
                 if now != key:
                     if held and (made := out()):
                         yield made
                     key, held = now, []
-                held.append(r)
+                held.append((*fact, *(v.copy() for v in x)))
         if held and (made := out()):
             yield made
 
@@ -170,18 +153,29 @@ def window_features(pieces: DataFrame, win: int, step: int, nsta: int, nlta: int
     return ordered.mapInArrow(compute, f"station {kind}, run bigint, w bigint, end_epoch double, " + ", ".join(f"`{f}` double" for f in FEATURES))
 
 
-def feature_table(found: DataFrame, stem: str | None = None) -> DataFrame:
-    """station and the 104 columns: label, time of the window's end in minutes, features, and their differences from the window before (also across pauses)."""
-    order = Window.partitionBy("station").orderBy("run", "w")
-    named = found.withColumn("g", F.row_number().over(order))
-    label = F.concat(F.lit(stem) if stem else F.col("station").cast("string"), F.lit("_w"), F.format_string("%02d", "g"))
-    steps = [(F.col(f) - F.lag(f).over(order)).alias(f"{f}_DEV") for f in FEATURES]
-    return named.select("station", label.alias("Pencere_ID"), (F.col("end_epoch") / 60).alias("Zaman_Dk"), *FEATURES, *steps)
+def feature_table(found: DataFrame, runs: DataFrame, stem: str | None = None) -> DataFrame:
+    """station and the 104 columns: label, time of the window's end in minutes, features, and their differences from the window before (also across pauses).
+
+    Windows are numbered across the ``runs`` (station, run, windows_before) of a station, so no sort of its windows is needed.
+    """
+    named = found.join(runs.select("station", "run", "windows_before"), ["station", "run"]).withColumn("g", F.col("windows_before") + F.col("w"))
+    label = F.concat(F.lit(stem) if stem else F.col("station").cast("string"), F.lit("_w"), F.format_string("%02d", F.col("g") + 1))
+    steps = differences(named, ["station"], "g", FEATURES, "_DEV")
+    return steps.select("station", label.alias("Pencere_ID"), (F.col("end_epoch") / 60).alias("Zaman_Dk"), *FEATURES, *[f"{f}_DEV" for f in FEATURES])
+
+
+def extract(spark: SparkSession, path: str, cfg: Config, **seconds) -> tuple[DataFrame, Archive, int]:
+    """(feature table of an archive folder, the archive, how many windows it has). Windows follow the clock of their run."""
+    a = archive(spark, path, cfg, **seconds)
+    nsta, nlta = cfg.average_lengths(a.fs)
+    places, runs = runs_of(a.chunks, cfg.win_size, cfg.step_size)
+    windows = int(runs.agg(F.sum("windows")).first()[0] or 0)
+    if not windows:
+        log.warning("no window of %s samples fits into the runs of %s", cfg.win_size, path)
+    pieces = a.blocks.join(places, ["station", "segment", "block"]).withColumn("start_epoch", F.col("epoch") + F.col("pos") / F.col("fs"))
+    return feature_table(window_features(pieces, cfg.win_size, cfg.step_size, nsta, nlta), runs, cfg.station), a, windows
 
 
 def run(spark: SparkSession, path: str, cfg: Config) -> DataFrame:
     """Feature table of an archive folder."""
-    pieces = runs_of(conditioned(spark, path, cfg))
-    fs = pieces.select("fs").first()
-    nsta, nlta = cfg.average_lengths(fs.fs if fs else cfg.fs)
-    return feature_table(window_features(pieces, cfg.win_size, cfg.step_size, nsta, nlta), cfg.station)
+    return extract(spark, path, cfg)[0]

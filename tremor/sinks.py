@@ -3,14 +3,29 @@
 from __future__ import annotations
 
 import json
+import logging
+import uuid
+from collections.abc import Iterator
 from dataclasses import asdict, replace
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from tremor.config import Config
+from tremor.functions.columns import arrays
 from tremor.functions.kernels import COMPONENTS
+from tremor.plans.planning import clocked
+from tremor.shared import written
+from tremor.stores import store_of
+
+log = logging.getLogger("tremor")
+
+#: Samples of a part of a waveform.
+PART = 1 << 22
 
 
 def write_features(table: DataFrame, out_dir: str, stem: str, cfg: Config, fs: float) -> str:
@@ -35,51 +50,125 @@ def write_text(like: DataFrame, path: str, text: str) -> None:
         out.close()
 
 
-def segments(chunks: DataFrame) -> DataFrame:
-    """Chunks (station, segment, block, start_epoch, fs, len) with sample_offset and new (whether a segment of the time axis begins): one whose start is half a sample or more from where the segment's clock puts it.
+class Part(WriterCommitMessage):
+    """A file that a task has written: its name, and the sample that it begins with."""
+
+    def __init__(self, files: list[tuple[str, int]]):
+        self.files = files
 
-    One row a chunk, so a station's chunks are few enough for one task; the rule refers to the start of the segment, not to the chunk before.
+
+class WaveformWriter(DataSourceArrowWriter):
+    """Rows (sample_offset, e, n, z) as flat files, E N Z E N Z .. in little-endian float32, a file for each stretch of samples that a task brings in order.
+
+    Tasks write aside. The commit takes the place of an earlier waveform in the folder; an aborted write, or a task that was tried twice, leaves nothing. The names of the parts
+    sort in the order of their samples, so their concatenation is the whole waveform.
     """
 
-    def walk(pdf):
-        pdf = pdf.sort_values(["segment", "block"]).reset_index(drop=True)
-        offset = pdf["len"].cumsum() - pdf["len"]
-        new, base = [], None
-        for at, start, fs in zip(offset, pdf.start_epoch, pdf.fs, strict=True):
-            begins = base is None or not abs(start - (base[1] + (at - base[0]) / fs)) < 0.5 / fs
-            base = (at, start) if begins else base
-            new.append(begins)
-        return pdf.assign(sample_offset=offset.astype("int64"), new=new)
-
-    rows = chunks.select("station", "segment", "block", "start_epoch", "fs", F.col("len").cast("bigint").alias("len"))
-    return rows.groupBy("station").applyInPandas(walk, "station string, segment int, block int, start_epoch double, fs double, len bigint, sample_offset bigint, new boolean")
-
-
-def trimmed(chunks: DataFrame) -> DataFrame:
-    """Chunks cut to their shortest component, with len."""
-    short = F.least(F.size("e"), F.size("n"), F.size("z"))
-    return chunks.withColumn("len", short).where("len > 0").select("station", "segment", "block", "start_epoch", "fs", "len", *[F.slice(c, F.lit(1), F.col("len")).alias(c) for c in "enz"])
-
-
-def interleaved(e, n, z) -> bytes:
-    """E N Z E N Z .. as little-endian float32."""
-    return np.stack([np.asarray([np.nan if v is None else v for v in x], float) for x in (e, n, z)], axis=1).astype("<f4").tobytes()
-
-
-def write_waveform(chunks: DataFrame, path: str, cfg: Config, note: str = "sample i lies at start_epoch + (i - sample_offset) / fs of the last segment that begins at or before it") -> dict:
-    """``path`` (flat float32) and ``path``.json. Chunks stream to the file one at a time in order; the driver holds one, not the waveform."""
-    ready = trimmed(chunks).persist()
-    parts = segments(ready).where("new").orderBy("sample_offset").collect()
-    counts = ready.agg(F.sum("len"), F.max("fs"), *[F.sum(F.size(F.filter(c, lambda v: v.isNull() | F.isnan(v)))) for c in "enz"]).first()
-    samples = int(counts[0] or 0)
-    with open(path, "wb") as out:
-        for r in ready.orderBy("segment", "block").select("e", "n", "z").toLocalIterator(prefetchPartitions=True):
-            out.write(interleaved(r.e, r.n, r.z))
-    ready.unpersist()
+    def __init__(self, path: str):
+        if store_of(path) is None:
+            raise ValueError(f"no file system of Arrow's reaches {path}")
+        self.path, self.aside = path.rstrip("/"), f"{path.rstrip('/')}/_writing-{uuid.uuid4().hex}"
+
+    def _store(self):
+        store, prefix = store_of(self.path)
+        return store, self.path.removeprefix(prefix), self.aside.removeprefix(prefix)
+
+    def write(self, batches: Iterator[pa.RecordBatch]) -> Part:
+        store, _, aside = self._store()
+        store.create_dir(aside, recursive=True)
+        task, files, out, following = TaskContext.get(), [], None, None
+        for b in batches:
+            for offset, *x in zip(b.column(0).to_pylist(), *(arrays(c) for c in b.columns[1:]), strict=True):
+                if offset != following:
+                    if out:
+                        out.close()
+                    files.append((f"{aside}/{task.partitionId()}-{task.taskAttemptId()}-{len(files)}", offset))
+                    out = store.open_output_stream(files[-1][0])
+                data = interleaved(*x)
+                out.write(data)
+                following = offset + len(data) // 12
+        if out:
+            out.close()
+        return Part(files)
+
+    def commit(self, messages: list[Part]) -> None:
+        from pyarrow import fs
+
+        store, path, aside = self._store()
+        for old in store.get_file_info(fs.FileSelector(path)):
+            if old.base_name.startswith("part-"):
+                store.delete_file(old.path)
+        for m in messages:
+            for name, offset in m.files if m else []:
+                store.move(name, f"{path}/part-{offset:020d}.f32")
+        store.delete_dir(aside)
+
+    def abort(self, messages: list[Part]) -> None:
+        from pyarrow import fs
+
+        store, _, aside = self._store()
+        if store.get_file_info(aside).type != fs.FileType.NotFound:
+            store.delete_dir(aside)
+
+
+class WaveformSink(DataSource):
+    """``rows.write.format("f32").mode("append").save(path)`` with rows (sample_offset bigint, e, n, z array<double>), in order within partitions."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "f32"
+
+    def writer(self, schema, overwrite: bool) -> WaveformWriter:
+        return WaveformWriter(self.options["path"])
+
+
+def interleaved(*components: np.ndarray) -> bytes:
+    """E N Z E N Z .. as little-endian float32, up to the shortest component."""
+    n = min(map(len, components))
+    return np.stack([x[:n] for x in components], axis=1).astype("<f4").tobytes()
+
+
+def write_waveform(blocks: DataFrame, chunks: DataFrame, path: str, cfg: Config, sidecar_path: str | None = None, note: str = "sample i lies at start_epoch + (i - sample_offset) / fs of the last segment that begins at or before it") -> dict:
+    """The waveform of one station as parts in the folder ``path``, written by the tasks that hold it, and its sidecar, ``path``.json unless named; returns the sidecar.
+
+    ``blocks``: CHUNK; ``chunks``: station, segment, block, start_epoch, fs and len of those, from which every block's place in the waveform is known before it is computed.
+    """
+    spark = blocks.sparkSession
+    spark.dataSource.register(WaveformSink)
+    places = written(clocked(chunks, 0.5, True), "waveform-places")
+    parts = places.where("begins").orderBy("sample_offset").select("sample_offset", "start_epoch").collect()
+    facts = places.agg(F.sum("len").alias("samples"), F.max("fs").alias("fs")).first()
+    samples, counts = int(facts.samples or 0), dict.fromkeys("enz", 0)
+    if samples:
+        rows, seen = blocks.join(places.select("station", "segment", "block", "sample_offset"), ["station", "segment", "block"]), Observation()
+        short = F.least(*[F.size(c) for c in "enz"])
+        missing = [F.sum(F.size(F.filter(F.slice(c, F.lit(1), short), lambda v: v.isNull() | F.isnan(v)))).alias(c) for c in "enz"]
+        # Parts are stretches of the waveform that are known beforehand, so blocks are computed once and no range is sampled.
+        ready = rows.select("sample_offset", "e", "n", "z", F.floor(F.col("sample_offset") / PART).alias("part")).observe(seen, *missing).repartition("part").sortWithinPartitions("sample_offset")
+        ready.drop("part").write.format("f32").mode("append").save(path)
+        counts = seen.get
+    else:
+        log.warning("no samples for %s", path)
     sidecar = {
-        "format": "f32le", "layout": "interleaved", "channels": list(COMPONENTS), "dtype": "<f4", "samples": samples, "shape": [samples, 3], "fs": float(counts[1] or 0), "nan_counts": {c: int(v or 0) for c, v in zip(COMPONENTS, counts[2:], strict=True)},
+        "format": "f32le", "layout": "interleaved", "channels": list(COMPONENTS), "dtype": "<f4", "samples": samples, "shape": [samples, 3], "fs": float(facts.fs or 0), "nan_counts": {c: int(counts[c.lower()] or 0) for c in COMPONENTS},
         "freqmin": cfg.freqmin, "freqmax": cfg.freqmax, "station": cfg.station, "segments": [{"sample_offset": r.sample_offset, "start_epoch": r.start_epoch} for r in parts], "note": note,
     }
-    with open(path + ".json", "w") as out:
-        json.dump(sidecar, out, indent=2)
+    write_text(blocks, sidecar_path or f"{path}.json", json.dumps(sidecar, indent=2))
     return sidecar
+
+
+def join_parts(spark, folder: str, path: str) -> None:
+    """One flat file of the parts in ``folder``, copied stream by stream by the file system's own client; only where a reader needs a single file."""
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop, spark.sparkContext._jsc.hadoopConfiguration()
+    source, target = hadoop.fs.Path(f"{folder}/part-*.f32"), hadoop.fs.Path(path)
+    store = source.getFileSystem(conf)
+    out = target.getFileSystem(conf).create(target, True)
+    try:
+        for part in sorted((f.getPath() for f in store.globStatus(source) or []), key=lambda p: p.getName()):
+            own = store.open(part)
+            try:
+                hadoop.io.IOUtils.copyBytes(own, out, 1 << 20, False)
+            finally:
+                own.close()
+    finally:
+        out.close()

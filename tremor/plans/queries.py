@@ -13,6 +13,7 @@ from tremor.functions import dialect
 from tremor.functions import features as definitions
 from tremor.functions.features import DEFINITIONS, grid, records
 from tremor.functions.kernels import FEATURES
+from tremor.plans import production
 
 
 def _query(text: dialect.Text) -> Callable[[SparkSession, str], DataFrame]:
@@ -116,4 +117,6 @@ select t.*, round(en_cross_corr + {OFF_TIES}, 5) + 0.0e0 as EN_CROSS_CORR, round
 
 SQL["feature_table"] = _feature_table_sql()
 SQL["feature_dev"] = f"with f as ({_feature_table_sql()}) select station, w, " + ", ".join(f'round("{f}" - lag("{f}") over (partition by station order by w), 5) + 0.0e0 as "{f}_DEV"' for f in FEATURES) + " from f"
+QUERIES |= production.QUERIES
+SQL |= production.SQL
 FLAGSHIP = "feature_dev"

@@ -112,7 +112,7 @@ CELLS, CONTEXT, LOW, HIGH, FACTOR = 48, 12, 1 / 24, 1 / 5, 2
 
 
 def conditioned_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Blocks of the gapped hourly grid with the context before them, each conditioned on its own: gaps filled, trend taken off, filtered, and every second cell of the grid."""
+    """Blocks of the gapped hourly grid with the context before them, each conditioned on its own: gaps filled (``filled`` where there was no sample), trend taken off, filtered, and every second cell of the grid."""
     cells = dialect.run(spark, sf_dir, lambda d: f"with {grid(d)} select component, i, x from full_grid")
     own = F.floor(F.col("i") / CELLS)
     dealt = cells.withColumn("block", F.explode(F.when(F.pmod("i", F.lit(CELLS)) >= CELLS - CONTEXT, F.array(own, own + 1)).otherwise(F.array(own)))).where(F.col("i") >= F.col("block") * CELLS - CONTEXT)
@@ -129,11 +129,11 @@ def conditioned_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         skip += -int(i[skip]) % FACTOR
         out = process(x, 1.0, LOW, HIGH, FACTOR, skip)
         kept = slice(skip, None, FACTOR)
-        return pd.DataFrame({"component": pdf.component.iloc[0], "block": block, "i": i[kept], "filled": filled[kept], "flat": flat[kept], "x": out})
+        return pd.DataFrame({"component": pdf.component.iloc[0], "block": block, "i": i[kept], "filled": np.where(np.isnan(x), filled, np.nan)[kept], "flat": flat[kept], "x": out})
 
     made = dealt.groupBy("component", "block").applyInPandas(condition, "component string, block bigint, i bigint, filled double, flat double, x double")
     null = F.lit(None).cast("double")
-    return made.select("component", "block", "i", *[(F.round(F.nanvl(c, null), n) + 0.0).alias(c) for c, n in (("filled", 6), ("flat", 5), ("x", 4))])
+    return made.select("component", "block", "i", *[(F.round(F.nanvl(c, null), n) + 0.0).alias(c) for c, n in (("filled", 4), ("flat", 5), ("x", 4))])
 
 
 def _conditioned_sql() -> str:
@@ -150,9 +150,9 @@ ends as (select *, last_value(case when x is not null then p end ignore nulls) {
   first_value(x ignore nulls) {after} as y1, last_value(case when x is not null then coalesce(px, 1e308) end ignore nulls) {before} as pl, first_value(case when x is not null then coalesce(nx, 1e308) end ignore nulls) {after} as nr from near),
 slopes as (select *, cast(r - l as double) as d, cast(p - l as double) / nullif(r - l, 0) as t, case when l = 0 then y1 - y0 when pl = 1e308 then null else (y1 - pl) * (r - l) / (r - l + 1e0) end as m0,
   case when r = m - 1 then y1 - y0 when nr = 1e308 then null else (nr - y0) * (r - l) / (r - l + 1e0) end as m1 from ends),
-filled as (select component, block, i, p, m, case when x is not null then x else y0 + t * m0 + t * t * (3 * (y1 - y0) - 2 * m0 - m1) + t * t * t * (m0 + m1 - 2 * (y1 - y0)) end as f from slopes),
+filled as (select component, block, i, p, m, x is null as gap, case when x is not null then x else y0 + t * m0 + t * t * (3 * (y1 - y0) - 2 * m0 - m1) + t * t * t * (m0 + m1 - 2 * (y1 - y0)) end as f from slopes),
 fit as (select component, block, any_value(m) as m, count(f) as n, avg(f) as mf, avg(case when f is not null then p end) as mp, covar_pop(f, case when f is not null then cast(p as double) end) as cov, var_pop(case when f is not null then cast(p as double) end) as var from filled group by 1, 2),
-flat as (select component, block, i, p, m, n, f, case when m < 2 then f else f - mf - case when var > 0 then cov / var else 0 end * (p - mp) end as x from filled join fit using (component, block, m)),
+flat as (select component, block, i, p, m, n, f, gap, case when m < 2 then f else f - mf - case when var > 0 then cov / var else 0 end * (p - mp) end as x from filled join fit using (component, block, m)),
 shape as (select component, block, m, least(m - 1, 73) as pad, cast(pow(2, floor(log2(m + 2 * least(m - 1, 73) + 144)) + 1) as bigint) as size from fit where n > 0),
 y as (select component, block, p, coalesce(x, 0) as y from flat),
 edge as (select component, block, arg_min(y, p) as first, arg_max(y, p) as last from y group by 1, 2),
@@ -165,7 +165,7 @@ turned as (select component, block, k, size, sum(y * cos(2 * pi() * ((k * t) % s
 gained as (select *, 1 / (1 + pow((w * w - {w1} * {w2}) / (w * ({w2} - {w1})), 8)) as g from (select *, 2 * tan(pi() * k / size) as w from turned)),
 back as (select component, block, p, sum(2 * g / size * (re * cos(2 * pi() * ((k * (p + pad)) % size) / size) + im * sin(2 * pi() * ((k * (p + pad)) % size) / size))) as x
   from gained join shape using (component, block, size) join (select component, block, p, i from flat where i % {FACTOR} = 0 and i >= block * {CELLS}) using (component, block) group by 1, 2, 3)
-select component, block, i, round(f, 6) + 0e0 as filled, round(flat.x, 5) + 0e0 as flat, case when f is not null then round(back.x, 4) + 0e0 end as x from flat left join back using (component, block, p) where i % {FACTOR} = 0 and i >= block * {CELLS}"""
+select component, block, i, case when gap then round(f, 4) + 0e0 end as filled, round(flat.x, 5) + 0e0 as flat, case when f is not null then round(back.x, 4) + 0e0 end as x from flat left join back using (component, block, p) where i % {FACTOR} = 0 and i >= block * {CELLS}"""
 
 
 def waveform_parts(spark: SparkSession, sf_dir: str) -> DataFrame:

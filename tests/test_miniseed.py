@@ -243,22 +243,36 @@ def test_many_records_decode_as_one_by_one():
     assert [v.tolist() for v in np.split(values, np.cumsum(n)[:-1])] == want
 
 
-def test_stream_equals_batch(spark, archive, tmp_path):
+def test_stream_equals_batch_and_drains_when_left_alone(spark, archive, tmp_path):
+    """Records arrive shuffled, in several batches; the last blocks come out by a timer."""
+    import time
+
     from pyspark.sql import functions as F
 
-    from tremor.streaming.assembler import assemble_stream
+    from tremor.plans.planning import plan_blocks
+    from tremor.streaming.assembler import assemble_stream, state_store
 
     cfg, native = Config(fs=5.0), 10.0
     seconds = {"block_s": 300.0, "slack_s": 20.0, "context_s": 30.0, "reset_s": 900.0}
     index = ms.read_records(spark, str(archive), samples=True).withColumn("station", F.lit("ELZG"))
-    batch = pipeline.blocks_of(index, pipeline.plan_blocks(index.drop("samples"), 2, **seconds), cfg, native).orderBy("segment", "block").collect()
+    batch = pipeline.blocks_of(index, plan_blocks(index.drop("samples"), 2, **seconds), cfg, native).orderBy("segment", "block").collect()
     rows = index.select("station", "start_epoch", "path", "offset", "component", "samples")
-    end = spark.createDataFrame([("ELZG", 9e9, "", 0, None, None)], rows.schema)
-    rows.union(end).coalesce(1).write.parquet(str(tmp_path / "in"))
+    day = F.floor((F.col("start_epoch") - 1704067200 + F.pmod(F.hash("offset", "path"), F.lit(100))) / 2500)  # up to 100 s out of order over the batches
+    lots = [r[0] for r in rows.select(day.alias("d")).distinct().orderBy("d").collect()]
+    assert len(lots) > 2
+    (tmp_path / "in").mkdir()
     stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
-    query = assemble_stream(stream, native, cfg, **seconds).writeStream.format("memory").queryName("blocks").outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).start()
-    query.processAllAvailable()
-    query.stop()
+    with state_store(spark):
+        query = assemble_stream(stream, native, cfg, delay_s=120.0, idle_s=4.0, **seconds).writeStream.format("memory").queryName("blocks").outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).start()
+        try:
+            for d in lots:
+                rows.where(day == d).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            deadline = time.time() + 120
+            while spark.table("blocks").count() < len(batch) and time.time() < deadline and query.isActive:
+                time.sleep(1)
+        finally:
+            query.stop()
+    assert query.exception() is None
     streamed = spark.sql("select * from blocks order by segment, block").collect()
     assert len(batch) == len(streamed) == 8
     for a, b in zip(batch, streamed, strict=True):

@@ -50,7 +50,7 @@ def test_stages_take_empty_tables(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, DATA).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op3_suffix_dedup", "op6_ngram_jaccard_join", "op8_decontamination"])
+@pytest.mark.parametrize("name", ["op3_suffix_dedup", "op6_ngram_jaccard_join", "op8_decontamination", "op11_minhash_near_dedup"])
 def test_equals_sql(spark, name):
     import duckdb
 
@@ -63,4 +63,4 @@ def test_equals_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in entry.queries() if q.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 13)} == {q.split("_")[0] + "_" for q in entry.queries() if q.startswith("op")}

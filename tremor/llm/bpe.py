@@ -44,7 +44,9 @@ ENDS_AT_WHITE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\
 LONG = 512
 MISS = 0xFFFFFFFF
 #: A part that merges with no next one: over every rank.
-NONE = 65536 << 46
+NONE = 1 << 62
+#: Bits of the largest token id that the states of a fold have room for.
+MOST_BITS = 18
 
 #: White space of Unicode; the pattern's own \s differs between regular expression libraries in a few control characters.
 _WHITE = r"\t-\r\x20\x85\xa0  -     　"
@@ -125,28 +127,31 @@ def _prime(n: int) -> int:
 
 
 class PairTable:
-    """Perfect hash of token pairs: ``slots[(key * A + shift[key % m]) % n]`` holds key * 2^16 + rank, so that it differs from key * 2^16 by a rank only where the pair is in the map."""
+    """Perfect hash of pairs of tokens with ids of ``bits`` bits: ``slots[(key * factor + shift[key % m]) % n]`` holds key * 2^bits + rank, so that it differs from key * 2^bits by a rank only where the pair is in the map."""
 
-    A = 0x2545F491
+    EMPTY = 1 << 60
 
-    def __init__(self, pairs: dict[tuple[int, int], int]):
+    def __init__(self, pairs: dict[tuple[int, int], int], bits: int = 16):
+        if bits > MOST_BITS:
+            raise ValueError(f"token ids of {bits} bits: {MOST_BITS} at most")
+        self.bits, self.factor = bits, 0x2545F491 >> 2 * (bits - 16) | 1  # the product with a key stays below 2^63
         self.n = _prime(max(int(len(pairs) * 1.35), 1 << 17))
-        self.m = _prime(max(len(pairs) // 3, 1 << 16))  # m * n is over 2^32, so no two keys of a bucket share a slot
+        self.m = _prime(max(len(pairs) // 3, 1 << 16, (1 << 2 * bits) // self.n + 1))  # m * n is over 2^(2 * bits), so no two keys of a bucket share a slot
         buckets: dict[int, list] = {}
         for (x, y), r in pairs.items():
-            buckets.setdefault((x << 16 | y) % self.m, []).append((x << 16 | y, r))
-        self.shift, self.slots = [0] * self.m, [1 << 60] * self.n
+            buckets.setdefault((x << bits | y) % self.m, []).append((x << bits | y, r))
+        self.shift, self.slots = [0] * self.m, [self.EMPTY] * self.n
         tries = np.random.default_rng(3)
         for at, rows in sorted(buckets.items(), key=lambda b: -len(b[1])):
-            base = [k * self.A % self.n for k, _ in rows]
+            base = [k * self.factor % self.n for k, _ in rows]
             while True:
                 d = int(tries.integers(self.n))
                 where = [(b + d) % self.n for b in base]
-                if all(self.slots[w] == 1 << 60 for w in where):
+                if all(self.slots[w] == self.EMPTY for w in where):
                     break
             self.shift[at] = d
             for w, (k, r) in zip(where, rows, strict=True):
-                self.slots[w] = k << 16 | r
+                self.slots[w] = k << bits | r
 
 
 def _let(value: Column, body) -> Column:
@@ -157,38 +162,39 @@ def _let(value: Column, body) -> Column:
 def fold_merges(bytes_: Column, byte_ids: list[int], table: PairTable) -> Column:
     """Token ids (array of bigint) of a word given as an array of its bytes.
 
-    The state is one array; a part is rank * 2^46 + place * 2^16 + id, where rank is that of the part with the next one and place its first byte. So the least
+    The state is one array; a part is rank * 2^high + place * 2^bits + id, where rank is that of the part with the next one and place its first byte. So the least
     element is the leftmost pair of least rank, and a step changes two elements and drops one.
     """
+    bits, top, high = table.bits, 1 << table.bits, 62 - table.bits
     literal = lambda xs: F.split(F.lit(" ".join(map(str, xs))), " ").cast("array<bigint>")
     whole = F.struct(literal(byte_ids).alias("b"), literal(table.shift).alias("d"), literal(table.slots).alias("s"))
 
     def encode(t: Column) -> Column:
         def rank(x: Column, y: Column) -> Column:
-            """The rank of the pair times 2^46, NONE if it has none; null without a y."""
-            key = x * 65536 + y
-            entry = F.get(t["s"], F.pmod(key * table.A + F.get(t["d"], F.pmod(key, F.lit(table.m))), F.lit(table.n))).bitwiseXOR(F.shiftleft(key, 16))
-            return F.shiftleft(F.least(entry, F.lit(65536)), 46)
+            """The rank of the pair times 2^high, NONE if it has none; null without a y."""
+            key = x * top + y
+            entry = F.get(t["s"], F.pmod(key * table.factor + F.get(t["d"], F.pmod(key, F.lit(table.m))), F.lit(table.n))).bitwiseXOR(F.shiftleft(key, bits))
+            return F.shiftleft(F.least(entry, F.lit(top)), high)
 
         def part(x: Column) -> Column:
-            return x.bitwiseAND(F.lit(65535))
+            return x.bitwiseAND(F.lit(top - 1))
 
         def step(v: Column, _: Column) -> Column:
             least = F.array_min(v)
-            at = F.struct(F.array_position(v, least).cast("int").alias("i"), F.shiftright(least, 46).alias("m"), least.bitwiseAND(F.lit((1 << 46) - 65536)).alias("p"))
+            at = F.struct(F.array_position(v, least).cast("int").alias("i"), F.shiftright(least, high).alias("m"), least.bitwiseAND(F.lit((1 << high) - top)).alias("p"))
 
             def merge(z: Column) -> Column:
                 i, m = z["i"], z["m"]
                 none = F.array().cast("array<bigint>")
                 before = F.get(v, i - 2)
-                left = F.when(i > 1, F.array(rank(part(before), m) + before.bitwiseAND(F.lit((1 << 46) - 1)))).otherwise(none)
+                left = F.when(i > 1, F.array(rank(part(before), m) + before.bitwiseAND(F.lit((1 << high) - 1)))).otherwise(none)
                 own = F.array(F.coalesce(rank(m, part(F.get(v, i + 1))), F.lit(NONE)) + z["p"] + m)
                 return F.concat(F.slice(v, F.lit(1), F.greatest(i - 2, F.lit(0))), left, own, F.slice(v, i + 2, F.size(v)))
 
             return F.when(least < NONE, _let(at, merge)).otherwise(v)
 
         def start(ids: Column) -> Column:
-            return F.transform(ids, lambda x, j: F.coalesce(rank(x, F.get(ids, j + 1)), F.lit(NONE)) + F.shiftleft(j.cast("bigint"), 16) + x)
+            return F.transform(ids, lambda x, j: F.coalesce(rank(x, F.get(ids, j + 1)), F.lit(NONE)) + F.shiftleft(j.cast("bigint"), bits) + x)
 
         ids = F.transform(bytes_, lambda b: F.get(t["b"], b))
         steps = F.when(F.size(bytes_) > 1, F.sequence(F.lit(2), F.size(bytes_))).otherwise(F.array().cast("array<int>"))
@@ -203,7 +209,7 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         self.pattern, self.file = pattern, _file(path)
         ranks = parse_ranks(self.file)
-        self.table = PairTable(pair_ranks(ranks))
+        self.table = PairTable(pair_ranks(ranks), max(16, max(ranks.values()).bit_length()))
         self.byte_ids = [ranks[bytes([b])] for b in range(256)]
 
     def fold(self, column: Column) -> Column:
@@ -309,7 +315,7 @@ def _dictionary(texts: DataFrame, encoder: Encoder, file, most: int) -> tuple[np
     drop(counts, folded)
     lists = rows.column("ids").combine_chunks()
     hashes, ends = rows.column("word").to_numpy(), lists.offsets.to_numpy().astype(np.int64)
-    flat = lists.values.to_numpy().astype(np.uint16)  # fold_merges takes ids for 16 bits
+    flat = lists.values.to_numpy().astype(np.uint16 if encoder.table.bits == 16 else np.uint32)
     order = np.argsort(hashes)
     size = np.diff(ends)[order]
     bounds = np.concatenate([[0], np.cumsum(size)])
@@ -320,7 +326,7 @@ def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS, keep: l
     """Rows of ``docs`` (doc_id, text and whatever else it has) with ``ids``, the token ids as little-endian unsigned 32-bit integers (binary).
 
     A null text encodes as an empty one, to no ids. Special tokens are ordinary text. Every row is encoded, repeated ones too; columns (all, or those in ``keep``)
-    keep their names and values unless one is called ids, which is replaced.
+    keep their names and values unless one is called ids, which is replaced. Texts and words of any length are taken whole. Token ids are below 2^MOST_BITS.
     """
     encoder = _encoder(path, pattern)
     spark = docs.sparkSession

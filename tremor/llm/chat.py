@@ -16,9 +16,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremor.llm.common import HELD_OUT, cut, only_columns, tidy
+from tremor.llm.common import HELD_OUT, cut, only_columns, row_hash, tidy
 
 ROLES = ["system", "user", "assistant"]
+#: Order of the lines of a conversation: rows that repeat a turn follow one another by a hash of what they hold; row only keeps the lines of equal rows together.
+ORDER = ["turn", "key", "row", "at"]
 MARKERS = {"system": r"system|sys|instruction|context", "user": r"user|human|customer|question|q|prompt|you", "assistant": r"assistant|ai|bot|agent|answer|a|model|response"}
 _MARK = r"(?i)^\s*(?:\*\*|#+\s*|<\|?|\[)?\s*(%s)\s*(?:\|?>|\]|\*\*)?\s*[:>：]\s*"
 LENGTHS = 6
@@ -37,12 +39,12 @@ def marker(line: Column) -> Column:
 
 
 def lines_of(turns: DataFrame) -> DataFrame:
-    """conv_id, turn, at (line of the turn), line, role (place in ROLES or null), obs (code of what the line shows). A null text is one empty line."""
-    rows = turns.select("conv_id", "turn", F.lower("role").alias("role"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("at", "line"))
+    """conv_id, turn, key and row (which row of the turn), at (line of the row), line, role (place in ROLES or null), obs (code of what the line shows). A null text is one empty line."""
+    rows = turns.select("conv_id", "turn", row_hash("role", "text").alias("key"), F.monotonically_increasing_id().alias("row"), F.lower("role").alias("role"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("at", "line"))
     size = F.least(F.floor(F.log2(F.length("line") + 1) / 2).cast("int"), F.lit(LENGTHS - 1))
     obs = (((F.col("at") == 0).cast("int") * 4 + marker(F.col("line"))) * LENGTHS + size) * 2 + F.rlike("line", F.lit(r"\?\s*$")).cast("int")
     role = F.when(F.col("role").isin(ROLES), F.array_position(F.array(*map(F.lit, ROLES)), F.col("role")).cast("int") - 1)
-    return rows.select("conv_id", "turn", "at", "line", role.alias("role"), obs.alias("obs"))
+    return rows.select("conv_id", "turn", "key", "row", "at", "line", role.alias("role"), obs.alias("obs"))
 
 
 @dataclass
@@ -56,7 +58,7 @@ def fit(lines: DataFrame) -> Model:
     """Log rates with a count added to each; without labels markers alone tell the roles apart. Counts are of fixed size; they are gathered where the lines are sorted anyway."""
     k = len(ROLES)
     learned = lines.where(F.col("conv_id").isNotNull() & (F.crc32(F.col("conv_id").cast("string")) % 4 != HELD_OUT))
-    order = Window.partitionBy("conv_id").orderBy("turn", "at", "role", "line")
+    order = Window.partitionBy("conv_id").orderBy(*ORDER)
     pairs = learned.select("role", "obs", F.lag("role", 1, -1).over(order).alias("before")).where("role is not null").groupBy("before", "role", "obs").count().collect()
     start, step, emit = np.ones(k), np.stack([np.ones((k, k)) + 20 * np.eye(k), np.ones((k, k))]), np.full((k, CODES), 0.05)
     code = np.arange(CODES) // 2 // LENGTHS % 4
@@ -113,17 +115,18 @@ def parse(turns: DataFrame) -> DataFrame:
     """Canonical turns: conv_id, turn (0, 1, ..), role, n_lines, text, rendered.
 
     A run of lines of one role is a turn; markers at the start of lines are dropped; rendered is ``<|role|>\\n text \\n<|end|>``. Lines are in the order
-    of (turn, line); null turns come first. Rows with a null conv_id belong to one conversation without id. Repeated rows are lines of their own.
+    of (turn, row, line); null turns come first. Rows that repeat a turn follow one another whole, by a hash of what they hold. Rows with a null conv_id belong to one conversation
+    without id, which may be of any type. Texts of any length are taken whole.
     The roles of the input are learned from (where crc32 of the conversation's id modulo 4 is not 2), never read for decoding. No rows, no turns.
     """
     lines = cut(lines_of(only_columns(turns, "conv_id", "turn", "role", "text")))
     model = fit(lines)
     strip = F.regexp_replace("line", _MARK % "|".join(MARKERS.values()), "")
     kind = dict(turns.dtypes)["conv_id"]
-    arrow_kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
+        arrow_kind = None
         conv, path, held, turn, role, text = object(), None, [], 0, None, []
 
         def close():
@@ -149,6 +152,7 @@ def parse(turns: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["conv_id", "turn", "role", "n_lines", "text", "rendered"])
 
         for b in batches:
+            arrow_kind = b.schema.field(0).type
             for c, obs, line in zip(*(x.to_pylist() for x in b.columns), strict=True):
                 if path is None or c != conv:
                     if path is not None:
@@ -164,5 +168,5 @@ def parse(turns: DataFrame) -> DataFrame:
             close()
             yield batch()
 
-    ordered = lines.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "at", "line").select("conv_id", "obs", strip.alias("line"))
+    ordered = lines.repartition("conv_id").sortWithinPartitions("conv_id", *ORDER).select("conv_id", "obs", strip.alias("line"))
     return ordered.mapInArrow(tidy(run), f"conv_id {kind}, turn long, role string, n_lines long, text string, rendered string")

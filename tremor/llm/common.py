@@ -5,9 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import os
 import sys
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -15,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tremor.shared import shared_dir
+
 #: Text bytes that one vectorised step works on; a longer text is a step of its own.
 CHUNK_BYTES = 1 << 19
 
@@ -31,15 +31,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a local one only where that is unset, as in tests."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = os.path.join(tempfile.gettempdir(), "tremor-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
 @contextlib.contextmanager
 def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """Meanwhile the session has ``value`` for ``key``."""
@@ -142,6 +133,11 @@ def text_buffers(texts: pa.Array):
     return whole, ends
 
 
+def row_hash(*columns: str) -> F.Column:
+    """A 64-bit hash of the values of a row in which a null is a value of its own."""
+    return F.xxhash64(*[c for name in columns for c in (F.isnull(F.col(f"`{name}`")), F.col(f"`{name}`"))])
+
+
 def held_out(doc_id) -> F.Column:
     """False for a null id, whose text has no crc32."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == HELD_OUT, F.lit(False))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tremor.llm import minhash
-from tremor.llm.common import cut, drop, gathered, tidy, wrapped
+from tremor.llm.common import cut, drop, gathered, row_hash, tidy, wrapped
 from tremor.llm.graph import components
 
 GRAM, BANDS, ROWS, SIMILARITY = 5, 17, 6, 0.8
@@ -35,7 +35,7 @@ BLOCK = 512
 
 def _rows(docs: DataFrame) -> DataFrame:
     """doc_id, doc (hash of id and text), text."""
-    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc"), "text")
+    return docs.select("doc_id", row_hash("doc_id", "text").alias("doc"), "text")
 
 
 def _normal(raw: Column) -> Column:
@@ -172,7 +172,7 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` without duplicate lines, all columns as they were but ``text``. A document all of whose lines stand in others is dropped; one that had none stays."""
     _, lost = duplicates(docs.select(F.col("`doc_id`"), F.col("`text`")), similarity)
     gone = lost.groupBy("doc").agg(F.collect_set("at").alias("lost"))
-    rows = wrapped(docs, F.col("`text`").alias("old"), F.xxhash64(F.col("`doc_id`"), F.col("`text`")).alias("doc")).join(gone, "doc", "left")
+    rows = wrapped(docs, F.col("`text`").alias("old"), row_hash("doc_id", "text").alias("doc")).join(gone, "doc", "left")
     places = lambda parts: F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("lost"))
     left = F.transform(F.array(F.split("old", "\n")), lambda parts: F.transform(places(parts), lambda i: F.get(parts, i)))
     new = F.when(F.col("lost").isNull(), F.col("old")).otherwise(F.array_join(F.get(left, F.lit(0)), "\n"))

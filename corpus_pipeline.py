@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremor.llm import bpe, decontaminate, line_dedup, ngram_join, toxicity
-from tremor.llm.common import cut, table, unwrapped, wrapped
+from tremor.llm.common import cut, row_hash, table, unwrapped, wrapped
 from tremor.llm.queries import VOCABULARY
 
 #: Near copies are documents whose sets of five-word shingles are this similar, in percent.
@@ -35,7 +35,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows are told apart by a 64-bit hash of id and text, so rows that only repeat an id are documents of their own, and of rows that repeat both one stays.
     """
-    rows = _rows(docs).withColumn("key", F.xxhash64("doc_id", "text"))
+    rows = _rows(docs).withColumn("key", row_hash("doc_id", "text"))
     found = ngram_join.join_components(rows.select(F.col("key").alias("doc_id"), "text"), SHINGLE_WORDS, NEAR_PERCENT).where("n_shingles > 0")
     found = cut(found.groupBy(F.col("doc_id").alias("key")).agg(F.min("component_id").alias("root"), F.count("*").alias("n")))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")

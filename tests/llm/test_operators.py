@@ -413,6 +413,17 @@ def test_propagation_equals_power_iteration(spark):
         assert all(abs(got[h][kind] - v) < 1e-12 for h, v in now.items())
 
 
+def test_propagation_goes_far_and_does_not_shrink_with_the_table(spark):
+    """A chain of 30 hosts that leads to a blocked one is found, also when ten million other pages are blocked."""
+    chain = [(f"h{k}", f"h{k + 1}", 1.0) for k in range(30)]
+    edges = spark.createDataFrame(chain, "src string, dst string, w double")
+    for others in (0, 10_000_000):
+        seeds = spark.createDataFrame([("h30", 0, 1), ("far", 1, others)], "host string, allowed long, blocked long")
+        got = {r.host: r for r in url_filter.propagate(edges, seeds).collect()}
+        for k in range(31):
+            assert got[f"h{k}"].distrust * (1 + others) == pytest.approx(0.15 * 0.85 ** (30 - k), rel=1e-9) and got[f"h{k}"].trust == 0
+
+
 def test_chat_roles(spark):
     rng = random.Random(3)
     text = lambda k: "\n".join(" ".join(rng.choices(["alpha", "beta", "gamma"], k=k)) for _ in range(rng.randint(1, 3)))

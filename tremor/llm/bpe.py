@@ -5,7 +5,7 @@ the ranked merges over the word's byte array: the state of ``aggregate`` is the
 the leftmost pair of least rank. Ranks come from a literal map of token pairs, laid out as two arrays (a perfect hash), since Spark looks keys of
 a map literal up one by one.
 
-Distinct words that a task meets more than once are folded first, once over the corpus, the ``WORDS`` most frequent ones at most, and sent to the tasks as arrays
+Distinct words that stand more than once in the corpus are folded first, once each, the ``WORDS`` most frequent ones at most, and sent to the tasks as arrays
 of their 64-bit hashes and ids (about 20 bytes a word). Of all other words each document folds its distinct ones by the same expression. The bound
 only moves work, not results. A word is taken for another one of the dictionary with a probability of WORDS / 2^64. A step of the fold takes time in
 the length of a word, so one of over ``LONG`` bytes would take the square of its length; such words are merged with a heap in Python instead.
@@ -22,6 +22,7 @@ import base64
 import contextlib
 import functools
 import heapq
+import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -35,7 +36,7 @@ from tremor.llm.common import cut, drop, pieces, share, tidy, unwrapped, wrapped
 from tremor.llm.textvec import span_hashes
 
 #: Words in the dictionary at most; pieces that a task counts at a time; words of the dictionary, and pieces, that a task has at hand by name.
-WORDS, COUNTED, AT_HAND = 1 << 21, 600_000, 1 << 17
+WORDS, COUNTED, AT_HAND = 1 << 21, 600_000, 3 << 16
 #: Characters of the longest piece that a task keeps at hand.
 LONG_PIECE = 64
 #: Fixed value: the pattern of a public tokenizer, none of whose matches goes on from another character to white space.
@@ -266,7 +267,7 @@ def _hashes(words: list[bytes]) -> np.ndarray:
 def _dictionary(texts: DataFrame, encoder: Encoder, file, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hashes, bounds, ids): ascending hashes of frequent words that are no token, and their ids at bounds[i]:bounds[i+1]; a threshold on their counts keeps them within ``most``.
 
-    A task counts words in batches and passes on what it has seen twice.
+    Tasks count words in batches; those that stand once in the whole corpus are left out.
     """
     pattern = encoder.pattern
 
@@ -280,9 +281,8 @@ def _dictionary(texts: DataFrame, encoder: Encoder, file, most: int) -> tuple[np
                 for w in find(piece):
                     if w not in known:
                         words[w] = words.get(w, 0) + n
-            some = [(w, n) for w, n in words.items() if n > 1]
-            for at in range(0, len(some), 10_000):
-                part = some[at : at + 10_000]
+            some = iter(words.items())
+            while part := list(itertools.islice(some, 10_000)):
                 yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.string()), pa.array([n for _, n in part], pa.int64())], names=["word", "n"])
 
         for b in pieces(batches, "text"):
@@ -299,7 +299,7 @@ def _dictionary(texts: DataFrame, encoder: Encoder, file, most: int) -> tuple[np
             yield pa.RecordBatch.from_arrays([pa.array(_hashes(words)), _byte_arrays(words)], names=["word", "bytes"])
 
     counted = texts.mapInArrow(tidy(count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = cut(counted.where(F.octet_length("word") <= LONG))
+    counts = cut(counted.where((F.octet_length("word") <= LONG) & (F.col("n") > 1)))  # a word that stands once is folded once anyway
     step = F.floor(F.log2("n") * 8).cast("int")
     total, least = 0, 0
     for r in counts.groupBy(step.alias("k")).agg(F.count("*").alias("c")).orderBy(F.desc("k")).collect():

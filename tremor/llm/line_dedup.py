@@ -53,7 +53,7 @@ def signed(lines: DataFrame) -> DataFrame:
             ends = pa.array(np.arange(0, BANDS * (len(low) + 1), BANDS, dtype=np.int32))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(f), pa.array(g), pa.ListArray.from_arrays(ends, pa.array(minhash.bands(low, BANDS).ravel()))], names=["line", "norm", "f", "g", "bands"])
 
-    return lines.groupBy("line").agg(F.max("norm").alias("norm")).mapInArrow(tidy(run), "line long, norm string, f long, g long, bands array<long>")
+    return lines.select("line", "norm").distinct().mapInArrow(tidy(run), "line long, norm string, f long, g long, bands array<long>")
 
 
 def _far(similarity: float) -> Column:

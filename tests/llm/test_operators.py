@@ -474,12 +474,19 @@ def test_repeats_of_one_text_only(spark):
     assert all((r.n_removed, r.n_spans, r.kept) == (r.n_bytes, 1, b"") for r in got) and len(got) == 30
 
 
-def test_pieces_hold_the_words_of_their_text():
-    """Words found piece after piece are those of the whole text, whatever white space there is; another pattern leaves the text whole."""
+def test_pieces_hold_the_words_of_their_text(monkeypatch):
+    """Words found piece after piece are those of the whole text, whatever white space there is; another pattern leaves the text whole; equal pieces have equal hashes."""
     P = pytest.importorskip("public_tokenizers")
-    split, find, rng = bpe.piece_finder(P.PATTERN), bpe.word_finder(P.PATTERN), random.Random(17)
-    parts = ["a", "b", "é", "1", "'s", ".", " ", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", " ", "　", "\0", "\U0001f600", "​"]
-    for _ in range(20_000):
-        text = "".join(rng.choices(parts, k=rng.randint(0, 9)))
-        assert [w for p in split(text) for w in find(p)] == find(text)
-    assert len(split("one two three")) == 3 and bpe.piece_finder(r"\S+\s*")("one two") == ["one two"]
+    find, rng = bpe.word_finder(P.PATTERN), random.Random(17)
+    parts = ["a", "b", "é", "1", "'s", ".", " ", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", "\0", "\U0001f600", "\u200b", "”"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(20_000)] + ["one two three" * 9]
+    for hashed in (1 << 20, 16):
+        monkeypatch.setattr(bpe, "HASHED", hashed)
+        p = bpe.Pieces(pa.array(texts).slice(3), P.PATTERN)
+        own = p.texts(np.arange(len(p.hashes)))
+        words = [find(t) for t in own]
+        for i, text in enumerate(texts[3:]):
+            assert [w for k in p.which[p.first[i] : p.first[i + 1]] for w in words[k]] == find(text)
+        assert len(set(own)) == len(own) and p.counts.sum() == len(p.which)
+    assert bpe.Pieces(pa.array(["one two", "", None, "x"]), r"\S+\s*").first.tolist() == [0, 1, 1, 1, 2]
+    assert len(bpe.Pieces(pa.array([""]), P.PATTERN).which) == 0

@@ -7,7 +7,7 @@ a map literal up one by one.
 
 Distinct words that stand more than once in the corpus are folded first, once each, the ``WORDS`` most frequent ones at most, and sent to the tasks as arrays
 of their 64-bit hashes and ids (about 20 bytes a word). Of all other words each document folds its distinct ones by the same expression. The bound
-only moves work, not results. A word is taken for another one of the dictionary with a probability of WORDS / 2^64. A step of the fold takes time in
+only moves work, not results. A word is taken for another one of the dictionary with a probability of WORDS / 2^64, and pieces of text that a task has at hand by hashes of theirs likewise. A step of the fold takes time in
 the length of a word, so one of over ``LONG`` bytes would take the square of its length; such words are merged with a heap in Python instead.
 
 Both folds are written to the shared folder, so plans that hold the literal don't outlive them, and a lost executor doesn't repeat them.
@@ -21,10 +21,10 @@ from __future__ import annotations
 import base64
 import contextlib
 import functools
+import hashlib
 import heapq
 import itertools
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,13 +32,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import cut, drop, pieces, share, tidy, unwrapped, wrapped
-from tremor.llm.textvec import span_hashes
+from tremor.llm.common import cut, drop, pieces, share, text_buffers, tidy, unwrapped, wrapped
+from tremor.llm.textvec import byte_class, span_hashes
 
 #: Words in the dictionary at most; pieces that a task counts at a time; words of the dictionary, and pieces, that a task has at hand by name.
-WORDS, COUNTED, AT_HAND = 1 << 21, 600_000, 3 << 16
-#: Characters of the longest piece that a task keeps at hand.
-LONG_PIECE = 64
+WORDS, COUNTED, AT_HAND = 1 << 21, 600_000, 1 << 18
+#: Bytes of the longest piece that a task keeps at hand; bytes of text that a task looks at, and hashes, at a time.
+LONG_PIECE, LOOKED, HASHED = 64, 1 << 20, 1 << 20
 #: Fixed value: the pattern of a public tokenizer, none of whose matches goes on from another character to white space.
 ENDS_AT_WHITE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bytes of the longest word that is folded.
@@ -53,6 +53,9 @@ MOST_BITS = 18
 _WHITE = r"\t-\r\x20\x85\xa0  -     　"
 
 
+_IS_WHITE = byte_class((0x20, 0x20), (0x09, 0x0D))
+
+
 def parse_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.split(b"\n") if line.strip())}
 
@@ -99,21 +102,59 @@ def word_finder(pattern: str):
     return lambda text: whole(text) if high(text) else usual(text)
 
 
-@functools.lru_cache(4)
-def piece_finder(pattern: str):
-    """A function from a text to pieces of it whose words, one piece after the other, are the words of the text, so that the words of a usual piece need to be found only once.
+def _white_before(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a white space of several bytes ends at each place."""
+    one, two, three = (buf[np.maximum(at - k, 0)] for k in (1, 2, 3))
+    wide = (three == 0xE2) & (((two == 0x80) & ((one <= 0x8A) | (one == 0xA8) | (one == 0xA9) | (one == 0xAF))) | ((two == 0x81) & (one == 0x9F)))
+    wide |= ((three == 0xE1) & (two == 0x9A) | (three == 0xE3) & (two == 0x80)) & (one == 0x80)
+    return wide | (two == 0xC2) & ((one == 0x85) | (one == 0xA0))
 
-    With ``ENDS_AT_WHITE`` a piece is white space and what follows it up to the next white space; with any other pattern a text is one piece.
-    """
-    if pattern != ENDS_AT_WHITE:
-        return lambda text: [text]
-    white, run = re.compile(f"[{_WHITE}] ").search, re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+").findall
 
-    def split(text: str) -> list[str]:
-        # where every space follows a letter or the like, a piece may as well begin at spaces alone
-        return run(text) if "\0" in text or white(text) else text.replace(" ", "\0 ").split("\0")
+def cut_pieces(buf: np.ndarray, offsets: np.ndarray, pattern: str) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, first) of pieces of the texts ``buf[offsets[i]:offsets[i+1]]`` (offsets begin with 0), and the first piece of each text: the words of the pieces, one after the other, are those of
+    the text, so that the words of a usual piece need to be found only once.
 
-    return split
+    With ``ENDS_AT_WHITE`` a piece begins where ASCII white space follows another character; with any other pattern a text is one piece.
+    """
+    texts = np.unique(offsets[:-1][np.diff(offsets) > 0])
+    if pattern != ENDS_AT_WHITE:
+        return texts, np.searchsorted(texts, offsets)
+    white = _IS_WHITE[buf]
+    at = np.flatnonzero(white[1:] & ~white[:-1]) + 1
+    starts = np.union1d(at[~_white_before(buf, at)], texts)
+    return starts, np.searchsorted(starts, offsets)
+
+
+def piece_hashes(buf: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """64-bit hashes of ``buf[bounds[i]:bounds[i+1]]``, a stretch of ``HASHED`` bytes at a time; a longer piece is hashed by another function."""
+    out, at, n = np.empty(len(bounds) - 1, np.uint64), 0, len(bounds) - 1
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + HASHED, "right")) - 1)
+        lo, hi = int(bounds[at]), int(bounds[to])
+        if hi - lo > HASHED:
+            out[at] = int.from_bytes(hashlib.blake2b(buf[lo:hi].tobytes(), digest_size=8).digest(), "little")
+        else:
+            own = bounds[at : to + 1] - lo
+            out[at:to] = span_hashes(buf[lo:hi], own[:-1], own[1:])
+        at = to
+    return out
+
+
+class Pieces:
+    """The pieces of a column of texts: ``hashes`` of the distinct ones, the place of each piece among those, how often each stands, and the first piece of each text."""
+
+    def __init__(self, texts: pa.Array, pattern: str):
+        buf, offsets = text_buffers(texts)
+        base = int(offsets[0])
+        self.buf, offsets = buf[base : int(offsets[-1])], offsets - base
+        starts, self.first = cut_pieces(self.buf, offsets, pattern)
+        self.bounds, self.data = np.append(starts, len(self.buf)), self.buf.tobytes()
+        self.hashes, self.at, self.which, self.counts = np.unique(piece_hashes(self.buf, self.bounds), return_index=True, return_inverse=True, return_counts=True)
+
+    def texts(self, some: np.ndarray) -> list[str]:
+        """Those of the distinct pieces."""
+        data = self.data
+        return [data[lo:hi].decode() for lo, hi in zip(self.bounds[self.at[some]].tolist(), self.bounds[self.at[some] + 1].tolist(), strict=True)]
 
 
 def pair_ranks(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
@@ -272,12 +313,12 @@ def _dictionary(texts: DataFrame, encoder: Encoder, file, most: int) -> tuple[np
     pattern = encoder.pattern
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, find, known, seen = piece_finder(pattern), word_finder(pattern), {_text(t) for t in parse_ranks(file.value)}, Counter()
+        find, known, seen = word_finder(pattern), {_text(t) for t in parse_ranks(file.value)}, {}
 
         def out():
             words: dict[str, int] = {}
             while seen:
-                piece, n = seen.popitem()
+                _, (piece, n) = seen.popitem()
                 for w in find(piece):
                     if w not in known:
                         words[w] = words.get(w, 0) + n
@@ -285,12 +326,14 @@ def _dictionary(texts: DataFrame, encoder: Encoder, file, most: int) -> tuple[np
             while part := list(itertools.islice(some, 10_000)):
                 yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.string()), pa.array([n for _, n in part], pa.int64())], names=["word", "n"])
 
-        for b in pieces(batches, "text"):
-            for text in b.column(0).to_pylist():
-                if text:
-                    seen.update(split(text))
-                    if len(seen) > COUNTED:
-                        yield from out()
+        for b in pieces(batches, "text", LOOKED):
+            p = Pieces(b.column(0), pattern)
+            hashes, counts = p.hashes.tolist(), p.counts.tolist()
+            for h, n, text in zip(hashes, counts, p.texts(np.arange(len(hashes))), strict=True):
+                old = seen.get(h)
+                seen[h] = (text, n) if old is None else (old[0], old[1] + n)
+            if len(seen) > COUNTED:
+                yield from out()
         yield from out()
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,10 +380,9 @@ def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS, keep: l
     rows = wrapped(docs, text.alias("text"), keep=kept)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, find, ranks = piece_finder(pattern), word_finder(pattern), parse_ranks(file.value)
+        find, ranks = word_finder(pattern), parse_ranks(file.value)
         known = {w: r.to_bytes(4, "little") for t, r in ranks.items() if (w := _text(t)) is not None}
-        most = len(known) + AT_HAND
-        at_hand: dict[str, bytes] = {}
+        at_hand: dict[int, bytes] = {}  # ids of pieces by their hash
         hashes, bounds, flat = frequent.value
         miss = MISS.to_bytes(4, "little")
 
@@ -349,45 +391,53 @@ def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS, keep: l
             spelled = [w.encode() for w in new]
             own = _hashes(spelled)
             at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1) if len(hashes) else np.zeros(len(own), np.int64)
-            there = hashes[at] == own if len(hashes) else np.zeros(len(own), bool)
-            out = {}
-            for i in np.flatnonzero(there).tolist():
-                out[new[i]] = flat[bounds[at[i]] : bounds[at[i] + 1]].astype("<u4").tobytes()
+            there = np.flatnonzero(hashes[at] == own) if len(hashes) else np.zeros(0, np.int64)
+            lo, hi = bounds[at[there]], bounds[at[there] + 1]
+            ends = np.concatenate([[0], np.cumsum(hi - lo)])
+            data = flat[np.repeat(lo - ends[:-1], hi - lo) + np.arange(ends[-1])].astype("<u4").tobytes()
+            out = {new[i]: data[4 * x : 4 * y] for i, x, y in zip(there.tolist(), ends.tolist(), ends[1:].tolist(), strict=False)}
             for w, data in zip(new, spelled, strict=True):
                 if len(data) > LONG:
                     out[w] = np.array(merge_heap(data, ranks), "<u4").tobytes()
             return out
 
-        for b in pieces(batches, "text"):
-            found = [split(t) if t else [] for t in b.column(1).to_pylist()]
-            new = {p: find(p) for p in set().union(*found).difference(at_hand)}
-            unknown = list(set().union(*new.values()).difference(known))
+        for b in pieces(batches, "text", LOOKED):
+            p = Pieces(b.column(1), pattern)
+            names = p.hashes.tolist()
+            got = list(map(at_hand.get, names))
+            new = [k for k, x in enumerate(got) if x is None]
+            found = list(map(find, p.texts(np.array(new, np.int64))))
+            unknown = list(set().union(*found).difference(known))
             more = resolve(unknown) if unknown else {}
             known.update(more)
-            for p, ws in new.items():
-                got = list(map(known.get, ws))
-                if None not in got:
-                    at_hand[p] = b"".join(got)
-            out, missing, sizes = [], [], []
-            for ps in found:
-                own: dict[str, int] = {}
-                got = list(map(at_hand.get, ps))
-                if None in got:
-                    for i, x in enumerate(got):
-                        if x is None:
-                            got[i] = b"".join([known.get(w) or miss + own.setdefault(w, len(own)).to_bytes(4, "little") for w in new[ps[i]]])
-                out.append(b"".join(got))
-                missing += [w.encode() for w in own]
-                sizes.append(len(own))
-            full = len(at_hand) > AT_HAND
-            for p in new:
-                if full or len(p) > LONG_PIECE:
-                    at_hand.pop(p, None)
-            if len(known) > most:
-                for w in more:
-                    del known[w]
-            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), _byte_arrays(missing))], names=["row", "ids", "missing"])
+            own: dict[str, int] = {}  # words that are left to fold, in the order in which they were met
+            short = np.diff(p.bounds)[p.at] <= LONG_PIECE
+            for k, words, keep in zip(new, found, short[new].tolist(), strict=True):
+                parts = list(map(known.get, words))
+                if None in parts:
+                    got[k] = b"".join([x or miss + own.setdefault(w, len(own)).to_bytes(4, "little") for w, x in zip(words, parts, strict=True)])
+                else:
+                    got[k] = whole = b"".join(parts)
+                    if keep and len(at_hand) < AT_HAND:
+                        at_hand[names[k]] = whole
+            for w in more:
+                del known[w]
+            code = np.frombuffer(b"".join(got), "<u4") if got else np.zeros(0, "<u4")
+            ends = np.concatenate([[0], np.cumsum(list(map(len, got)))]) // 4
+            size = np.diff(ends)[p.which]  # of each piece
+            to = np.concatenate([[0], np.cumsum(size)])
+            ids = code[np.repeat(ends[:-1][p.which] - to[:-1], size) + np.arange(to[-1])] if len(size) else np.zeros(0, "<u4")
+            stops = to[p.first]
+            # Words to fold are numbered anew within each text.
+            at = np.flatnonzero(ids == MISS)
+            text = np.searchsorted(stops, at, "right") - 1
+            pairs, back = np.unique(text * max(len(own), 1) + ids[at + 1], return_inverse=True)
+            begin = np.searchsorted(pairs, np.arange(b.num_rows + 1) * max(len(own), 1))
+            ids[at + 1] = back - begin[text]
+            words = list(own)
+            missing = _byte_arrays([words[k].encode() for k in (pairs % max(len(own), 1)).tolist()])
+            ids = pa.Array.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer((4 * stops).astype(np.int32)), pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([b.column(0), ids, pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), missing)], names=["row", "ids", "missing"])
 
     def fill_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -125,6 +125,35 @@ def test_decontamination(spark):
     assert decontaminate.decontaminate(frame(spark, []), items).count() == 0
 
 
+def test_parts_of_a_benchmark_are_built_once_for_much_text():
+    """Tables of one part exist at a time; with one part they are built once, with three once for each text that is held, but for the one that the next text begins with."""
+
+    class Part:
+        loads = 0
+
+        def __init__(self, items):
+            self.items = items
+
+        @property
+        def value(self):
+            Part.loads += 1
+            return self.items
+
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(40)]
+    docs = [" ".join(rng.choices(words, k=30)) for _ in range(64)]
+    items = [[(f"i{k}", " ".join(docs[5 * k].split()[3:9]))] for k in range(3)]
+    batches = [pa.record_batch([pa.array(range(i, i + 8)), pa.array(docs[i : i + 8])], names=["row", "text"]) for i in range(0, 64, 8)]
+    size = sum(map(len, docs))
+    want = [decontaminate.hits_of(tuple(decontaminate.words_of(d)), [decontaminate.searches([x for part in items for x in part], 4)])[0] for d in docs]
+    for parts, most, loads in ((items, size * 2, 3), (items, size // 4 + 1, 3 + 2 * 3), ([sum(items, [])], size // 4 + 1, 1)):
+        Part.loads = 0
+        got = [r for b in decontaminate.search_batches(iter(batches), [Part(p) for p in parts], 4, most) for r in b.to_pylist()]
+        assert [r["row"] for r in got] == list(range(64)) and [list(zip(r["found"]["hits"][::2], r["found"]["hits"][1::2], strict=True)) for r in got] == want
+        assert Part.loads <= loads + 2
+    assert sum(map(bool, want)) >= 3
+
+
 @pytest.mark.parametrize("length,gram,crowd", [(200, 96, 8192), (20, 8, 8192), (20, 10, 1)])
 def test_repeats(spark, length, gram, crowd):
     rows = corpus(2)

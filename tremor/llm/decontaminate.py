@@ -6,8 +6,8 @@ skips the positions at which no pattern can end, a bucket keyed by the block at
 and direct comparison of the words confirms them. Patterns of one length share a search, so short items don't shorten the
 shifts of the others.
 
-The patterns go to the executors in parts of at most ``PART_BYTES`` of benchmark text, so what is broadcast is bounded whatever the
-size of the benchmark; each document is searched for every part. Documents are neither shuffled nor split.
+The patterns go to the executors in parts of at most ``PART_BYTES`` of benchmark text; each document is searched for every part. A task has the tables of one part at a
+time, so what it holds is bounded whatever the size of the benchmark. Documents are neither shuffled nor split.
 """
 
 from __future__ import annotations
@@ -19,11 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import only_columns, tidy, unwrapped, wrapped
+from tremor.llm.common import only_columns, pieces, share, text_buffers, tidy, unwrapped, wrapped
 
 WINDOW = 10
 BLOCK = 3
 PART_BYTES = 8 << 20
+#: Bytes of text that a task holds while it goes through the parts.
+HELD_BYTES = 8 << 20
 
 _FOUND = "struct<n_words: bigint, n_hit: bigint, n_items: bigint, items_sha256: string, contaminated: boolean, items: array<string>, hits: array<int>>"
 
@@ -124,47 +126,71 @@ def search_columns(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     without id hit words, but the item is not counted. Items that repeat an id count once. Every row gets its own result, repeated ids
     included. A benchmark without items leaves all documents clean.
     """
-    spark = docs.sparkSession
-    parts = [spark.sparkContext.broadcast(p) for p in _parts(benchmark, part_bytes)]
-    keep_tables = len(parts) == 1
-    rows_ = wrapped(docs, F.col("`text`"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        built = [searches(p.value, window) for p in parts] if keep_tables else None
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            rows = []
-            texts = batch.column(at)
-            docs_words = [tuple(words_of(t.as_py())) for t in texts]
-            spans: list[list] = [[] for _ in docs_words]
-            items: list[set] = [set() for _ in docs_words]
-            for k in range(len(parts)):
-                tables = built[k] if built else searches(parts[k].value, window)
-                for i, words in enumerate(docs_words):
-                    more, who = hits_of(words, [tables])
-                    spans[i] += more
-                    items[i] |= who
-            for words, some, who in zip(docs_words, spans, items, strict=True):
-                flat: list[int] = []
-                for lo, hi in sorted(some):
-                    if flat and lo <= flat[-1]:
-                        flat[-1] = max(hi, flat[-1])
-                    else:
-                        flat += [lo, hi]
-                ids = sorted(who)
-                rows.append(
-                    {
-                        "n_words": len(words), "n_hit": sum(flat[1::2]) - sum(flat[::2]), "n_items": len(ids), "items_sha256": hashlib.sha256(",".join(ids).encode()).hexdigest(),
-                        "contaminated": bool(flat), "items": ids, "hits": flat,
-                    }
-                )
-            kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_()), ("items", pa.list_(pa.string())), ("hits", pa.list_(pa.int32()))])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kind)], names=["row", "found"])
-
-    searched = rows_.mapInArrow(tidy(run), f"row {rows_.schema['row'].dataType.simpleString()}, found {_FOUND}")
+    parts = [share(docs.sparkSession, p) for p in _parts(benchmark, part_bytes)]
+    rows = wrapped(docs, F.col("`text`"))
+    searched = rows.mapInArrow(tidy(lambda batches: search_batches(batches, parts, window)), f"row {rows.schema['row'].dataType.simpleString()}, found {_FOUND}")
     return unwrapped(searched, docs.columns, found=F.col("found"))
 
 
+def search_batches(batches: Iterator[pa.RecordBatch], parts: list, window: int, most: int = HELD_BYTES) -> Iterator[pa.RecordBatch]:
+    """row and found of batches of row and text. About ``most`` bytes of text are held and searched for one part after the other, so tables of one part exist at a time, and are built once
+    for that much text; those of the last part stay for the next text, which begins with it."""
+    held, size, built = [], 0, (None, [])
+
+    def tables(k: int) -> list[Search]:
+        nonlocal built
+        if built[0] != k:
+            built = (None, [])
+            built = (k, searches(parts[k].value, window))
+            vars(parts[k]).pop("_value", None)  # the tables hold what is needed of it
+        return built[1]
+
+    def out() -> Iterator[pa.RecordBatch]:
+        nonlocal held, size
+        spans: list[list] = [[] for b in held for _ in range(b.num_rows)]
+        items: list[set] = [set() for _ in spans]
+        order = list(range(len(parts)))
+        for k in order if built[0] in (None, 0) else order[::-1]:
+            own = tables(k)
+            for i, text in enumerate(t for b in held for t in b.column(1)):
+                more, who = hits_of(tuple(words_of(text.as_py())), [own])
+                spans[i] += more
+                items[i] |= who
+        at = 0
+        for b in held:
+            yield pa.RecordBatch.from_arrays([b.column(0), _found(b.column(1), spans[at : at + b.num_rows], items[at : at + b.num_rows])], names=["row", "found"])
+            at += b.num_rows
+        held, size = [], 0
+
+    for b in pieces(batches, "text", most):
+        held.append(b)
+        _, ends = text_buffers(b.column(1))
+        size += int(ends[-1] - ends[0])
+        if size >= most:
+            yield from out()
+    yield from out()
+
+
+def _found(texts: pa.Array, spans: list[list], items: list[set]) -> pa.Array:
+    rows = []
+    for text, some, who in zip(texts, spans, items, strict=True):
+        flat: list[int] = []
+        for lo, hi in sorted(some):
+            if flat and lo <= flat[-1]:
+                flat[-1] = max(hi, flat[-1])
+            else:
+                flat += [lo, hi]
+        ids = sorted(who)
+        rows.append(
+            {
+                "n_words": len(words_of(text.as_py())), "n_hit": sum(flat[1::2]) - sum(flat[::2]), "n_items": len(ids), "items_sha256": hashlib.sha256(",".join(ids).encode()).hexdigest(),
+                "contaminated": bool(flat), "items": ids, "hits": flat,
+            }
+        )
+    kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_()), ("items", pa.list_(pa.string())), ("hits", pa.list_(pa.int32()))])
+    return pa.array(rows, kind)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
     """One row per document: doc_id and the fields of ``search_columns``."""
     found = search_columns(only_columns(docs, "doc_id", "text"), benchmark, window, part_bytes)

@@ -25,9 +25,9 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that stand in an earlier document or earlier in their own; n_chars is that of the new text. A document that loses all goes."""
+    """Documents without lines that stand in an earlier document or earlier in their own; n_chars is that of the new text; of a null text it stays. A document that loses all goes."""
     kept = line_dedup.dedup_lines(docs)
-    return kept.withColumn("n_chars", F.length("`text`").cast("long")) if "n_chars" in docs.columns else kept
+    return kept.withColumn("n_chars", F.coalesce(F.length("`text`").cast("long"), F.col("`n_chars`"))) if "n_chars" in docs.columns else kept
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -503,19 +503,22 @@ def test_repeats_of_one_text_only(spark):
     assert all((r.n_removed, r.n_spans, r.kept) == (r.n_bytes, 1, b"") for r in got) and len(got) == 30
 
 
-def test_pieces_hold_the_words_of_their_text(monkeypatch):
-    """Words found piece after piece are those of the whole text, whatever white space there is; another pattern leaves the text whole; equal pieces have equal hashes."""
+def test_words_without_a_regular_expression(monkeypatch):
+    """Words by classes of characters are those of the pattern, whatever white space, apostrophes and scripts there are; equal words have equal hashes."""
     P = pytest.importorskip("public_tokenizers")
+    assert bpe.PATTERN == P.PATTERN
     find, rng = bpe.word_finder(P.PATTERN), random.Random(17)
-    parts = ["a", "b", "é", "1", "'s", ".", " ", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", "\0", "\U0001f600", "\u200b", "”"]
-    texts = ["".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(20_000)] + ["one two three" * 9]
-    for hashed in (1 << 20, 16):
+    parts = ["a", "b", "é", "1", "'s", "'", "'re", "'v", "'ll", "'l", "e", "l", "s", "d", "'S", ".", " ", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", "\0", "\U0001f600", "\U00020000", "\u200b", "”", "漢", "٣", "½", "\u0301"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(30_000)] + ["one two three" * 9, "don't", "'", "x'", "x'l", "we'll'll", "it'sa", " 's"]
+    for hashed, pattern in ((1 << 20, P.PATTERN), (16, P.PATTERN), (1 << 20, P.PATTERN + "|x")):
         monkeypatch.setattr(bpe, "HASHED", hashed)
-        p = bpe.Pieces(pa.array(texts).slice(3), P.PATTERN)
-        own = p.texts(np.arange(len(p.hashes)))
-        words = [find(t) for t in own]
+        w = bpe.Words(pa.array(texts).slice(3), pattern)
+        spelled = [w.buf[lo:hi].tobytes() for lo, hi in zip(w.bounds, w.bounds[1:], strict=False)]
         for i, text in enumerate(texts[3:]):
-            assert [w for k in p.which[p.first[i] : p.first[i + 1]] for w in words[k]] == find(text)
-        assert len(set(own)) == len(own) and p.counts.sum() == len(p.which)
-    assert bpe.Pieces(pa.array(["one two", "", None, "x"]), r"\S+\s*").first.tolist() == [0, 1, 1, 1, 2]
-    assert len(bpe.Pieces(pa.array([""]), P.PATTERN).which) == 0
+            assert [x.decode() for x in spelled[w.first[i] : w.first[i + 1]]] == find(text), repr(text)
+        assert len(set(zip(bpe.word_hashes(w.buf, w.bounds).tolist(), spelled, strict=True))) == len(set(spelled)) == len(set(bpe.word_hashes(w.buf, w.bounds).tolist()))
+    whole = bpe.Words(pa.array(texts), P.PATTERN).bounds
+    monkeypatch.setattr(bpe, "LOOKED", 50)
+    assert np.array_equal(bpe.Words(pa.array(texts), P.PATTERN).bounds, whole)
+    for empty in ([""], [None, ""], []):
+        assert len(bpe.word_hashes(*(lambda w: (w.buf, w.bounds))(bpe.Words(pa.array(empty, pa.string()), P.PATTERN)))) == 0

@@ -35,12 +35,10 @@ from pyspark.sql import functions as F
 from tremor.llm.common import cut, drop, pieces, share, text_buffers, tidy, unwrapped, wrapped
 from tremor.llm.textvec import byte_class, span_hashes
 
-#: Words in the dictionary at most; pieces that a task counts at a time; words of the dictionary, and pieces, that a task has at hand by name.
-WORDS, COUNTED, AT_HAND = 1 << 21, 600_000, 1 << 18
-#: Bytes of the longest piece that a task keeps at hand; bytes of text that a task looks at, and hashes, at a time.
-LONG_PIECE, LOOKED, HASHED = 64, 1 << 20, 1 << 20
-#: Fixed value: the pattern of a public tokenizer, none of whose matches goes on from another character to white space.
-ENDS_AT_WHITE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Words in the dictionary at most; words that a task counts at a time; bytes of text that a task looks at, and hashes, at a time.
+WORDS, COUNTED, LOOKED, HASHED = 1 << 21, 1 << 20, 1 << 20, 1 << 20
+#: Fixed value: the pattern of a public tokenizer, whose words are found without a regular expression.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bytes of the longest word that is folded.
 LONG = 512
 MISS = 0xFFFFFFFF
@@ -53,9 +51,6 @@ MOST_BITS = 18
 _WHITE = r"\t-\r\x20\x85\xa0  -     　"
 
 
-_IS_WHITE = byte_class((0x20, 0x20), (0x09, 0x0D))
-
-
 def parse_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.split(b"\n") if line.strip())}
 
@@ -102,31 +97,75 @@ def word_finder(pattern: str):
     return lambda text: whole(text) if high(text) else usual(text)
 
 
-def _white_before(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Whether a white space of several bytes ends at each place."""
-    one, two, three = (buf[np.maximum(at - k, 0)] for k in (1, 2, 3))
-    wide = (three == 0xE2) & (((two == 0x80) & ((one <= 0x8A) | (one == 0xA8) | (one == 0xA9) | (one == 0xAF))) | ((two == 0x81) & (one == 0x9F)))
-    wide |= ((three == 0xE1) & (two == 0x9A) | (three == 0xE3) & (two == 0x80)) & (one == 0x80)
-    return wide | (two == 0xC2) & ((one == 0x85) | (one == 0xA0))
+_ALNUM = byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A))
 
 
-def cut_pieces(buf: np.ndarray, offsets: np.ndarray, pattern: str) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, first) of pieces of the texts ``buf[offsets[i]:offsets[i+1]]`` (offsets begin with 0), and the first piece of each text: the words of the pieces, one after the other, are those of
-    the text, so that the words of a usual piece need to be found only once.
+@functools.lru_cache(1)
+def _classes() -> np.ndarray:
+    """Of each code point whether it is a letter (1), a number (2), white space (3) or none of these."""
+    import regex
+
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    every, place = "".join(map(chr, points)), np.array(points)
+    out = np.zeros(0x110000, np.uint8)
+    for kind, name in ((1, r"\p{L}"), (2, r"\p{N}"), (3, f"[{_WHITE}]")):
+        for m in regex.finditer(f"{name}+", every):
+            out[place[m.start() : m.end()]] = kind
+    return out
+
+
+def _word_starts(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the words of ``PATTERN`` begin in the texts ``buf[offsets[i]:offsets[i+1]]`` (UTF-8, offsets from 0). A long text is looked at in stretches that begin with a space after an ASCII letter or digit."""
+    out, lo = [], 0
+    while lo < len(buf):
+        hi = len(buf)
+        for at in range(lo + LOOKED, len(buf) - LOOKED, LOOKED):
+            cuts = np.flatnonzero((buf[at : at + LOOKED] == 0x20) & _ALNUM[buf[at - 1 : at + LOOKED - 1]])
+            if len(cuts):
+                hi = at + int(cuts[0])
+                break
+        out.append(lo + _starts_in(buf[lo:hi], np.unique(np.clip(offsets, lo, hi)) - lo))
+        lo = hi
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
 
-    With ``ENDS_AT_WHITE`` a piece begins where ASCII white space follows another character; with any other pattern a text is one piece.
-    """
-    texts = np.unique(offsets[:-1][np.diff(offsets) > 0])
-    if pattern != ENDS_AT_WHITE:
-        return texts, np.searchsorted(texts, offsets)
-    white = _IS_WHITE[buf]
-    at = np.flatnonzero(white[1:] & ~white[:-1]) + 1
-    starts = np.union1d(at[~_white_before(buf, at)], texts)
-    return starts, np.searchsorted(starts, offsets)
 
+def _starts_in(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The same for one stretch.
 
-def piece_hashes(buf: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """64-bit hashes of ``buf[bounds[i]:bounds[i+1]]``, a stretch of ``HASHED`` bytes at a time; a longer piece is hashed by another function."""
+    A word is a run of characters of one class. The last of some white space goes with what follows it if it is a space, and is a word of its own if it is not. An
+    apostrophe that begins a word goes with some endings.
+    """
+    at = np.flatnonzero((buf & 0xC0) != 0x80)
+    codes = np.frombuffer(buf.tobytes().decode().encode("utf-32-le"), np.uint32)
+    kind, n = _classes()[codes], len(codes)
+    begins = np.zeros(n, bool)
+    begins[np.searchsorted(at, offsets[:-1][np.diff(offsets) > 0])] = True
+    change = begins.copy()
+    change[1:] |= kind[1:] != kind[:-1]
+    run = np.flatnonzero(change)
+    end = np.append(run[1:], n)
+    goes_on = np.append(~begins[run[1:]], False)[: len(run)]  # another run of the same text follows
+    start = np.zeros(n + 1, bool)
+    start[run] = True
+    white = end[(kind[run] == 3) & goes_on]
+    start[white - 1] = True
+    start[white[codes[white - 1] == 0x20]] = False
+    # 's 't 'm 'd 're 've 'll
+    size = np.append(end - run, 0)
+    some = np.flatnonzero((codes[run] == 0x27) & (size[:-1] == 1) & goes_on & start[run])
+    some = some[kind[run[some] + 1] == 1]
+    p, letters = run[some], size[some + 1]
+    one, two = codes[p + 1], codes[np.minimum(p + 2, n - 1)] * (letters > 1)
+    short = np.isin(one, [ord(c) for c in "stmd"])
+    long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    start[p[short | long] + 1] = False
+    start[p[short & (letters > 1)] + 2] = True
+    start[p[long & (letters > 2)] + 3] = True
+    return at[np.flatnonzero(start[:n])]
+
+
+def word_hashes(buf: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """64-bit hashes of ``buf[bounds[i]:bounds[i+1]]``, a stretch of ``HASHED`` bytes at a time; a longer word is hashed by another function."""
     out, at, n = np.empty(len(bounds) - 1, np.uint64), 0, len(bounds) - 1
     while at < n:
         to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + HASHED, "right")) - 1)
@@ -140,21 +179,30 @@ def piece_hashes(buf: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-class Pieces:
-    """The pieces of a column of texts: ``hashes`` of the distinct ones, the place of each piece among those, how often each stands, and the first piece of each text."""
+class Words:
+    """The words of a column of texts: word i is ``buf[bounds[i]:bounds[i+1]]``, those of text t are first[t]:first[t+1]."""
 
     def __init__(self, texts: pa.Array, pattern: str):
         buf, offsets = text_buffers(texts)
         base = int(offsets[0])
         self.buf, offsets = buf[base : int(offsets[-1])], offsets - base
-        starts, self.first = cut_pieces(self.buf, offsets, pattern)
-        self.bounds, self.data = np.append(starts, len(self.buf)), self.buf.tobytes()
-        self.hashes, self.at, self.which, self.counts = np.unique(piece_hashes(self.buf, self.bounds), return_index=True, return_inverse=True, return_counts=True)
-
-    def texts(self, some: np.ndarray) -> list[str]:
-        """Those of the distinct pieces."""
-        data = self.data
-        return [data[lo:hi].decode() for lo, hi in zip(self.bounds[self.at[some]].tolist(), self.bounds[self.at[some] + 1].tolist(), strict=True)]
+        if pattern == PATTERN:
+            starts = _word_starts(self.buf, offsets)
+            self.first = np.searchsorted(starts, offsets)
+            self.bounds = np.append(starts, len(self.buf))
+        else:  # one text after the other, by the pattern
+            find = word_finder(pattern)
+            found = [[w.encode() for w in find(t)] if t else [] for t in texts.to_pylist()]
+            self.first = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int64)
+            words = [w for f in found for w in f]
+            self.buf = np.frombuffer(b"".join(words), np.uint8)
+            self.bounds = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
+
+    def bytes_of(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, offsets) of those words one after the other."""
+        lo, hi = self.bounds[some], self.bounds[some + 1]
+        ends = np.concatenate([[0], np.cumsum(hi - lo)])
+        return self.buf[np.repeat(lo - ends[:-1], hi - lo) + np.arange(ends[-1])], ends
 
 
 def pair_ranks(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
@@ -250,7 +298,7 @@ class Encoder:
 
     def __init__(self, path: str, pattern: str):
         self.pattern, self.file = pattern, _file(path)
-        ranks = parse_ranks(self.file)
+        self.ranks = ranks = parse_ranks(self.file)
         self.table = PairTable(pair_ranks(ranks), max(16, max(ranks.values()).bit_length()))
         self.byte_ids = [ranks[bytes([b])] for b in range(256)]
 
@@ -295,54 +343,66 @@ def merge_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if alive[i]]
 
 
-def _byte_arrays(words: list[bytes]) -> pa.Array:
-    ends = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(words), np.uint8).astype(np.int16)))
+def _byte_arrays(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(data.astype(np.int16)))
+
+
+def _token_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, ascending, and ids) of the tokens."""
+    tokens = list(ranks)
+    ends = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)
+    hashes = span_hashes(np.frombuffer(b"".join(tokens), np.uint8), ends[:-1], ends[1:])
+    order = np.argsort(hashes)
+    return hashes[order], np.array([ranks[t] for t in tokens], np.uint32)[order]
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    ends = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
-    return span_hashes(np.frombuffer(b"".join(words), np.uint8), ends[:-1], ends[1:]).view(np.int64)
+def _there(table: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places in the ascending ``table``, whether it has them) of hashes."""
+    if not len(table):
+        return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+    at = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
+    return at, table[at] == hashes
 
 
 def _dictionary(texts: DataFrame, encoder: Encoder, file, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes, bounds, ids): ascending hashes of frequent words that are no token, and their ids at bounds[i]:bounds[i+1]; a threshold on their counts keeps them within ``most``.
+    """(hashes, bounds, ids): ascending hashes of the tokens and of frequent other words, and their ids at bounds[i]:bounds[i+1]; a threshold on their counts keeps the latter within ``most``.
 
     Tasks count words in batches; those that stand once in the whole corpus are left out.
     """
     pattern = encoder.pattern
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, known, seen = word_finder(pattern), {_text(t) for t in parse_ranks(file.value)}, {}
+        tokens, _ = _token_table(parse_ranks(file.value))
+        held: list[tuple] = []  # hashes, counts and spelling of the distinct words of some texts
 
         def out():
-            words: dict[str, int] = {}
-            while seen:
-                _, (piece, n) = seen.popitem()
-                for w in find(piece):
-                    if w not in known:
-                        words[w] = words.get(w, 0) + n
-            some = iter(words.items())
-            while part := list(itertools.islice(some, 10_000)):
-                yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.string()), pa.array([n for _, n in part], pa.int64())], names=["word", "n"])
+            hashes, counts = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+            spelled = pa.concat_arrays([h[2] for h in held])
+            held.clear()
+            _, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+            n = np.bincount(back, weights=counts).astype(np.int64)
+            for lo in range(0, len(first), 20_000):
+                yield pa.RecordBatch.from_arrays([spelled.take(pa.array(first[lo : lo + 20_000])), pa.array(n[lo : lo + 20_000])], names=["word", "n"])
 
         for b in pieces(batches, "text", LOOKED):
-            p = Pieces(b.column(0), pattern)
-            hashes, counts = p.hashes.tolist(), p.counts.tolist()
-            for h, n, text in zip(hashes, counts, p.texts(np.arange(len(hashes))), strict=True):
-                old = seen.get(h)
-                seen[h] = (text, n) if old is None else (old[0], old[1] + n)
-            if len(seen) > COUNTED:
+            w = Words(b.column(0), pattern)
+            hashes, first, counts = np.unique(word_hashes(w.buf, w.bounds), return_index=True, return_counts=True)
+            other = np.flatnonzero(~_there(tokens, hashes)[1] & (w.bounds[first + 1] - w.bounds[first] <= LONG))
+            data, ends = w.bytes_of(first[other])
+            held.append((hashes[other], counts[other], pa.Array.from_buffers(pa.string(), len(other), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])))
+            if sum(len(h[0]) for h in held) > COUNTED:
                 yield from out()
-        yield from out()
+        if held:
+            yield from out()
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            words = [w.encode() for w in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(_hashes(words)), _byte_arrays(words)], names=["word", "bytes"])
+            buf, ends = text_buffers(b.column(0))
+            data, ends = buf[int(ends[0]) : int(ends[-1])], ends - ends[0]
+            yield pa.RecordBatch.from_arrays([pa.array(word_hashes(data, ends).view(np.int64)), _byte_arrays(data, ends)], names=["word", "bytes"])
 
     counted = texts.mapInArrow(tidy(count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = cut(counted.where((F.octet_length("word") <= LONG) & (F.col("n") > 1)))  # a word that stands once is folded once anyway
+    counts = cut(counted.where("n > 1"))  # a word that stands once is folded once anyway
     step = F.floor(F.log2("n") * 8).cast("int")
     total, least = 0, 0
     for r in counts.groupBy(step.alias("k")).agg(F.count("*").alias("c")).orderBy(F.desc("k")).collect():
@@ -357,12 +417,19 @@ def _dictionary(texts: DataFrame, encoder: Encoder, file, most: int) -> tuple[np
     rows = folded.toArrow()
     drop(counts, folded)
     lists = rows.column("ids").combine_chunks()
-    hashes, ends = rows.column("word").to_numpy(), lists.offsets.to_numpy().astype(np.int64)
-    flat = lists.values.to_numpy().astype(np.uint16 if encoder.table.bits == 16 else np.uint32)
+    tokens, token_ids = _token_table(encoder.ranks)
+    hashes, ends = rows.column("word").to_numpy().view(np.uint64), lists.offsets.to_numpy().astype(np.int64)
+    hashes = np.concatenate([hashes, tokens])
+    begins, size = np.concatenate([ends[:-1], len(lists.values) + np.arange(len(tokens))]), np.concatenate([np.diff(ends), np.ones(len(tokens), np.int64)])
+    flat = np.concatenate([lists.values.to_numpy(), token_ids]).astype(np.uint16 if encoder.table.bits == 16 else np.uint32)
     order = np.argsort(hashes)
-    size = np.diff(ends)[order]
-    bounds = np.concatenate([[0], np.cumsum(size)])
-    return hashes[order], bounds.astype(np.int32), flat[np.repeat(ends[:-1][order] - bounds[:-1], size) + np.arange(bounds[-1])]
+    bounds = np.concatenate([[0], np.cumsum(size[order])])
+    return hashes[order], bounds.astype(np.int32), flat[np.repeat(begins[order] - bounds[:-1], size[order]) + np.arange(bounds[-1])]
+
+
+def _within(size: np.ndarray) -> np.ndarray:
+    """0, 1 .. size[0]-1, 0, 1 .. size[1]-1 and so on."""
+    return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS, keep: list[str] | None = None) -> DataFrame:
@@ -380,62 +447,35 @@ def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS, keep: l
     rows = wrapped(docs, text.alias("text"), keep=kept)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, ranks = word_finder(pattern), parse_ranks(file.value)
-        known = {w: r.to_bytes(4, "little") for t, r in ranks.items() if (w := _text(t)) is not None}
-        at_hand: dict[int, bytes] = {}  # ids of pieces by their hash
-        hashes, bounds, flat = frequent.value
-        miss = MISS.to_bytes(4, "little")
-
-        def resolve(new: list[str]) -> dict[str, bytes]:
-            """Ids of those words that the dictionary has or that are too long to fold."""
-            spelled = [w.encode() for w in new]
-            own = _hashes(spelled)
-            at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1) if len(hashes) else np.zeros(len(own), np.int64)
-            there = np.flatnonzero(hashes[at] == own) if len(hashes) else np.zeros(0, np.int64)
-            lo, hi = bounds[at[there]], bounds[at[there] + 1]
-            ends = np.concatenate([[0], np.cumsum(hi - lo)])
-            data = flat[np.repeat(lo - ends[:-1], hi - lo) + np.arange(ends[-1])].astype("<u4").tobytes()
-            out = {new[i]: data[4 * x : 4 * y] for i, x, y in zip(there.tolist(), ends.tolist(), ends[1:].tolist(), strict=False)}
-            for w, data in zip(new, spelled, strict=True):
-                if len(data) > LONG:
-                    out[w] = np.array(merge_heap(data, ranks), "<u4").tobytes()
-            return out
-
+        ranks = parse_ranks(file.value)
+        table, bounds, flat = frequent.value
         for b in pieces(batches, "text", LOOKED):
-            p = Pieces(b.column(1), pattern)
-            names = p.hashes.tolist()
-            got = list(map(at_hand.get, names))
-            new = [k for k, x in enumerate(got) if x is None]
-            found = list(map(find, p.texts(np.array(new, np.int64))))
-            unknown = list(set().union(*found).difference(known))
-            more = resolve(unknown) if unknown else {}
-            known.update(more)
-            own: dict[str, int] = {}  # words that are left to fold, in the order in which they were met
-            short = np.diff(p.bounds)[p.at] <= LONG_PIECE
-            for k, words, keep in zip(new, found, short[new].tolist(), strict=True):
-                parts = list(map(known.get, words))
-                if None in parts:
-                    got[k] = b"".join([x or miss + own.setdefault(w, len(own)).to_bytes(4, "little") for w, x in zip(words, parts, strict=True)])
-                else:
-                    got[k] = whole = b"".join(parts)
-                    if keep and len(at_hand) < AT_HAND:
-                        at_hand[names[k]] = whole
-            for w in more:
-                del known[w]
-            code = np.frombuffer(b"".join(got), "<u4") if got else np.zeros(0, "<u4")
-            ends = np.concatenate([[0], np.cumsum(list(map(len, got)))]) // 4
-            size = np.diff(ends)[p.which]  # of each piece
-            to = np.concatenate([[0], np.cumsum(size)])
-            ids = code[np.repeat(ends[:-1][p.which] - to[:-1], size) + np.arange(to[-1])] if len(size) else np.zeros(0, "<u4")
-            stops = to[p.first]
+            w = Words(b.column(1), pattern)
+            hashes, first, which = np.unique(word_hashes(w.buf, w.bounds), return_index=True, return_inverse=True)
+            at, there = _there(table, hashes)
+            size = np.where(there, bounds[at + 1] - bounds[at] if len(table) else 0, 2)  # two places stand for a word that is left to fold: MISS and its number
+            long = {k: np.array(merge_heap(w.buf[w.bounds[first[k]] : w.bounds[first[k] + 1]].tobytes(), ranks), "<u4") for k in np.flatnonzero(~there & (w.bounds[first + 1] - w.bounds[first] > LONG)).tolist()}
+            for k, own in long.items():
+                size[k] = len(own)
+            ends = np.concatenate([[0], np.cumsum(size)])
+            code = np.empty(ends[-1], "<u4")
+            known = np.flatnonzero(there)
+            code[np.repeat(ends[known], size[known]) + _within(size[known])] = flat[np.repeat(bounds[at[known]], size[known]) + _within(size[known])]
+            left = np.setdiff1d(np.flatnonzero(~there), list(long))
+            code[ends[left]], code[ends[left] + 1] = MISS, np.arange(len(left))
+            for k, own in long.items():
+                code[ends[k] : ends[k + 1]] = own
+            size = size[which]  # of each word of the texts
+            stops = np.concatenate([[0], np.cumsum(size)])
+            ids = code[np.repeat(ends[which], size) + _within(size)]
+            stops = stops[w.first]
             # Words to fold are numbered anew within each text.
             at = np.flatnonzero(ids == MISS)
-            text = np.searchsorted(stops, at, "right") - 1
-            pairs, back = np.unique(text * max(len(own), 1) + ids[at + 1], return_inverse=True)
-            begin = np.searchsorted(pairs, np.arange(b.num_rows + 1) * max(len(own), 1))
+            text, most = np.searchsorted(stops, at, "right") - 1, max(len(left), 1)
+            pairs, back = np.unique(text * most + ids[at + 1], return_inverse=True)
+            begin = np.searchsorted(pairs, np.arange(b.num_rows + 1) * most)
             ids[at + 1] = back - begin[text]
-            words = list(own)
-            missing = _byte_arrays([words[k].encode() for k in (pairs % max(len(own), 1)).tolist()])
+            missing = _byte_arrays(*w.bytes_of(first[left[pairs % most]] if len(left) else np.zeros(0, np.int64)))
             ids = pa.Array.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer((4 * stops).astype(np.int32)), pa.py_buffer(ids)])
             yield pa.RecordBatch.from_arrays([b.column(0), ids, pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), missing)], names=["row", "ids", "missing"])
 

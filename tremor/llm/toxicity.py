@@ -28,6 +28,8 @@ THRESHOLD = 0.3
 #: A voter looks for a word, or for words that begin so, in bytes; 0 stands for the whole word.
 LENGTHS = (0, 4, 5, 6)
 MOST_TERMS, MOST_VOTERS = 400, 64
+#: Nats by which the labels of the texts with a mined term must speak against chance, which brings one of a thousand terms so far; the label model weighs those that are left.
+SURPRISE = 7.0
 
 SEED_TERMS = ["idiot", "moron", "stupid", "scum", "loser", "trash", "pathetic", "worthless", "disgusting", "clown", "imbecile", "vermin"]
 
@@ -195,7 +197,10 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
     toxic = sum(y for _, y in sample)
     least = max(2, toxic // 400)
     ratio = (F.col("toxic") + 0.1) / toxic / ((F.col("clean") + 0.5) / (len(sample) - toxic))
-    best = _mine(rows).where((F.col("toxic") >= least) & (ratio >= 4)).orderBy((F.col("toxic") * F.log(ratio)).desc(), "term").limit(MOST_TERMS).collect()
+    share = toxic / len(sample)
+    part = lambda n, p: F.when(F.col(n) > 0, F.col(n) * F.log(F.col(n) / (F.col("toxic") + F.col("clean")) / p)).otherwise(0.0)
+    surprise = part("toxic", share) + part("clean", 1 - share)
+    best = _mine(rows).where((F.col("toxic") >= least) & (ratio >= 4) & (surprise >= SURPRISE)).orderBy((F.col("toxic") * F.log(ratio)).desc(), "term").limit(MOST_TERMS).collect()
     terms = np.unique(np.array([r.term for r in best] + [np.uint64(term_hash(t)).astype(np.int64) for t in SEED_TERMS], np.int64).view(np.uint64))
     hits = Hits(terms)
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import cut, drop, pieces, share, text_buffers, tidy, unwrapped, wrapped
+from tremor.llm.common import cut, drop, give_back, pieces, share, text_buffers, tidy, unwrapped, wrapped
 from tremor.llm.textvec import byte_class, span_hashes
 
 #: Words in the dictionary at most; words that a task counts at a time; bytes of text that a task looks at, and hashes, at a time.
@@ -364,8 +364,8 @@ def _there(table: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, table[at] == hashes
 
 
-def _dictionary(texts: DataFrame, encoder: Encoder, file, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes, bounds, ids): ascending hashes of the tokens and of frequent other words, and their ids at bounds[i]:bounds[i+1]; a threshold on their counts keeps the latter within ``most``.
+def _dictionary(texts: DataFrame, encoder: Encoder, file, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, begins, sizes, ids): ascending hashes of the tokens and of frequent other words, and where their ids are; a threshold on their counts keeps the latter within ``most``.
 
     Tasks count words in batches; those that stand once in the whole corpus are left out.
     """
@@ -416,15 +416,22 @@ def _dictionary(texts: DataFrame, encoder: Encoder, file, most: int) -> tuple[np
         folded = cut(folded)
     rows = folded.toArrow()
     drop(counts, folded)
+    # The driver holds each array once, narrow, and makes none of a place for each id.
+    hashes = rows.column("word").to_numpy().view(np.uint64)
     lists = rows.column("ids").combine_chunks()
+    del rows
+    begins, flat = lists.offsets.to_numpy(), lists.values.to_numpy().astype(np.uint16 if encoder.table.bits == 16 else np.uint32)
+    size = np.diff(begins).astype(np.uint16)
     tokens, token_ids = _token_table(encoder.ranks)
-    hashes, ends = rows.column("word").to_numpy().view(np.uint64), lists.offsets.to_numpy().astype(np.int64)
-    hashes = np.concatenate([hashes, tokens])
-    begins, size = np.concatenate([ends[:-1], len(lists.values) + np.arange(len(tokens))]), np.concatenate([np.diff(ends), np.ones(len(tokens), np.int64)])
-    flat = np.concatenate([lists.values.to_numpy(), token_ids]).astype(np.uint16 if encoder.table.bits == 16 else np.uint32)
+    hashes, size = np.concatenate([hashes, tokens]), np.concatenate([size, np.ones(len(tokens), np.uint16)])
+    begins = np.concatenate([begins[:-1], len(flat) + np.arange(len(tokens), dtype=np.int32)])
+    flat = np.concatenate([flat, token_ids.astype(flat.dtype)])
+    del lists
     order = np.argsort(hashes)
-    bounds = np.concatenate([[0], np.cumsum(size[order])])
-    return hashes[order], bounds.astype(np.int32), flat[np.repeat(begins[order] - bounds[:-1], size[order]) + np.arange(bounds[-1])]
+    found = hashes[order], begins[order], size[order], flat
+    del hashes, begins, size, order
+    give_back()
+    return found
 
 
 def _within(size: np.ndarray) -> np.ndarray:
@@ -448,19 +455,19 @@ def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS, keep: l
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = parse_ranks(file.value)
-        table, bounds, flat = frequent.value
+        table, begins, sizes, flat = frequent.value
         for b in pieces(batches, "text", LOOKED):
             w = Words(b.column(1), pattern)
             hashes, first, which = np.unique(word_hashes(w.buf, w.bounds), return_index=True, return_inverse=True)
             at, there = _there(table, hashes)
-            size = np.where(there, bounds[at + 1] - bounds[at] if len(table) else 0, 2)  # two places stand for a word that is left to fold: MISS and its number
+            size = np.where(there, sizes[at], 2).astype(np.int64)  # two places stand for a word that is left to fold: MISS and its number
             long = {k: np.array(merge_heap(w.buf[w.bounds[first[k]] : w.bounds[first[k] + 1]].tobytes(), ranks), "<u4") for k in np.flatnonzero(~there & (w.bounds[first + 1] - w.bounds[first] > LONG)).tolist()}
             for k, own in long.items():
                 size[k] = len(own)
             ends = np.concatenate([[0], np.cumsum(size)])
             code = np.empty(ends[-1], "<u4")
             known = np.flatnonzero(there)
-            code[np.repeat(ends[known], size[known]) + _within(size[known])] = flat[np.repeat(bounds[at[known]], size[known]) + _within(size[known])]
+            code[np.repeat(ends[known], size[known]) + _within(size[known])] = flat[np.repeat(begins[at[known]], size[known]) + _within(size[known])]
             left = np.setdiff1d(np.flatnonzero(~there), list(long))
             code[ends[left]], code[ends[left] + 1] = MISS, np.arange(len(left))
             for k, own in long.items():

@@ -1,10 +1,11 @@
 """Removal of fuzzy duplicate lines across all documents.
 
 A line's shingles are the ``GRAM`` characters from each of its characters on, in all scripts and whatever the words (a shorter line is one shingle).
-Minimum hashes of them (``minhash``) form bands, and lines that share a band are compared: first each with the least of its bucket; then, in every
-bucket, all pairs that these ties did not join into one component. A sketch of one bit of each minimum sorts out pairs that are far from similar, exact
-Jaccard similarity of the sets of shingles (52-bit hashes within a pair) confirms the others, and of each component of confirmed pairs (distributed
-union-find) the first line stays.
+Minimum hashes of them (``minhash``) form bands, and lines that share a band are compared: first each with the least of its bucket. A sketch of one bit of each
+minimum sorts out pairs that are far from similar, exact Jaccard similarity of the sets of shingles (52-bit hashes within a pair) confirms the others. The lines of buckets
+that these pairs did not join into one component go on (``near_dedup.missed``): shingles that stand in one component only come first in an order of all, similar
+lines of different components share one of their first fifth in that order, and those that do are compared exactly. So a template with many fillings costs in proportion to
+its lines, not to their pairs. Of each component of confirmed pairs (distributed union-find) the first line stays.
 
 Equal lines are one node all along: each distinct line is hashed once, and a line that a third of all documents share is counted before
 it is shuffled. Two lines of similarity s share none of ``BANDS`` bands of ``ROWS`` minima with probability (1 - s^ROWS)^BANDS: 0.6 % at 0.8, 0.03 % at 0.85,
@@ -27,10 +28,9 @@ from pyspark.sql import functions as F
 from tremor.llm import minhash
 from tremor.llm.common import cut, drop, gathered, row_hash, tidy, wrapped
 from tremor.llm.graph import components
+from tremor.llm.near_dedup import missed, undecided
 
 GRAM, BANDS, ROWS, SIMILARITY = 5, 17, 6, 0.8
-#: Lines of a bucket that are paired in one group; larger buckets are dealt out as pairs of such blocks.
-BLOCK = 512
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -77,48 +77,6 @@ def _confirm(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame
     return both.where(~_far(similarity)).select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long")
 
 
-def _others(members: DataFrame, roots: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): links between similar lines of a bucket that stand in different components of ``roots``, as many as join those. ``members``: band, line, least; its least line has been compared.
-
-    A bucket goes to a task, a large one is dealt out as pairs of blocks of ``BLOCK`` lines; no pairs leave it but links. Of buckets of the same lines one is enough.
-    """
-    rows = members.where("line <> least").join(roots.toDF("line", "root"), "line", "left").select("band", "line", F.coalesce("root", "line").alias("root"))
-    seen = [F.min("line").alias("least"), F.max("line").alias("most"), F.bit_xor("line").alias("x"), F.count("*").alias("n")]
-    open_ = rows.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), *seen).where("low < high")
-    open_ = open_.groupBy("least", "most", "x", "n").agg(F.min("band").alias("band"))
-    rows = rows.join(open_.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "band")
-    rows = rows.select("band", "line", "root", F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-    side = F.when(F.col("block") == F.col("with"), 2).when(F.col("block") < F.col("with"), 0).otherwise(1)
-    rows = rows.select("band", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), side.alias("side"), "line", "root")
-    dealt = rows.join(known, "line").select("band", "lo", "hi", "side", "line", "root", "f", "g", "norm").repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi")
-    most = minhash.most_bits(BANDS * ROWS, similarity)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-
-        def flush():
-            b = pa.concat_batches(held)
-            line, root, f, g = (b.column(k).to_numpy() for k in (4, 5, 6, 7))
-            links = minhash.joined(b.column(8), f, g, root, b.column(3).to_numpy(), GRAM, most, similarity)
-            return pa.RecordBatch.from_arrays([pa.array([line[i] for i, _ in links], pa.int64()), pa.array([line[j] for _, j in links], pa.int64())], names=["a", "b"])
-
-        for b in batches:
-            keys = np.stack([c.to_numpy().astype(np.int64) for c in b.columns[:3]], axis=1)
-            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
-            for lo, hi in zip(cuts, cuts[1:], strict=False):
-                now = tuple(keys[lo]) if hi > lo else key
-                if now != key and held:
-                    yield flush()
-                    held = []
-                key = now
-                if hi > lo:
-                    held.append(b.slice(lo, hi - lo))
-        if held:
-            yield flush()
-
-    return dealt.mapInArrow(tidy(run), "a long, b long").distinct()
-
-
 def groups(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(line, root) of each line of ``lines`` (line, norm) that is similar to another one; root is the least hash of the component."""
     known = cut(signed(lines))
@@ -130,9 +88,12 @@ def groups(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     drop(known)
     alike = cut(_confirm(pairs, texts, similarity))
     roots = components(alike)
-    more = cut(_others(members, roots, texts, similarity))
-    drop(members, pairs, texts)
-    return (roots if more.isEmpty() else components(alike.union(more))).toDF("line", "root")
+    rest = cut(undecided(members.withColumnRenamed("line", "sig"), roots.toDF("sig", "root")).join(texts.select(F.col("line").alias("sig"), F.col("norm").alias("text")), "sig").select("sig", "root", "text"))
+    if not rest.isEmpty():
+        more = cut(missed(rest, lambda t: minhash.shingle_sets(t, GRAM), round(100 * similarity)))
+        roots = components(alike.union(more))
+    drop(members, pairs, texts, rest)
+    return roots.toDF("line", "root")
 
 
 def duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.common import cut, drop, give_back, pieces, share, text_buffers, tidy, unwrapped, wrapped
+from tremor.llm.common import cut, drop, give_back, give_back_driver, pieces, share, text_buffers, tidy, unwrapped, wrapped
 from tremor.llm.textvec import byte_class, span_hashes
 
 #: Words in the dictionary at most; words that a task counts at a time; bytes of text that a task looks at, and hashes, at a time.
@@ -450,7 +450,9 @@ def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS, keep: l
     file = share(spark, encoder.file)
     kept = docs.columns if keep is None else keep
     text = F.col("`text`")
+    give_back_driver(spark)  # what earlier steps of a long session left would add to the dictionary and to plans that hold the literal
     frequent = share(spark, _dictionary(docs.select(text), encoder, file, words))
+    give_back_driver(spark)
     rows = wrapped(docs, text.alias("text"), keep=kept)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -514,8 +516,8 @@ def encode(docs: DataFrame, path: str, pattern: str, words: int = WORDS, keep: l
     looked = rows.mapInArrow(tidy(look_up), f"row {row}, ids binary, missing array<array<smallint>>")
     with _short_plans(spark):
         done = cut(looked.withColumn("missing", F.transform("missing", encoder.fold)).mapInArrow(tidy(fill_in), f"row {row}, ids binary"))
-    file.unpersist()
-    frequent.unpersist()
+    file.destroy()  # nothing computes the written rows again
+    frequent.destroy()
     return unwrapped(done, kept, ids=F.col("ids"))
 
 

@@ -70,6 +70,12 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def give_back_driver(spark: SparkSession) -> None:
+    """The same for the driver's JVM: a collection shrinks its heap to what is in use, and Spark's cleaner drops what went out of use."""
+    give_back()
+    spark._jvm.System.gc()
+
+
 def share(spark: SparkSession, value):
     """A broadcast of which the driver's Python keeps no copy in memory; its file is read again if need be."""
     out = spark.sparkContext.broadcast(value)

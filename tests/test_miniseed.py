@@ -1,11 +1,15 @@
 """Hand-made records of each encoding, through the reader and both pipelines."""
 
 import json
+import os
 import struct
+import subprocess
+import sys
 
 import numpy as np
 import pytest
 
+from tests.conftest import ROOT
 from tremor import cli, sinks
 from tremor.config import Config
 from tremor.plans import pipeline
@@ -284,3 +288,23 @@ def test_command_line(tmp_path, capsys):
     assert cli.main(["--config", str(tmp_path / "c.json"), "preprocess", "--data-dir", "in", "--out-dir", "out", "--freqmin", "0.5", "--fs", "8", "--freqmax", "1.5", "--dry-run"]) == 0
     assert cli.main(["run", "--data-dir", "in", "--out-dir", "out", "--freqmin", "3", "--dry-run"]) == 2
     assert "freqmin" in capsys.readouterr().err
+
+
+def test_command_line_runs(spark, archive, tmp_path):
+    """Both commands as a user starts them; a folder without a whole window gives a warning and no table."""
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=2 pyspark-shell"}
+
+    def start(*args):
+        return subprocess.run([sys.executable, "-m", "tremor.cli", *args, "--data-dir", str(archive), "--out-dir", str(tmp_path / "out")], cwd=ROOT, env=env, capture_output=True, text=True, timeout=300)
+
+    done = start("run", "--win-sec", "100")
+    assert done.returncode == 0, done.stderr[-2000:]
+    name = archive.name
+    table = spark.read.parquet(str(tmp_path / "out" / f"{name}_features.parquet"))
+    assert table.count() == 2 * ((6000 - 500) // 250 + 1) and json.loads((tmp_path / "out" / f"{name}_features.run_metadata.json").read_text())["fs"] == 5.0
+    done = start("preprocess", "--single-file", "--fs", "3")
+    assert done.returncode == 0 and "output rate is 3.33" in done.stderr, done.stderr[-2000:]
+    side = json.loads((tmp_path / "out" / f"{name}_preprocessed.f32.json").read_text())
+    assert side["samples"] * 12 == (tmp_path / "out" / f"{name}_preprocessed.f32").stat().st_size and len(side["segments"]) == 2
+    done = start("run", "--win-sec", "5000", "--station", "NONE")
+    assert done.returncode == 0 and "no window" in done.stderr

@@ -7,7 +7,7 @@ the task of their block, and from blocks to groups of windows. A group holds the
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tremor.config import Config
 from tremor.functions.columns import arrays, lists
-from tremor.functions.kernels import COMPONENTS, FEATURES, features
+from tremor.functions.kernels import COMPONENTS, FEATURES, features, power, zscore
 from tremor.operators.assemble import check_index
 from tremor.operators.condition import process
 from tremor.operators.scan import differences
@@ -90,7 +90,18 @@ def archive(spark: SparkSession, path: str, cfg: Config, **seconds) -> Archive:
 
 
 def window_features(pieces: DataFrame, win: int, step: int, nsta: int, nlta: int, standard_hjorth: bool = False) -> DataFrame:
-    """station, run, w, end_epoch and the 51 features of each full window. ``pieces``: station, run, pos, start_epoch, fs, e, n, z, of which none overlap.
+    """station, run, w, end_epoch and the 51 features of each full window. ``pieces``: station, run, pos, start_epoch, fs, e, n, z, of which none overlap."""
+    return windows(pieces, win, step, lambda e, n, z, fs: features(e, n, z, fs, nsta, nlta, standard_hjorth), ", ".join(f"`{f}` double" for f in FEATURES))
+
+
+def window_spectra(pieces: DataFrame, win: int, step: int) -> DataFrame:
+    """station, run, w, end_epoch and E, N, Z, the power of the z-scored samples of each full window at the frequencies 0, fs / win, 2 fs / win and so on; NaN for a window with a missing sample."""
+    spectra = lambda e, n, z, fs: {c: power(zscore(x)) for c, x in zip(COMPONENTS, (e, n, z), strict=True)}
+    return windows(pieces, win, step, spectra, ", ".join(f"{c} array<double>" for c in COMPONENTS))
+
+
+def windows(pieces: DataFrame, win: int, step: int, values: Callable[[np.ndarray, np.ndarray, np.ndarray, float], dict[str, np.ndarray]], schema: str) -> DataFrame:
+    """station, run, w, end_epoch and the columns ``schema`` of each full window: ``values`` of matrices of windows (one row each) of the three components, and the rate.
 
     A piece is cut into the groups of windows that it overlaps, so a sample is sent little more than once however much the windows overlap.
     """
@@ -128,12 +139,12 @@ def window_features(pieces: DataFrame, win: int, step: int, nsta: int, nlta: int
                 for c in range(3):
                     x[c, p[0] - lo : p[0] - lo + len(p[3 + c])] = p[3 + c]
             views = [np.lib.stride_tricks.sliding_window_view(c, win)[::step][:count] for c in x]
-            found = features(*views, held[0][2], nsta, nlta, standard_hjorth)
+            found = values(*views, held[0][2])
             w = g * GROUP + np.arange(count)
             # The clock of a window is that of the piece its last sample lies in.
             at = np.clip(np.searchsorted([p[0] for p in held], w * step + win - 1, "right") - 1, 0, None)
             end = np.array([p[1] for p in held])[at] + (w * step + win) / held[0][2]
-            return pa.RecordBatch.from_arrays([pa.array([station] * count, kind_), pa.array([run] * count, pa.int64()), pa.array(w), pa.array(end), *(pa.array(v, from_pandas=True) for v in found.values())], names=["station", "run", "w", "end_epoch", *found])
+            return pa.RecordBatch.from_arrays([pa.array([station] * count, kind_), pa.array([run] * count, pa.int64()), pa.array(w), pa.array(end), *(pa.array(v, from_pandas=True) if v.ndim == 1 else lists(list(v)) for v in found.values())], names=["station", "run", "w", "end_epoch", *found])
 
         for b in batches:
             kind_ = b.schema.field("station").type
@@ -150,7 +161,7 @@ def window_features(pieces: DataFrame, win: int, step: int, nsta: int, nlta: int
 
     groups = pieces.select("station", "run", "pos", "start_epoch", "fs", "e", "n", "z").mapInArrow(cut, f"station {kind}, run bigint, g bigint, pos bigint, epoch double, fs double, e array<double>, n array<double>, z array<double>")
     ordered = groups.repartition("station", "run", "g").sortWithinPartitions("station", "run", "g", "pos")
-    return ordered.mapInArrow(compute, f"station {kind}, run bigint, w bigint, end_epoch double, " + ", ".join(f"`{f}` double" for f in FEATURES))
+    return ordered.mapInArrow(compute, f"station {kind}, run bigint, w bigint, end_epoch double, {schema}")
 
 
 def feature_table(found: DataFrame, runs: DataFrame, stem: str | None = None) -> DataFrame:

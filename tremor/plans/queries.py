@@ -32,6 +32,45 @@ def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_features(wave_pieces(spark, sf_dir), WIN, STEP, NSTA, NLTA)
 
 
+def _of_components(columns: dict[str, str], digits: int = 6) -> Callable[[SparkSession, str], DataFrame]:
+    """A query for features of one component, which the production kernels compute: a row for each window and component that is whole there, ``columns`` by the features' names."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        own = [F.struct(F.lit(c).alias("component"), F.col(f"{c}_PEAK").alias("whole"), *[(F.round(f"{c}_{f}", digits) + 0.0).alias(n) for n, f in columns.items()]) for c in "ENZ"]
+        rows = _table(spark, sf_dir).select("station", "w", F.explode(F.array(*own)).alias("r")).where("r.whole is not null")
+        return rows.select("station", "r.component", "w", *[f"r.{n}" for n in columns])
+
+    return query
+
+
+def _cross_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir).select("station", "w", *[(F.round(f"{p.upper()}_CROSS_CORR", 6) + 0.0).alias(f"{p}_cross_corr") for p in ("en", "ez", "nz")])
+
+
+def _power_spectrum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tremor.functions.features import FS, STEP, WIN
+    from tremor.operators.signals import wave_pieces
+    from tremor.plans.pipeline import window_spectra
+
+    own = [F.struct(F.lit(c).alias("component"), F.col(c).alias("p")) for c in "ENZ"]
+    rows = window_spectra(wave_pieces(spark, sf_dir), WIN, STEP).select("station", "w", F.explode(F.array(*own)).alias("r"))
+    rows = rows.where(~F.isnan(F.col("r.p")[0])).select("station", "r.component", "w", F.posexplode("r.p").alias("q", "p"))
+    return rows.select("station", "component", "w", F.col("q").cast("bigint").alias("q"), (F.col("q") * FS / WIN).alias("f"), (F.round("p", 5) + 0.0).alias("p"))
+
+
+#: These run the production kernels; their SQL is the definition in ``tremor.functions.features``, which DuckDB alone runs.
+QUERIES |= {
+    "skew_kurt": _of_components({"skewness": "SKEWNESS", "kurtosis": "KURTOSIS"}),
+    "peak_rms": _of_components({"peak": "PEAK", "rms": "RMS"}),
+    "zero_crossing": _of_components({"zcr": "ZCR"}),
+    "sta_lta": _of_components({"sta_lta_max": "STA_LTA_Max", "sta_lta_mean": "STA_LTA_Mean", "sta_lta_median": "STA_LTA_Median"}),
+    "permutation_entropy": _of_components({"permutation_entropy": "PERMUTATION_ENTROPY"}),
+    "dominant_freq": _of_components({"dominant_freq": "DOMINANT_FREQ"}, 9),
+    "spectral_energy": _of_components({"spectral_centroid": "SPECTRAL_CENTROID", "low_freq_energy": "LOW_FREQ_ENERGY", "high_freq_energy": "HIGH_FREQ_ENERGY"}),
+    "cross_corr": _cross_corr,
+    "power_spectrum": _power_spectrum,
+}
+
 #: Added before rounding: many variances are exact binary fractions that lie half way between two decimals.
 OFF_TIES = 1.234567e-7
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tremor.llm import bpe, chat, decontaminate, line_dedup, minhash, near_dedup, ngram_join, quality, repeats, rules, toxicity, url_filter
+from tremor.llm import bpe, chat, decontaminate, line_dedup, minhash, ngram_join, quality, repeats, rules, toxicity, url_filter
 from tremor.llm.graph import components
 
 DOCS = "doc_id long, text string, lang string, root string, sig string, n string, key string, ids string, found string"
@@ -282,7 +282,7 @@ def test_line_dedup_compares_all_lines_of_a_bucket(spark, monkeypatch):
     copies = [t[:40] + "#" + t[41:] for t in lines]
     monkeypatch.setattr(minhash, "bands", lambda low, n: np.ones((len(low), n), np.int64))
     for block in (512, 5):
-        monkeypatch.setattr(near_dedup, "BLOCK", block)
+        monkeypatch.setattr(line_dedup, "BLOCK", block)
         assert kept_lines(spark, lines + copies) == lines
 
 
@@ -313,7 +313,7 @@ def test_overlaps_equal_sets(monkeypatch):
     for step in (1 << 18, 97):
         monkeypatch.setattr(minhash, "STEP", step)
         assert list(zip(*minhash.overlaps(pa.array(x), pa.array(y), 5), strict=True)) == want
-        assert np.diff(minhash.shingle_sets(pa.array(x), 5)[1]).tolist() == [len(sets(a)) for a in x]
+        assert [len(s) for s in minhash.shingle_sets(pa.array(x), 5)] == [len(sets(a)) for a in x]
 
 
 def test_line_dedup_finds_twins_in_families(spark):

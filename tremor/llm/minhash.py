@@ -141,16 +141,48 @@ def _keys(texts: pa.Array, gram: int) -> np.ndarray:
     return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
 
 
-def shingle_sets(texts: pa.Array, gram: int) -> tuple[np.ndarray, np.ndarray, None]:
-    """(hashes, bounds, None): the set of shingles of text i as ascending 64-bit hashes at bounds[i]:bounds[i+1]."""
-    steps = list(shingle_hashes(*_characters(texts), gram)) if len(texts) else []
-    h = np.concatenate([s[0] for s in steps]).view(np.int64) if steps else np.zeros(0, np.int64)
-    line = np.concatenate([s[1] for s in steps]) if steps else np.zeros(0, np.int64)
-    order = np.lexsort((h, line))
-    h, line = h[order], line[order]
-    keep = np.ones(len(h), bool)
-    keep[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
-    return h[keep], np.searchsorted(line[keep], np.arange(len(texts) + 1)), None
+def shingle_sets(texts: pa.Array, gram: int) -> list[np.ndarray]:
+    """The set of shingles of each text as ascending 64-bit hashes."""
+    hashes, lines = zip(*shingle_hashes(*_characters(texts), gram), strict=True) if len(texts) else ([], [])
+    if not hashes:
+        return [np.zeros(0, np.uint64)] * len(texts)
+    h, line = np.concatenate(hashes), np.concatenate(lines)
+    order = np.argsort(line, kind="stable")
+    bounds = np.searchsorted(line[order], np.arange(len(texts) + 1))
+    h = h[order]
+    return [np.unique(h[lo:hi]) for lo, hi in zip(bounds, bounds[1:], strict=False)]
+
+
+def joined(texts: pa.Array, f: np.ndarray, g: np.ndarray, roots: np.ndarray, side: np.ndarray, gram: int, most: int, similarity: float) -> list[tuple[int, int]]:
+    """Links (places) between similar texts of different ``roots``, as many as join what they can join. ``side``: 0, 1, or 2; a 0 is not compared with a 0, nor a 1 with a 1.
+
+    Sketches ``f`` and ``g`` that differ in more than ``most`` bits spare a comparison.
+    """
+    n = len(roots)
+    _, own = np.unique(roots, return_inverse=True)
+    comp, sets, links = own.copy(), None, []
+    for i in range(n - 1):
+        rest = np.arange(i + 1, n)
+        near = (comp[rest] != comp[i]) & ((side[rest] != side[i]) | (side[rest] == 2))
+        near &= np.bitwise_count(f[rest] ^ f[i]).astype(np.int16) + np.bitwise_count(g[rest] ^ g[i]) <= most
+        some = rest[near]
+        if not len(some):
+            continue
+        if sets is None:
+            sets = shingle_sets(texts, gram)
+            _, back = np.unique(np.concatenate(sets), return_inverse=True)
+            bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+            sets = [back[lo:hi] for lo, hi in zip(bounds, bounds[1:], strict=False)]
+            flags = np.zeros(int(back.max()) + 1, np.int64)
+        flags[sets[i]] = 1
+        sizes = np.array([len(sets[j]) for j in some])
+        common = np.add.reduceat(flags[np.concatenate([sets[j] for j in some])], np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+        flags[sets[i]] = 0
+        for j in some[common >= similarity * (sizes + len(sets[i]) - common) - 1e-9].tolist():
+            if comp[j] != comp[i]:
+                links.append((i, j))
+                comp[comp == comp[j]] = comp[i]
+    return links
 
 
 def overlaps(x: pa.Array, y: pa.Array, gram: int) -> tuple[np.ndarray, np.ndarray]:

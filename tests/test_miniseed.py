@@ -302,7 +302,7 @@ def test_command_line_runs(spark, archive, tmp_path):
     name = archive.name
     table = spark.read.parquet(str(tmp_path / "out" / f"{name}_features.parquet"))
     assert table.count() == 2 * ((6000 - 500) // 250 + 1) and json.loads((tmp_path / "out" / f"{name}_features.run_metadata.json").read_text())["fs"] == 5.0
-    done = start("preprocess", "--single-file", "--fs", "3")
+    done = start("preprocess", "--single-file", "--fs", "3", "--freqmax", "1.2")
     assert done.returncode == 0 and "output rate is 3.33" in done.stderr, done.stderr[-2000:]
     side = json.loads((tmp_path / "out" / f"{name}_preprocessed.f32.json").read_text())
     assert side["samples"] * 12 == (tmp_path / "out" / f"{name}_preprocessed.f32").stat().st_size and len(side["segments"]) == 2

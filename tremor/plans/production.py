@@ -136,14 +136,18 @@ def conditioned_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("component", "block", "i", *[(F.round(F.nanvl(c, null), n) + 0.0).alias(c) for c, n in (("filled", 4), ("flat", 5), ("x", 4))])
 
 
-def _conditioned_sql() -> str:
-    d = dialect.DUCK
+def _filtered_sql(dealt: str, low: float, high: float, kept: str) -> str:
+    """CTEs flat (component, block, i, p, f, gap, x) and back (component, block, p, x): blocks with gaps filled (f), without trend (x), and filtered between ``low`` and ``high`` cycles a cell where ``kept``.
+
+    ``dealt``: component, block, i, x of each block with its context. The filter is the definition of the transform over the odd-extended block, with squared gains.
+    """
+    d, reach = dialect.DUCK, int(3 / low)
     part = "over (partition by component, block order by p)"
     before = "over (partition by component, block order by p rows between unbounded preceding and current row)"
     after = "over (partition by component, block order by p rows between current row and unbounded following)"
-    w1, w2 = (f"(2e0 * tan(pi() * {f}e0))" for f in (LOW, HIGH))
+    w1, w2 = (f"(2e0 * tan(pi() * {f!r}))" for f in (low, high))
     return f"""with {grid(d)},
-dealt as (select component, i, x, unnest(case when i % {CELLS} >= {CELLS - CONTEXT} then [i // {CELLS}, i // {CELLS} + 1] else [i // {CELLS}] end) as block from full_grid),
+dealt as ({dealt}),
 buf as (select component, block, i, x, row_number() over (partition by component, block order by i) - 1 as p, count(*) over (partition by component, block) as m, max(i) over (partition by component, block) as top from dealt),
 near as (select *, lag(x) {part} as px, lead(x) {part} as nx from buf where top >= block * {CELLS}),
 ends as (select *, last_value(case when x is not null then p end ignore nulls) {before} as l, last_value(x ignore nulls) {before} as y0, first_value(case when x is not null then p end ignore nulls) {after} as r,
@@ -153,7 +157,7 @@ slopes as (select *, cast(r - l as double) as d, cast(p - l as double) / nullif(
 filled as (select component, block, i, p, m, x is null as gap, case when x is not null then x else y0 + t * m0 + t * t * (3 * (y1 - y0) - 2 * m0 - m1) + t * t * t * (m0 + m1 - 2 * (y1 - y0)) end as f from slopes),
 fit as (select component, block, any_value(m) as m, count(f) as n, avg(f) as mf, avg(case when f is not null then p end) as mp, covar_pop(f, case when f is not null then cast(p as double) end) as cov, var_pop(case when f is not null then cast(p as double) end) as var from filled group by 1, 2),
 flat as (select component, block, i, p, m, n, f, gap, case when m < 2 then f else f - mf - case when var > 0 then cov / var else 0 end * (p - mp) end as x from filled join fit using (component, block, m)),
-shape as (select component, block, m, least(m - 1, 73) as pad, cast(pow(2, floor(log2(m + 2 * least(m - 1, 73) + 144)) + 1) as bigint) as size from fit where n > 0),
+shape as (select component, block, m, least(m - 1, {reach + 1}) as pad, cast(pow(2, floor(log2(m + 2 * least(m - 1, {reach + 1}) + {2 * reach})) + 1) as bigint) as size from fit where n > 0),
 y as (select component, block, p, coalesce(x, 0) as y from flat),
 edge as (select component, block, arg_min(y, p) as first, arg_max(y, p) as last from y group by 1, 2),
 long as (
@@ -164,8 +168,18 @@ freq as (select component, block, size, unnest(range(1, size // 2)) as k from sh
 turned as (select component, block, k, size, sum(y * cos(2 * pi() * ((k * t) % size) / size)) as re, sum(y * sin(2 * pi() * ((k * t) % size) / size)) as im from freq join long using (component, block) group by 1, 2, 3, 4),
 gained as (select *, 1 / (1 + pow((w * w - {w1} * {w2}) / (w * ({w2} - {w1})), 8)) as g from (select *, 2 * tan(pi() * k / size) as w from turned)),
 back as (select component, block, p, sum(2 * g / size * (re * cos(2 * pi() * ((k * (p + pad)) % size) / size) + im * sin(2 * pi() * ((k * (p + pad)) % size) / size))) as x
-  from gained join shape using (component, block, size) join (select component, block, p, i from flat where i % {FACTOR} = 0 and i >= block * {CELLS}) using (component, block) group by 1, 2, 3)
-select component, block, i, case when gap then round(f, 4) + 0e0 end as filled, round(flat.x, 5) + 0e0 as flat, case when f is not null then round(back.x, 4) + 0e0 end as x from flat left join back using (component, block, p) where i % {FACTOR} = 0 and i >= block * {CELLS}"""
+  from gained join shape using (component, block, size) join (select component, block, p, i from flat where {kept}) using (component, block) group by 1, 2, 3)"""
+
+
+_KEPT = f"i % {FACTOR} = 0 and i >= block * {CELLS}"
+_CONDITIONED_SQL = (
+    _filtered_sql(f"select component, i, x, unnest(case when i % {CELLS} >= {CELLS - CONTEXT} then [i // {CELLS}, i // {CELLS} + 1] else [i // {CELLS}] end) as block from full_grid", LOW, HIGH, _KEPT)
+    + f""" select component, block, i, case when gap then round(f, 4) + 0e0 end as filled, round(flat.x, 5) + 0e0 as flat, case when f is not null then round(back.x, 4) + 0e0 end as x
+from flat left join back using (component, block, p) where {_KEPT}"""
+)
+
+#: The whole grid as one block, between a cycle in two days and one in five hours; for the query of that name.
+BANDPASS_SQL = _filtered_sql("select component, i, x, 0 as block from full_grid", 1 / 48, 1 / 5, "true") + " select component, i, case when f is not null then round(back.x, 6) + 0e0 end as x from flat left join back using (component, block, p)"
 
 
 def waveform_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,4 +210,4 @@ def _waveform_sql() -> str:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (block_plan, run_windows, segment_starts, conditioned_blocks, waveform_parts)}
-SQL: dict[str, str] = {"block_plan": BLOCK_PLAN_SQL, "run_windows": RUN_WINDOWS_SQL, "segment_starts": SEGMENT_STARTS_SQL, "conditioned_blocks": _conditioned_sql(), "waveform_parts": _waveform_sql()}
+SQL: dict[str, str] = {"block_plan": BLOCK_PLAN_SQL, "run_windows": RUN_WINDOWS_SQL, "segment_starts": SEGMENT_STARTS_SQL, "conditioned_blocks": _CONDITIONED_SQL, "waveform_parts": _waveform_sql()}

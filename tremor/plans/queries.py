@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -97,11 +96,11 @@ def bandpass(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("i")
-        x = process(pdf.x.to_numpy(float), 1 / 3600, 1 / 172800, 1 / 18000, 1, 0)
-        return pd.DataFrame({"component": pdf.component, "i": pdf.i, "x": np.round(x, 6)})
+        return pd.DataFrame({"component": pdf.component, "i": pdf.i, "x": process(pdf.x.to_numpy(float), 1.0, 1 / 48, 1 / 5, 1, 0)})
 
     rows = dialect.run(spark, sf_dir, lambda d: f"with {grid(d)} select component, i, x from full_grid")
-    return rows.groupBy("component").applyInPandas(run, "component string, i bigint, x double")
+    made = rows.groupBy("component").applyInPandas(run, "component string, i bigint, x double")
+    return made.select("component", "i", (F.round(F.nanvl("x", F.lit(None).cast("double")), 6) + 0.0).alias("x"))
 
 
 def block_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,5 +156,5 @@ select t.*, round(en_cross_corr + {OFF_TIES}, 5) + 0.0e0 as EN_CROSS_CORR, round
 SQL["feature_table"] = _feature_table_sql()
 SQL["feature_dev"] = f"with f as ({_feature_table_sql()}) select station, w, " + ", ".join(f'round("{f}" - lag("{f}") over (partition by station order by w), 5) + 0.0e0 as "{f}_DEV"' for f in FEATURES) + " from f"
 QUERIES |= production.QUERIES
-SQL |= production.SQL
+SQL |= production.SQL | {"bandpass": production.BANDPASS_SQL}
 FLAGSHIP = "feature_dev"

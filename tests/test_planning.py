@@ -109,6 +109,23 @@ def test_clocks_of_drifting_chunks(spark, tolerance, inclusive, monkeypatch):
     assert by_neighbours > 10  # a rule on neighbours would give other segments
 
 
+def test_a_task_walks_its_stretches_one_after_the_other(spark):
+    """No group of its own for each of many short stretches, and a stretch may go on in the next Arrow batch."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        rng = random.Random(11)
+        sets = {f"s{k}": chunk_rows(rng, f"s{k}") for k in range(20)}
+        chunks = spark.createDataFrame([r for rows in sets.values() for r in rows], "station string, segment int, block int, start_epoch double, fs double, len bigint").repartition(3)
+        found = planning.clocked(chunks, 0.5, True)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "FlatMapGroupsInPandas" not in plan
+        got = sorted((r.station, r.block, r.sample_offset, r.begins, r.anchor_offset, r.anchor_start) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == sorted((s, *w) for s, rows in sets.items() for w in brute_clock(rows, 0.5, True))
+
+
 def test_runs_and_window_numbers(spark):
     rows = [("a", 0, 0, 0.0, 1.0, 10), ("a", 0, 1, 10.0, 1.0, 10), ("a", 1, 2, 100.0, 1.0, 3), ("a", 1, 3, 200.0, 1.0, 8), ("b", 0, 0, 5.0, 1.0, 9)]
     places, runs = planning.runs_of(spark.createDataFrame(rows, "station string, segment int, block int, start_epoch double, fs double, len bigint"), 6, 2)

@@ -12,8 +12,11 @@ The rules are sequential (``tremor.operators.assemble.Planner``), but what they
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -146,18 +149,26 @@ def clocked(chunks: DataFrame, tolerance: float, inclusive: bool) -> DataFrame:
     names = [c.split()[0] for c in CLOCKED.split(", ")]
     whole = rows.where("whole").select(*names[:7], (F.col("block") == F.col("anchor.block")).alias("begins"), F.col("anchor.sample_offset").alias("anchor_offset"), F.col("anchor.start_epoch").alias("anchor_start"))
 
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("block").reset_index(drop=True)
-        start, at, fs = (pdf[c].to_numpy() for c in ("start_epoch", "sample_offset", "fs"))
-        anchor, found = 0, np.zeros(len(pdf), np.int64)
-        for i in range(1, len(pdf)):
-            off = abs(start[i] - (start[anchor] + (at[i] - at[anchor]) / fs[i]))
-            if off > tolerance / fs[i] or (inclusive and off == tolerance / fs[i]):
-                anchor = i
-            found[i] = anchor
-        return pdf.assign(begins=found == np.arange(len(pdf)), anchor_offset=at[found], anchor_start=start[found])[names]
-
-    return whole.union(rows.where("not whole").groupBy("station", "stretch").applyInPandas(walk, CLOCKED))
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = anchor_at = anchor_start = None  # of the row before, which may stand in another batch
+        for b in batches:
+            begins, offsets, starts = [], [], []
+            for *now, start, at, fs in zip(*(b.column(c).to_pylist() for c in ("station", "stretch", "start_epoch", "sample_offset", "fs")), strict=True):
+                if new := now != key:
+                    key = now
+                else:
+                    off = abs(start - (anchor_start + (at - anchor_at) / fs))
+                    new = off > tolerance / fs or (inclusive and off == tolerance / fs)
+                if new:
+                    anchor_at, anchor_start = at, start
+                begins.append(new)
+                offsets.append(anchor_at)
+                starts.append(anchor_start)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names[:7]), pa.array(begins, pa.bool_()), pa.array(offsets, pa.int64()), pa.array(starts, pa.float64())], names=names)
+
+    # Stretches are many and short, so a task walks its own one after the other; a long one is not held, only its anchor.
+    doubtful = rows.where("not whole").select("stretch", *names[:7]).repartition("station", "stretch").sortWithinPartitions("station", "stretch", "block")
+    return whole.union(doubtful.mapInArrow(walk, CLOCKED))
 
 
 def runs_of(chunks: DataFrame, win: int, step: int) -> tuple[DataFrame, DataFrame]:

@@ -150,3 +150,14 @@ def test_windows_with_a_missing_sample_and_flat_windows():
     out = kernels.features(x, x, x, 5.0, 2, 30)
     assert len(out) == 51 and np.isnan(out["E_RMS"][1]) and np.isnan(out["EN_CROSS_CORR"][1:]).all() and np.isclose(out["EN_CROSS_CORR"][0], 1)
     assert out["E_RMS"][2] == 0 and np.isnan(out["E_SKEWNESS"][2]) and out["E_HJORTH_MOBILITY"][2] == 0 and np.isnan(out["E_STA_LTA_Max"][2])
+
+
+def test_small_groups_are_computed_as_one_matrix(spark):
+    from tremor.plans.pipeline import windows
+
+    rows = [(s, 1, 0, 0.0, 1.0 if s < 30 else 2.0, *[[float(s * 100 + i) for i in range(8)]] * 3) for s in range(40)]
+    pieces = spark.createDataFrame(rows, "station bigint, run bigint, pos bigint, start_epoch double, fs double, e array<double>, n array<double>, z array<double>").coalesce(1)
+    values = lambda e, n, z, fs: {"size": np.full(len(e), float(len(e))), "first": e[:, 0], "last": z[:, -1], "fs": np.full(len(e), fs)}
+    found = windows(pieces, 4, 2, values, "size double, first double, last double, fs double").collect()
+    assert sorted((r.station, r.w, r.end_epoch, r.first, r.last, r.fs) for r in found) == [(s, w, (2 * w + 4) / (f := 1.0 if s < 30 else 2.0), s * 100.0 + 2 * w, s * 100.0 + 2 * w + 3, f) for s in range(40) for w in range(3)]
+    assert max(r["size"] for r in found) > 3  # a station has a group of three windows

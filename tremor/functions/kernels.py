@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 
 SPLIT = 1.0
@@ -63,33 +65,53 @@ def correlation(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return _ratio((x * y).sum(axis=1), np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1)))
 
 
-def single(x: np.ndarray, fs: float, nsta: int, nlta: int, standard_hjorth: bool = False) -> dict[str, np.ndarray]:
-    """The sixteen features of windows of one component; NaN for windows with a missing sample."""
-    out = {n: np.full(len(x), np.nan) for n in SINGLE}
+def moments(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Mean and the central moments 2 to 4 of each row."""
+    mean = x.mean(axis=1)
+    c = x - mean[:, None]
+    return mean, (c * c).mean(axis=1), (c * c * c).mean(axis=1), (c * c * c * c).mean(axis=1)
+
+
+def single(x: np.ndarray, fs: float, nsta: int, nlta: int, standard_hjorth: bool = False, names: Iterable[str] = SINGLE) -> dict[str, np.ndarray]:
+    """The features ``names`` of windows of one component; NaN for windows with a missing sample. What none of them needs is not computed."""
+    out = {n: np.full(len(x), np.nan) for n in names}
     ok = ~np.isnan(x).any(axis=1)
     if not ok.any():
         return out
     x = x[ok]
     n = x.shape[1]
-    put = lambda name, v: out[name].__setitem__(ok, v)
-    c = x - x.mean(axis=1, keepdims=True)
-    m2, m3, m4 = ((c**k).mean(axis=1) for k in (2, 3, 4))
-    put("SKEWNESS", _ratio(m3, m2**1.5))
-    put("KURTOSIS", _ratio(m4, m2**2))
+    wanted = lambda *some: any(s in out for s in some)
+
+    def put(name, v):
+        if name in out:
+            out[name][ok] = v
+
+    if wanted("SKEWNESS", "KURTOSIS"):
+        _, m2, m3, m4 = moments(x)
+        put("SKEWNESS", _ratio(m3, m2**1.5))
+        put("KURTOSIS", _ratio(m4, m2**2))
     put("PEAK", np.abs(x).max(axis=1))
-    put("RMS", np.sqrt((x * x).mean(axis=1)))
-    if n > 1:
+    if wanted("RMS"):
+        put("RMS", np.sqrt((x * x).mean(axis=1)))
+    if n > 1 and wanted("ZCR"):
         put("ZCR", ((x[:, 1:] >= 0) != (x[:, :-1] >= 0)).mean(axis=1))
-    if n > 2:
+    if n > 2 and wanted("HJORTH_ACTIVITY", "HJORTH_MOBILITY", "HJORTH_COMPLEXITY"):
         for name, v in zip(("HJORTH_ACTIVITY", "HJORTH_MOBILITY", "HJORTH_COMPLEXITY"), hjorth(x, standard_hjorth), strict=True):
             put(name, v)
+    if n > 2 and wanted("PERMUTATION_ENTROPY"):
         put("PERMUTATION_ENTROPY", permutation_entropy(x))
+    spectral = wanted("SPECTRAL_CENTROID", "LOW_FREQ_ENERGY", "HIGH_FREQ_ENERGY", "DOMINANT_FREQ")
+    averages = wanted("STA_LTA_Max", "STA_LTA_Mean", "STA_LTA_Median")
+    if not spectral and not averages:
+        return out
     z = zscore(x)
-    if n > nlta >= nsta > 0:
+    if averages and n > nlta >= nsta > 0:
         r = sta_lta(z, nsta, nlta)
         flat = ~z.any(axis=1)  # an all-zero window has no defined ratio
         for name, v in (("Max", r.max(axis=1)), ("Mean", r.mean(axis=1)), ("Median", np.median(r, axis=1))):
             put(f"STA_LTA_{name}", np.where(flat, np.nan, v))
+    if not spectral:
+        return out
     p, f = power(z), np.arange(n // 2 + 1) * fs / n
     total = p.sum(axis=1)
     put("SPECTRAL_CENTROID", _ratio(p @ f, total, 0))
@@ -100,10 +122,11 @@ def single(x: np.ndarray, fs: float, nsta: int, nlta: int, standard_hjorth: bool
     return out
 
 
-def features(e: np.ndarray, n: np.ndarray, z: np.ndarray, fs: float, nsta: int, nlta: int, standard_hjorth: bool = False) -> dict[str, np.ndarray]:
-    """All 51 features of windows of three components."""
+def features(e: np.ndarray, n: np.ndarray, z: np.ndarray, fs: float, nsta: int, nlta: int, standard_hjorth: bool = False, names: Iterable[str] = FEATURES) -> dict[str, np.ndarray]:
+    """The features ``names``, of 51, of windows of three components."""
     out = {}
     for name, x in zip(COMPONENTS, (e, n, z), strict=True):
-        out |= {f"{name}_{k}": v for k, v in single(x, fs, nsta, nlta, standard_hjorth).items()}
-    out |= {"EN_CROSS_CORR": correlation(e, n), "EZ_CROSS_CORR": correlation(e, z), "NZ_CROSS_CORR": correlation(n, z)}
-    return {k: out[k] for k in FEATURES}
+        own = [k for k in SINGLE if f"{name}_{k}" in names]
+        out |= {f"{name}_{k}": v for k, v in single(x, fs, nsta, nlta, standard_hjorth, own).items()} if own else {}
+    out |= {f"{p}_CROSS_CORR": correlation(x, y) for p, x, y in (("EN", e, n), ("EZ", e, z), ("NZ", n, z)) if f"{p}_CROSS_CORR" in names}
+    return {k: out[k] for k in names}

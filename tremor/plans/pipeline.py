@@ -7,7 +7,7 @@ the task of their block, and from blocks to groups of windows. A group holds the
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,6 +29,8 @@ from tremor.sources.miniseed import read_records
 log = logging.getLogger("tremor")
 
 GROUP = 64
+#: Samples of a component in the windows that are computed as one matrix: groups may be small, and many.
+MATRIX = 1 << 18
 CHUNK = "station string, segment int, block int, start_epoch double, fs double, e array<double>, n array<double>, z array<double>"
 
 
@@ -89,9 +91,9 @@ def archive(spark: SparkSession, path: str, cfg: Config, **seconds) -> Archive:
     return Archive(plan, blocks_of(read_records(spark, path, samples=True), plan, cfg, native), chunks_of(plan, factor, native), native, fs, late)
 
 
-def window_features(pieces: DataFrame, win: int, step: int, nsta: int, nlta: int, standard_hjorth: bool = False) -> DataFrame:
-    """station, run, w, end_epoch and the 51 features of each full window. ``pieces``: station, run, pos, start_epoch, fs, e, n, z, of which none overlap."""
-    return windows(pieces, win, step, lambda e, n, z, fs: features(e, n, z, fs, nsta, nlta, standard_hjorth), ", ".join(f"`{f}` double" for f in FEATURES))
+def window_features(pieces: DataFrame, win: int, step: int, nsta: int, nlta: int, standard_hjorth: bool = False, names: Sequence[str] = tuple(FEATURES)) -> DataFrame:
+    """station, run, w, end_epoch and the features ``names``, all 51 if not told otherwise, of each full window. ``pieces``: station, run, pos, start_epoch, fs, e, n, z, of which none overlap."""
+    return windows(pieces, win, step, lambda e, n, z, fs: features(e, n, z, fs, nsta, nlta, standard_hjorth, names), ", ".join(f"`{f}` double" for f in names))
 
 
 def window_spectra(pieces: DataFrame, win: int, step: int) -> DataFrame:
@@ -127,7 +129,9 @@ def windows(pieces: DataFrame, win: int, step: int, values: Callable[[np.ndarray
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []  # pieces of a group: pos, epoch, fs, and samples of three components
 
-        def out():
+        ready, size, rate = [], 0, None  # (station, run, w, end, windows of three components) of whole groups of one rate
+
+        def group():
             station, run, g = key
             lo = g * span
             n = max(p[0] + max(map(len, p[3:])) for p in held) - lo
@@ -139,12 +143,17 @@ def windows(pieces: DataFrame, win: int, step: int, values: Callable[[np.ndarray
                 for c in range(3):
                     x[c, p[0] - lo : p[0] - lo + len(p[3 + c])] = p[3 + c]
             views = [np.lib.stride_tricks.sliding_window_view(c, win)[::step][:count] for c in x]
-            found = values(*views, held[0][2])
             w = g * GROUP + np.arange(count)
             # The clock of a window is that of the piece its last sample lies in.
             at = np.clip(np.searchsorted([p[0] for p in held], w * step + win - 1, "right") - 1, 0, None)
             end = np.array([p[1] for p in held])[at] + (w * step + win) / held[0][2]
-            return pa.RecordBatch.from_arrays([pa.array([station] * count, kind_), pa.array([run] * count, pa.int64()), pa.array(w), pa.array(end), *(pa.array(v, from_pandas=True) if v.ndim == 1 else lists(list(v)) for v in found.values())], names=["station", "run", "w", "end_epoch", *found])
+            return [station] * count, [run] * count, w, end, *views
+
+        def flush():
+            station, run, w, end, *x = zip(*ready, strict=True)
+            x = [v[0] if len(v) == 1 else np.concatenate(v) for v in x]
+            found = values(*x, rate)
+            return pa.RecordBatch.from_arrays([pa.array(sum(station, []), kind_), pa.array(sum(run, []), pa.int64()), pa.array(np.concatenate(w)), pa.array(np.concatenate(end)), *(pa.array(v, from_pandas=True) if v.ndim == 1 else lists(list(v)) for v in found.values())], names=["station", "run", "w", "end_epoch", *found])
 
         for b in batches:
             kind_ = b.schema.field("station").type
@@ -152,12 +161,23 @@ def windows(pieces: DataFrame, win: int, step: int, values: Callable[[np.ndarray
             facts = zip(*(c.to_pylist() for c in b.columns[3:6]), strict=True)
             for now, fact, *x in zip(keys, facts, *(arrays(c) for c in b.columns[6:]), strict=True):
                 if now != key:
-                    if held and (made := out()):
-                        yield made
+                    if held and (made := group()):
+                        if ready and (rate != held[0][2] or size + len(made[2]) * win > MATRIX):
+                            yield flush()
+                            ready, size = [], 0
+                        rate = held[0][2]
+                        ready.append(made)
+                        size += len(made[2]) * win
                     key, held = now, []
                 held.append((*fact, *(v.copy() for v in x)))
-        if held and (made := out()):
-            yield made
+        if held and (made := group()):
+            if ready and rate != held[0][2]:
+                yield flush()
+                ready = []
+            rate = held[0][2]
+            ready.append(made)
+        if ready:
+            yield flush()
 
     groups = pieces.select("station", "run", "pos", "start_epoch", "fs", "e", "n", "z").mapInArrow(cut, f"station {kind}, run bigint, g bigint, pos bigint, epoch double, fs double, e array<double>, n array<double>, z array<double>")
     ordered = groups.repartition("station", "run", "g").sortWithinPartitions("station", "run", "g", "pos")

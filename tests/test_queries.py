@@ -44,3 +44,11 @@ def test_runs(spark, name):
 
 def test_entry(spark):
     assert len(entry.entry(spark).columns) == 53
+
+
+@pytest.mark.parametrize("name", ["hjorth", "hjorth_standard", "hop_windows", "moments", "window_labels"])
+def test_windows_are_matrices(spark, name):
+    """Samples are sent as arrays and numbered within quarters: none is dealt to each window that holds it and sorted there."""
+    plan = entry.queries()[name](spark, DATA)._jdf.queryExecution().toString()
+    logical = plan.split("== Optimized Logical Plan ==")[0]
+    assert "sequence(" not in logical and ("MapInArrow" in plan or name == "window_labels")

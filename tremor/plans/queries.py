@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,8 +12,10 @@ from pyspark.sql import functions as F
 from tremor.functions import dialect
 from tremor.functions import features as definitions
 from tremor.functions.features import DEFINITIONS, grid, records
-from tremor.functions.kernels import FEATURES
+from tremor.functions.kernels import FEATURES, hjorth, moments
+from tremor.operators.scan import numbered
 from tremor.plans import production
+from tremor.shared import written
 
 
 def _query(text: dialect.Text) -> Callable[[SparkSession, str], DataFrame]:
@@ -23,12 +26,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _que
 SQL: dict[str, str] = {f.__name__: f(dialect.DUCK) for f in DEFINITIONS}
 
 
-def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _table(spark: SparkSession, sf_dir: str, names: Sequence[str] = tuple(FEATURES)) -> DataFrame:
     from tremor.functions.features import NLTA, NSTA, STEP, WIN
     from tremor.operators.signals import wave_pieces
     from tremor.plans.pipeline import window_features
 
-    return window_features(wave_pieces(spark, sf_dir), WIN, STEP, NSTA, NLTA)
+    return window_features(wave_pieces(spark, sf_dir), WIN, STEP, NSTA, NLTA, names=names)
 
 
 def _of_components(columns: dict[str, str], digits: int = 6) -> Callable[[SparkSession, str], DataFrame]:
@@ -36,14 +39,14 @@ def _of_components(columns: dict[str, str], digits: int = 6) -> Callable[[SparkS
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         own = [F.struct(F.lit(c).alias("component"), F.col(f"{c}_PEAK").alias("whole"), *[(F.round(f"{c}_{f}", digits) + 0.0).alias(n) for n, f in columns.items()]) for c in "ENZ"]
-        rows = _table(spark, sf_dir).select("station", "w", F.explode(F.array(*own)).alias("r")).where("r.whole is not null")
+        rows = _table(spark, sf_dir, [f"{c}_{f}" for c in "ENZ" for f in dict.fromkeys(["PEAK", *columns.values()])]).select("station", "w", F.explode(F.array(*own)).alias("r")).where("r.whole is not null")
         return rows.select("station", "r.component", "w", *[f"r.{n}" for n in columns])
 
     return query
 
 
 def _cross_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir).select("station", "w", *[(F.round(f"{p.upper()}_CROSS_CORR", 6) + 0.0).alias(f"{p}_cross_corr") for p in ("en", "ez", "nz")])
+    return _table(spark, sf_dir, [f"{p}_CROSS_CORR" for p in ("EN", "EZ", "NZ")]).select("station", "w", *[(F.round(f"{p.upper()}_CROSS_CORR", 6) + 0.0).alias(f"{p}_cross_corr") for p in ("en", "ez", "nz")])
 
 
 def _power_spectrum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +60,49 @@ def _power_spectrum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("station", "component", "w", F.col("q").cast("bigint").alias("q"), (F.col("q") * FS / WIN).alias("f"), (F.round("p", 5) + 0.0).alias("p"))
 
 
+def _by_kernel(kernel: Callable[[np.ndarray], tuple[np.ndarray, ...]], columns: dict[str, int]) -> Callable[[SparkSession, str], DataFrame]:
+    """A query for what ``kernel`` finds in a matrix of windows of one component: ``columns``, with their digits, of each window and component that is whole there. Samples are sent as arrays, not once a window."""
+
+    def values(e: np.ndarray, n: np.ndarray, z: np.ndarray, fs: float) -> dict[str, np.ndarray]:
+        out = {}
+        for c, x in zip("ENZ", (e, n, z), strict=True):
+            gap = np.isnan(x).any(axis=1)
+            out |= {f"{c}_{k}": np.where(gap, np.nan, v) for k, v in zip(columns, kernel(x), strict=True)}
+        return out
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tremor.functions.features import STEP, WIN
+        from tremor.operators.signals import wave_pieces
+        from tremor.plans.pipeline import windows
+
+        found = windows(wave_pieces(spark, sf_dir), WIN, STEP, values, ", ".join(f"{c}_{k} double" for c in "ENZ" for k in columns))
+        own = [F.struct(F.lit(c).alias("component"), *[(F.round(f"{c}_{k}", digits) + 0.0).alias(k) for k, digits in columns.items()]) for c in "ENZ"]
+        rows = found.select("station", "w", F.explode(F.array(*own)).alias("r")).where(F.col(f"r.{next(iter(columns))}").isNotNull())
+        return rows.select("station", "r.component", "w", *[f"r.{k}" for k in columns])
+
+    return query
+
+
+def _moments(x: np.ndarray) -> tuple[np.ndarray, ...]:
+    mean, *central = moments(x)
+    return mean + 25.5, *central  # the wave is centred, the definition takes it as it is
+
+
+_whole = _by_kernel(lambda x: (np.full(len(x), float(x.shape[1])),), {"n": 0})
+
+
+def _hop_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _whole(spark, sf_dir).select("station", "component", "w", (F.col("w") * definitions.STEP).alias("first_i"), F.col("n").cast("bigint").alias("n"))
+
+
+def _window_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of a station are numbered by component and stretch of windows first, so no task sorts a station."""
+    rows = written(_whole(spark, sf_dir).select("station", "component", "w", F.struct("component", F.floor(F.col("w") / 4096).alias("lot")).alias("lot")), "windows")
+    end = F.round((F.lit(1000.0) + (F.col("w") * definitions.STEP + definitions.WIN) / F.lit(definitions.FS)) / 60, 6) + 0.0
+    label = F.concat(F.lit("s"), F.col("station").cast("string"), F.lit("_w"), F.format_string("%02d", F.col("g") + 1))
+    return numbered(rows, ["station"], "lot", ["w"], "g").select("station", "component", "w", label.alias("pencere_id"), end.alias("zaman_dk"))
+
+
 #: These run the production kernels; their SQL is the definition in ``tremor.functions.features``, which DuckDB alone runs.
 QUERIES |= {
     "skew_kurt": _of_components({"skewness": "SKEWNESS", "kurtosis": "KURTOSIS"}),
@@ -66,6 +112,11 @@ QUERIES |= {
     "permutation_entropy": _of_components({"permutation_entropy": "PERMUTATION_ENTROPY"}),
     "dominant_freq": _of_components({"dominant_freq": "DOMINANT_FREQ"}, 9),
     "spectral_energy": _of_components({"spectral_centroid": "SPECTRAL_CENTROID", "low_freq_energy": "LOW_FREQ_ENERGY", "high_freq_energy": "HIGH_FREQ_ENERGY"}),
+    "hop_windows": _hop_windows,
+    "window_labels": _window_labels,
+    "moments": _by_kernel(_moments, {"mean": 6, "m2": 6, "m3": 4, "m4": 3}),
+    "hjorth": _by_kernel(hjorth, {"activity": 6, "mobility": 6, "complexity": 6}),
+    "hjorth_standard": _by_kernel(lambda x: hjorth(x, True), {"activity": 6, "mobility": 6, "complexity": 6}),
     "cross_corr": _cross_corr,
     "power_spectrum": _power_spectrum,
 }

@@ -52,3 +52,8 @@ def test_windows_are_matrices(spark, name):
     plan = entry.queries()[name](spark, DATA)._jdf.queryExecution().toString()
     logical = plan.split("== Optimized Logical Plan ==")[0]
     assert "sequence(" not in logical and ("MapInArrow" in plan or name == "window_labels")
+
+
+def test_overlapping_samples_are_hashed(spark):
+    plan = entry.queries()["overlap_last_wins"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan

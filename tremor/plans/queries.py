@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -154,6 +155,17 @@ def bandpass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("component", "i", (F.round(F.nanvl("x", F.lit(None).cast("double")), 6) + 0.0).alias("x"))
 
 
+def overlap_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of several records' samples on one place of the grid the one of the last record stands. Start, file and offset make one decimal, so the samples of a task are hashed by place and not sorted."""
+    text = lambda d: f"with {records(d)} select component, cast(round((start_epoch - 1704067200e0) * fs) as bigint) as first, n, value, start_epoch, file_idx, rec_offset from records"
+    start, file, offset = F.coalesce(F.round(F.col("start_epoch") * 1e6).cast("bigint"), F.lit(-(10**16))), F.coalesce("file_idx", F.lit(-8)) + 8, F.coalesce("rec_offset", F.lit(-(2**63)))
+    place = (start * 16 + file).cast("decimal(18,0)") * F.lit(Decimal(2 * 10**19)).cast("decimal(20,0)")
+    rows = dialect.run(spark, sf_dir, text).withColumn("last", (place + offset.cast("decimal(19,0)")).cast("decimal(38,0)"))
+    samples = rows.select("component", "first", "value", "last", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("j"))
+    samples = samples.select("component", (F.col("first") + F.col("j")).alias("i"), (F.col("value") + F.col("j")).alias("x"), "last")
+    return samples.groupBy("component", "i").agg((F.round(F.max_by("x", "last"), 6) + 0.0).alias("x"), F.count("*").alias("written"))
+
+
 def block_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records planned into blocks, assembled, conditioned and decimated: samples and mean square of each block."""
     from tremor.config import Config
@@ -169,7 +181,7 @@ def block_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.select("station", "segment", "block", F.round("start_epoch", 3).alias("start_epoch"), F.size("e").alias("n"), *map(power, "enz"))
 
 
-QUERIES |= {f.__name__: f for f in (feature_table, feature_dev, bandpass, block_pipeline)}
+QUERIES |= {f.__name__: f for f in (feature_table, feature_dev, bandpass, overlap_last_wins, block_pipeline)}
 
 
 def _exact(text: str) -> str:

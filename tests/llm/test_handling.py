@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_operators import WORD
-from tremor.llm import chat, decontaminate, line_dedup, quality, rules, toxicity, url_filter
+from tremor.llm import chat, common, decontaminate, line_dedup, quality, rules, toxicity, url_filter
 from tremor.llm.docstats import FEATURES, document_stats
 
 #: Names that operators give to columns of their own.
@@ -217,3 +217,13 @@ def test_stages_of_the_pipeline_take_any_rows(spark, tmp_path, stage):
         assert len(got) >= 0.9 * len(want) and set(map(key, got)) <= set(map(key, want))
     else:
         assert got == want
+
+
+def test_driver_heap_is_given_back_after_a_table(spark, monkeypatch):
+    """What the driver's JVM no longer uses goes when a table is written, if its heap is over its share."""
+    monkeypatch.setattr(common, "GROWN", 0)
+    garbage = spark._jvm.java.util.ArrayList()
+    left = spark._jvm.java.lang.ref.WeakReference(garbage)
+    del garbage
+    assert common.cut(spark.range(3)).count() == 3
+    assert left.get() is None

@@ -522,3 +522,13 @@ def test_words_without_a_regular_expression(monkeypatch):
     assert np.array_equal(bpe.Words(pa.array(texts), P.PATTERN).bounds, whole)
     for empty in ([""], [None, ""], []):
         assert len(bpe.word_hashes(*(lambda w: (w.buf, w.bounds))(bpe.Words(pa.array(empty, pa.string()), P.PATTERN)))) == 0
+
+
+def test_only_near_lines_of_a_bucket_get_sets(monkeypatch):
+    rng, seen, sets = random.Random(13), [], minhash.shingle_sets
+    lines = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=200)) for _ in range(12)]
+    lines.append(lines[3][:100] + "#" + lines[3][101:])
+    monkeypatch.setattr(minhash, "shingle_sets", lambda texts, gram: seen.append(len(texts)) or sets(texts, gram))
+    f, g = minhash.sketch(minhash.signatures(pa.array(lines), 5, 102))
+    links = minhash.joined(pa.array(lines), f, g, np.arange(13), np.full(13, 2), 5, minhash.most_bits(102, 0.8), 0.8)
+    assert links == [(3, 12)] and seen == [2]

@@ -126,6 +126,28 @@ def test_a_task_walks_its_stretches_one_after_the_other(spark):
     assert got == sorted((s, *w) for s, rows in sets.items() for w in brute_clock(rows, 0.5, True))
 
 
+def test_stretches_stay_whole_where_a_join_turns_to_a_broadcast(spark):
+    """On larger tables the facts of stretches look too large to broadcast and prove small: then the shuffle of the join is read as its writers left it."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "40k", "spark.sql.files.maxPartitionBytes": "16k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    sets = {f"s{k}": [] for k in range(16)}
+    starts = dict.fromkeys(sets, 1000.0)
+    for block in range(10_000):
+        s, n = f"s{block * 7 % 16}", 40 + block % 30
+        sets[s].append((s, 0, block, starts[s], 4.0, n))
+        starts[s] += n / 4 + {0: 0.0625, 3: -0.03125, 5: 0.125, 7: 0.375, 8: 0 if block % 5 else 100.0}.get(block % 13, 0)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        chunks = spark.createDataFrame([r for rows in sets.values() for r in rows], "station string, segment int, block int, start_epoch double, fs double, len bigint").repartition(6)
+        found = planning.clocked(chunks, 1.5, False).where("begins")
+        got = sorted((r.station, r.block, r.sample_offset, r.begins, r.anchor_offset, r.anchor_start) for r in found.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == sorted((s, *w) for s, rows in sets.items() for w in brute_clock(rows, 1.5, False) if w[2])
+
+
 def test_runs_and_window_numbers(spark):
     rows = [("a", 0, 0, 0.0, 1.0, 10), ("a", 0, 1, 10.0, 1.0, 10), ("a", 1, 2, 100.0, 1.0, 3), ("a", 1, 3, 200.0, 1.0, 8), ("b", 0, 0, 5.0, 1.0, 9)]
     places, runs = planning.runs_of(spark.createDataFrame(rows, "station string, segment int, block int, start_epoch double, fs double, len bigint"), 6, 2)

@@ -166,8 +166,10 @@ def clocked(chunks: DataFrame, tolerance: float, inclusive: bool) -> DataFrame:
                 starts.append(anchor_start)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names[:7]), pa.array(begins, pa.bool_()), pa.array(offsets, pa.int64()), pa.array(starts, pa.float64())], names=names)
 
-    # Stretches are many and short, so a task walks its own one after the other; a long one is not held, only its anchor.
-    doubtful = rows.where("not whole").select("stretch", *names[:7]).repartition("station", "stretch").sortWithinPartitions("station", "stretch", "block")
+    # Stretches are many and short, so a task walks its own one after the other; a long one is not held, only its anchor. They are dealt out by a hash of their keys: by the
+    # keys themselves they would lie so already after the join, Spark leaves out such a shuffle, and may then split that of the join, whose own rows need not lie together.
+    deal = F.xxhash64("station", "stretch")
+    doubtful = rows.where("not whole").select("stretch", *names[:7]).repartition(deal).sortWithinPartitions("station", "stretch", "block")
     return whole.union(doubtful.mapInArrow(walk, CLOCKED))
 
 
